@@ -135,6 +135,25 @@ SELECT 'file-' || event_type AS file_id, event_id AS check_id,
        {fixed('((event_id % 7) * 20000 + (10 + user_id % 90)) // (2 * (10 + user_id % 90))', 2, 5)} AS failure_rate,
        ts AS checked_at
 FROM events"""),
+    "energy_feed": ((), f"""
+SELECT 'feed-' || event_type AS file_id, event_id AS seq, user_id AS device, ts AS received_at,
+       CASE WHEN event_id % 101 = 0 THEN 'not a date'
+            WHEN event_id % 5 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(ts, '%-m/%-d/%Y %-I:%M:%S %p') END AS "Date and Time",
+       CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 89 = 0 THEN 'abc' WHEN event_id % 83 = 0 THEN '-5,0'
+            WHEN event_id % 79 = 0 THEN '1.234,56' WHEN event_id % 73 = 0 THEN NULL
+            WHEN event_id % 71 = 0 THEN ' 12,5 ' WHEN event_id % 67 = 0 THEN '10000,01'
+            WHEN event_id % 61 = 0 THEN 'nan'
+            ELSE CAST({cents('value')} // 100 AS VARCHAR) || ',' || lpad(CAST({cents('value')} % 100 AS VARCHAR), 2, '0')
+       END AS "Hourly",
+       CASE WHEN event_id % 31 = 0 THEN 'x' WHEN event_id % 29 = 0 THEN ''
+            WHEN event_id % 2 = 0 THEN CAST(value AS VARCHAR) ELSE '-' || CAST(value AS VARCHAR) END AS "Count",
+       ['YES', 'No', '1', '0', 'true', 'n', 'maybe', 'Y', 'FALSE'][event_id % 9 + 1] AS "Flag",
+       CASE WHEN event_id % 13 = 0 THEN '24:00:00' WHEN event_id % 17 = 0 THEN '7:5:9'
+            ELSE strftime(ts, '%H:%M:%S') END AS "Time"
+FROM events"""),
+    "feed": (("energy_feed",), """
+SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY seq) AS row_number FROM energy_feed"""),
 }
 
 
@@ -153,3 +172,42 @@ def with_standins(body: str, *names: str, ctes: tuple[tuple[str, str], ...] = ()
         visit(n)
     parts = [f"{n} AS ({STANDINS[n][1]}\n)" for n in order] + [f"{n} AS ({sql}\n)" for n, sql in ctes]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+
+
+# ------------------------------------------------------------------ text parsers (DuckDB)
+
+NUM_RE = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+
+
+def blank(c: str) -> str:
+    return f"({c} IS NULL OR trim({c}) = '')"
+
+
+def float_text(t: str) -> str:
+    """Python float() of already-trimmed text t."""
+    return (f"(CASE WHEN lower({t}) IN ('nan', '+nan', '-nan') THEN CAST('nan' AS DOUBLE) "
+            f"WHEN lower({t}) IN ('inf', '+inf', 'infinity', '+infinity') THEN CAST('inf' AS DOUBLE) "
+            f"WHEN lower({t}) IN ('-inf', '-infinity') THEN CAST('-inf' AS DOUBLE) "
+            f"WHEN regexp_full_match({t}, '{NUM_RE}') THEN CAST({t} AS DOUBLE) END)")
+
+
+def euro_float(c: str) -> str:
+    return f"(CASE WHEN {blank(c)} THEN NULL ELSE {float_text(f'replace(trim({c}), {chr(39)},{chr(39)}, {chr(39)}.{chr(39)})')} END)"
+
+
+def int_from_float(c: str) -> str:
+    f = float_text(f"trim({c})")
+    return (f"(CASE WHEN {blank(c)} THEN NULL WHEN isnan({f}) OR isinf({f}) THEN NULL "
+            f"ELSE CAST(trunc({f}) AS BIGINT) END)")
+
+
+def ampm_ts(c: str) -> str:
+    t = f"trim({c})"
+    return (f"(CASE WHEN lower({t}) LIKE '%am%' OR lower({t}) LIKE '%pm%' THEN "
+            f"(CASE WHEN regexp_full_match({t}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}} [0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}} [AaPp][Mm]') "
+            f"THEN try_strptime({t}, '%m/%d/%Y %I:%M:%S %p') END) "
+            f"WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast({t} AS TIMESTAMP) "
+            f"WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]{{1,6}})?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') "
+            f"THEN try_cast(regexp_replace({t}, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', '') AS TIMESTAMP) "
+            f"WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN try_strptime({t}, '%Y%m%d') "
+            f"WHEN regexp_full_match({t}, '[0-9]{{8}}T[0-9]{{6}}') THEN try_strptime({t}, '%Y%m%dT%H%M%S') END)")

@@ -208,3 +208,39 @@ def energy_with_devices(spark: SparkSession, sf_dir: str, daily: bool = False) -
     f = energy_daily(spark, sf_dir) if daily else energy_hourly(spark, sf_dir)
     d = devices(spark, sf_dir).select("id", "device_token", "client", "alias")
     return join_dimension(f, d, f.device_id == d.id)
+
+
+# The boolean spellings cycled through the feed's flag column.
+FLAG_WORDS = ("YES", "No", "1", "0", "true", "n", "maybe", "Y", "FALSE")
+
+
+def energy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw delivery of meter readings as dirty text (one 'file' per event type).
+
+    Columns are all strings as a CSV scan yields them: AM/PM and ISO
+    timestamps, decimal commas, blanks, junk, out-of-range values.  ``seq`` is
+    the line order within the file.
+    """
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    cents = _cents(F.col("value"))
+    text = F.concat(((cents - cents % 100) / 100).cast("long").cast("string"), F.lit(","),
+                    F.lpad((cents % 100).cast("string"), 2, "0"))
+    hourly = (F.when(eid % 97 == 0, "").when(eid % 89 == 0, "abc").when(eid % 83 == 0, "-5,0")
+               .when(eid % 79 == 0, "1.234,56").when(eid % 73 == 0, F.lit(None))
+               .when(eid % 71 == 0, " 12,5 ").when(eid % 67 == 0, "10000,01").when(eid % 61 == 0, "nan")
+               .otherwise(text))
+    when_text = (F.when(eid % 101 == 0, "not a date")
+                  .when(eid % 5 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+                  .otherwise(F.date_format("ts", "M/d/yyyy h:mm:ss a")))
+    vtxt = F.col("value").cast("string")
+    count = (F.when(eid % 31 == 0, "x").when(eid % 29 == 0, "")
+              .when(eid % 2 == 0, vtxt).otherwise(F.concat(F.lit("-"), vtxt)))
+    flag = F.element_at(F.array(*[F.lit(w) for w in FLAG_WORDS]), (eid % len(FLAG_WORDS) + 1).cast("int"))
+    clock = (F.when(eid % 13 == 0, "24:00:00").when(eid % 17 == 0, "7:5:9")
+              .otherwise(F.date_format("ts", "HH:mm:ss")))
+    return e.select(
+        F.concat(F.lit("feed-"), F.col("event_type")).alias("file_id"),
+        eid.alias("seq"), F.col("user_id").alias("device"), F.col("ts").alias("received_at"),
+        when_text.alias("Date and Time"), hourly.alias("Hourly"), count.alias("Count"),
+        flag.alias("Flag"), clock.alias("Time"))
