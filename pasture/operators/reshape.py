@@ -74,7 +74,7 @@ def sensor_pivot(df: DataFrame, sensors_json: str, keys: Sequence[str], allowed:
 def map_columns(df: DataFrame, columns: dict[str, str], keep: Iterable[str] = ()) -> DataFrame:
     """Rename mapped source columns that are present; unmapped ones are dropped."""
     sel = [F.col(f"`{src}`").alias(dst) for src, dst in columns.items() if src in df.columns]
-    return df.select(*[F.col(k) for k in keep], *sel)
+    return df.select(*[F.col(k) if isinstance(k, str) else k for k in keep], *sel)
 
 
 def drop_empty_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -153,8 +153,7 @@ def strip_internal(df: DataFrame) -> DataFrame:
 
 
 def sanitize_json(df: DataFrame, cols: Sequence[str], out: str = "json") -> DataFrame:
-    """JSON text of ``cols`` with NaN/±Inf written as null (nulls kept as keys)."""
-    clean = nan_to_null(df.select(*cols))
-    exprs = [C.nan_to_null(c).alias(c) if c in clean.columns and isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
-             else F.col(c) for c in cols]
+    """JSON text of ``cols`` with NaN/±Inf written as null (null keys kept)."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    exprs = [C.nan_to_null(c).alias(c) if c in floats else F.col(c) for c in cols]
     return df.withColumn(out, F.to_json(F.struct(*exprs), {"ignoreNullFields": "false"}))
