@@ -70,14 +70,9 @@ def _solve_rows(pdf: pd.DataFrame, y: str, xs: Sequence[str], group: Sequence[st
                 key = f"c_{a}__{b}" if f"c_{a}__{b}" in r.index else f"c_{b}__{a}"
                 cov[i, j] = r[key]
         sxx, sxy, syy = cov[1:, 1:], cov[1:, 0], cov[0, 0]
-        # correlation scaling for conditioning, then the minimum-norm solution
-        sd = np.sqrt(np.clip(np.diag(sxx), 0, None))
-        nz = sd > 0
-        beta = np.zeros(k)
-        if nz.any():
-            sc = sxx[np.ix_(nz, nz)] / np.outer(sd[nz], sd[nz])
-            b = np.linalg.pinv(sc, rcond=1e-10) @ (sxy[nz] / sd[nz])
-            beta[nz] = b / sd[nz]
+        # minimum-norm solution of the centred normal equations: pinv(XᵀX)Xᵀy = pinv(X)y,
+        # the same solution a least-squares solver returns on rank-deficient data
+        beta = np.linalg.pinv(sxx, rcond=1e-12, hermitian=True) @ sxy
         means = np.array([r[f"m_{c}"] for c in xs])
         intercept = r[f"m_{y}"] - beta @ means
         sse = syy - 2 * beta @ sxy + beta @ sxx @ beta
