@@ -339,3 +339,10 @@ def q_stage_log(spark, sf):
     ends = x.filter(F.col("completed_at").isNotNull()).select(
         F.col("execution_id").alias("run_id"), "stage", "completed_at", "status")
     return K.stage_log(starts, ends)
+
+
+@register("devices_online", W("""
+SELECT *, coalesce(json_extract_string(metadata, '$.external_id'), device_id) AS external_id
+FROM device WHERE device_type = 'weather' AND status = 'online'""", "device"))
+def q_devices_online(spark, sf):
+    return K.devices_by_type(S.devices(spark, sf), "weather", "online")

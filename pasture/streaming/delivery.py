@@ -16,7 +16,7 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from pasture.operators import upsert as U
 from pasture.operators.joins import join_dimension
@@ -77,6 +77,37 @@ def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None) -> DataFrame:
     return out
 
 
+class StageLog:
+    """One start and one end event per (run, dataset, stage), written once per run."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+
+    def stage(self, run_id: str, dataset: str, stage: str):
+        log = self
+
+        class _Ctx:
+            def __enter__(self):
+                self.t0 = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+                self.records_in = self.records_out = None
+                return self
+
+            def __exit__(self, et, ev, tb):
+                t1 = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+                status = "success" if et is None else "failed"
+                log.rows.append((run_id, dataset, stage, self.t0, t1, status, self.records_in, self.records_out,
+                                 None if ev is None else repr(ev)[:500]))
+                return False          # re-raise (G7)
+        return _Ctx()
+
+    def write(self, spark: SparkSession, path: str, run_id: str) -> None:
+        if self.rows:
+            df = spark.createDataFrame(self.rows, "run_id string, dataset string, stage string, started_at timestamp_ntz, "
+                                       "completed_at timestamp_ntz, status string, records_in long, records_out long, "
+                                       "error_message string")
+            _append(df.drop("run_id"), path, run_id)
+
+
 def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: str,
                  as_of: _dt.datetime | None = None, devices: DataFrame | None = None,
                  hashes: DataFrame | None = None, defaults: dict[str, str] | None = None) -> DataFrame:
@@ -103,15 +134,39 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
                                                                   "device_hint")
     present = [r[0] for r in accepted.select("dataset").distinct().collect() if r[0] in list_datasets()]
     registry = []
-    for ds in sorted(present):                       # bounded: one pass per known dataset
-        spec = get_spec(ds)
+    log = StageLog()
+    try:
+        for ds in sorted(present):                   # bounded: one pass per known dataset
+            registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log))
+    finally:
+        log.write(spark, wh.path("pipeline_execution"), run_id)
+    if not registry:
+        return spark.createDataFrame([], "file_id string")
+    reg = registry[0]
+    for r in registry[1:]:
+        reg = reg.unionByName(r)
+    reg = reg.join(hashes.withColumnRenamed("file", "file_id"), "file_id", "left").withColumn("ingested_at", t0)
+    _append(reg, reg_path, run_id)
+    return spark.read.parquet(reg_path).filter(F.col("run") == run_id)
+
+
+def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog) -> DataFrame:
+    spec = get_spec(ds)
+    with log.stage(run_id, ds, "extract") as st:
         rows = FS.dataset_rows(lines, accepted, spec)
         if ds in _ADAPTERS:
             rows = _ADAPTERS[ds](rows)
+    with log.stage(run_id, ds, "validate") as st:
         staged = I.stage_batch(rows, spec, created_at=t0, keep=("file_id", "row_number", "device_hint"))
+        # Counts observed while the staging table is written (no extra pass over the data)
+        obs = Observation("staged")
+        staged = staged.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("valid"))
         stage_path = wh.path("staging", f"dataset={ds}")
         _append(staged, stage_path, run_id)
         staged = spark.read.parquet(stage_path).filter(F.col("run") == run_id).drop("run")   # lineage cut
+        counts = (obs.get["n"], obs.get["valid"])
+        st.records_in, st.records_out = counts[0], counts[1]
+    with log.stage(run_id, ds, "load") as st:
         # later files win over earlier ones, then line order (files ranked on the small file list)
         ranks = staged.select("file_id").distinct().withColumn("_fr", F.dense_rank().over(Window.orderBy("file_id")))
         staged = join_dimension(staged, ranks, "file_id").withColumn(
@@ -123,20 +178,13 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
         U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
                        wh.path("facts", spec.target_table), spec.primary_key, time_col, spec.strategy,
                        spec.update_columns, seq="_order")
+        st.records_in, st.records_out = counts[1], counts[1]
+    with log.stage(run_id, ds, "quality") as st:
         q = I.error_breakdown(staged).unionByName(
             I.overall_quality(staged).drop("summary").withColumn("sample_failures", F.lit(None).cast("string")))
         _append(q.withColumn("dataset", F.lit(ds)).withColumn("checked_at", t0), wh.path("data_quality_checks"),
                 run_id, by=("dataset",))
-        m = I.run_metrics(staged).withColumn("dataset", F.lit(ds))
-        registry.append(m)
-    if not registry:
-        return spark.createDataFrame([], "file_id string")
-    reg = registry[0]
-    for r in registry[1:]:
-        reg = reg.unionByName(r)
-    reg = reg.join(hashes.withColumnRenamed("file", "file_id"), "file_id", "left").withColumn("ingested_at", t0)
-    _append(reg, reg_path, run_id)
-    return spark.read.parquet(reg_path).filter(F.col("run") == run_id)
+    return I.run_metrics(staged).withColumn("dataset", F.lit(ds))
 
 
 def ingest_directory(spark: SparkSession, path: str, wh: Warehouse, run_id: str, **kw) -> DataFrame:

@@ -129,3 +129,16 @@ def test_hashes_and_seed(spark):
     import hashlib
     with open(os.path.join(d, "seed.csv"), "rb") as fh:
         assert h["sha256"] == hashlib.sha256(fh.read()).hexdigest()
+
+
+def test_stage_log_written(spark):
+    root = tempfile.mkdtemp(prefix="pasture-log-")
+    d = os.path.join(root, "in")
+    write_delivery(d)
+    wh = Warehouse(os.path.join(root, "wh"))
+    ingest_directory(spark, d, wh, "r1", as_of=dt.datetime(2024, 2, 1))
+    log = spark.read.parquet(wh.path("pipeline_execution")).collect()
+    stages = {(r["dataset"], r["stage"]): r for r in log}
+    assert stages[("energy_hourly", "validate")]["records_in"] == 4
+    assert stages[("energy_hourly", "validate")]["records_out"] == 3
+    assert all(r["status"] == "success" for r in log) and len(log) == 8
