@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pasture.operators import stats as ST
 from pasture.operators.joins import join_dimension
@@ -101,13 +101,20 @@ def device_frame(production: DataFrame, hourly: DataFrame, device: DataFrame, si
 
 def clean_device_frame(frame: DataFrame, min_rows: int = 3) -> DataFrame:
     """I12 preparation: drop null target/alias/kWh, require ≥ min_rows before and after the
-    null drop of the other features, add day of year (B18, D19)."""
+    null drop of the other features, add day of year (B18, D19).
+
+    The frame holds one row per (date, device), so a device's rows are bounded
+    by the number of days: one window per device counts both conditions
+    without a join back.
+    """
+    others = ["fed_per_cow_total_kg", "feed_efficiency", "rumination_minutes", "average_lactation_days"]
     f = frame.filter(F.col(TARGET).isNotNull() & F.col("device_alias").isNotNull() & F.col("device_kwh").isNotNull())
-    c1 = f.groupBy("device_alias").agg(F.count(F.lit(1)).alias("_n1")).filter(F.col("_n1") >= min_rows)
-    f = f.join(c1.select("device_alias"), "device_alias", "left_semi")
-    f = f.dropna(subset=["fed_per_cow_total_kg", "feed_efficiency", "rumination_minutes", "average_lactation_days"])
-    c2 = f.groupBy("device_alias").agg(F.count(F.lit(1)).alias("_n2")).filter(F.col("_n2") >= min_rows)
-    f = f.join(c2.select("device_alias"), "device_alias", "left_semi")
+    complete = F.lit(True)
+    for c in others:
+        complete = complete & F.col(c).isNotNull()
+    w = Window.partitionBy("device_alias")
+    f = f.withColumns({"_n1": F.count(F.lit(1)).over(w), "_n2": F.count_if(complete).over(w)})
+    f = f.filter((F.col("_n1") >= min_rows) & (F.col("_n2") >= min_rows) & complete).drop("_n1", "_n2")
     return f.withColumn("day_of_year", F.dayofyear("date"))
 
 
@@ -137,8 +144,9 @@ def ols_pooled(clean: DataFrame) -> DataFrame:
 
 def last7_fit(clean: DataFrame, coefs: DataFrame, k: int = 7) -> DataFrame:
     """In-sample prediction of the last k rows of devices with ≥ k rows."""
-    n = clean.groupBy("device_alias").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
-    t = ST.last_rows(clean.join(n.select("device_alias"), "device_alias", "left_semi"), ["device_alias"], "date", k)
+    # one row per (date, device): the per-device window is bounded by the number of days
+    c = clean.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("device_alias")))
+    t = ST.last_rows(c.filter(F.col("_n") >= k).drop("_n"), ["device_alias"], "date", k)
     t = _num(t, DEVICE_FEATURES)
     p = ST.predict(t, coefs, DEVICE_FEATURES, ["device_alias"])
     return p.select("device_alias", "date", F.col(TARGET).cast("double").alias("actual"), "predicted")

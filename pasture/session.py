@@ -6,7 +6,9 @@ in settings that are unset, so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +21,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -35,6 +38,7 @@ def build_session(master: str = "local[*]", app: str = "pasture",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -53,7 +57,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Pin the settings the library needs on an existing session (UTC etc.)."""
+    """Pin the settings the library needs on an existing session (UTC) and ship the package."""
     for k in ("spark.sql.session.timeZone",):
         spark.conf.set(k, _DEFAULTS[k])
+    ship_package(spark)
     return spark
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pasture`` importable in executor Python workers (``mapInPandas`` solvers).
+
+    The package is zipped once per driver process and added with ``addPyFile``,
+    which distributes it to every executor of the application.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="pasture-pyfiles-"), "pasture.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith((".py", ".yaml")):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
