@@ -119,10 +119,6 @@ def list_datasets() -> list[str]:
 
 # ------------------------------------------------------------------ messages
 
-def _num(v) -> str:
-    return json.dumps(v)
-
-
 def _err(rule: FieldRule, value: Column, etype: str, message: str, constraint: str | None) -> Column:
     return F.struct(F.lit(rule.name).alias("field"), value.cast("string").alias("value"),
                     F.lit(etype).alias("error_type"), F.lit(message).alias("message"),

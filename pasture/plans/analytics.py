@@ -6,10 +6,9 @@ Per-device work is a group key carried through aggregates — never a loop.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pasture.operators import stats as ST
 from pasture.operators.joins import join_dimension

@@ -8,8 +8,7 @@ from pasture.functions import coerce as C
 from pasture.operators import reshape as R
 from pasture.operators.rules import FieldRule, field_errors, get_spec, _typed
 from pasture.plans import ingest as I
-from pasture.plans.oracle import (ampm_ts, blank, euro_float, float_text, int_from_float, ratio_units,
-                                  with_standins as W)
+from pasture.plans.oracle import ampm_ts, blank, euro_float, int_from_float, ratio_units, with_standins as W
 from pasture.plans.registry import register
 from pasture.sources import standins as S
 

@@ -8,7 +8,7 @@ from pasture.functions import coerce as C
 from pasture.operators import profile as P
 from pasture.operators import reshape as R
 from pasture.operators.rules import get_spec
-from pasture.plans.oracle import ampm_ts, cents, with_standins as W
+from pasture.plans.oracle import ampm_ts, with_standins as W
 from pasture.plans.q_ingest import feed
 from pasture.plans.registry import register
 from pasture.sources import standins as S

@@ -18,8 +18,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pasture.functions.numeric import (avg_dec, epoch_micros, fixed, ratio_units, round_dec,
-                                       round_ratio)
+from pasture.functions.numeric import avg_dec, epoch_micros, fixed, ratio_units, round_dec
 from pasture.operators.joins import join_dimension
 
 AsOf = Column | _dt.datetime | _dt.date | str | None

@@ -25,7 +25,6 @@ from pasture.operators import profile as P
 from pasture.operators import reshape as R
 from pasture.operators.joins import join_dimension
 from pasture.operators.rules import DatasetSpec
-from pasture.sources.tables import table  # noqa: F401  (re-export for callers)
 
 MAX_COLUMNS = 64
 _BOM = "﻿"
