@@ -195,7 +195,7 @@ def ingest_directory(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
 
 
 def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkpoint: str,
-                      glob: str = "*.csv", max_files_per_trigger: int | None = None,
+                      glob: str = "*.csv", max_files_per_trigger: int | None = 1000,
                       available_now: bool = True, processing_time: str | None = None,
                       archive_dir: str | None = None, **kw):
     """Poll ``input_dir``; each micro-batch of new files runs ``run_delivery``.
@@ -213,7 +213,8 @@ def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkp
 
     def batch(df: DataFrame, batch_id: int) -> None:
         lines = FS.parse_lines(df)
-        paths = [x[0] for x in df.select("file").distinct().collect()]   # bounded by maxFilesPerTrigger
+        # the file list of one micro-batch is bounded by maxFilesPerTrigger
+        paths = [x[0] for x in df.select("file").distinct().collect()]
         hashes = (spark.read.format("binaryFile").load(paths).select(
             F.col("path").alias("file"), F.sha2("content", 256).alias("sha256")) if paths else None)
         run_delivery(spark, lines, wh, f"batch-{batch_id:08d}", hashes=hashes, **kw)
