@@ -33,10 +33,17 @@ def correlation_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] =
                      target: str | None = None, digits: int = 6) -> DataFrame:
     """Correlation matrix in long form ``(group…, feature_x, feature_y, r, n)``.
 
-    With ``target`` only the target's column of the matrix is produced.
-    One aggregation computes every pair; ``unpivot`` makes it long.
+    With ``target`` only the target's column of the matrix is produced.  The
+    full matrix aggregates only the upper triangle (r and n are symmetric) and
+    mirrors it; one aggregation computes every pair, an explode makes it long.
     """
-    pairs = [(target, c) for c in cols] if target else [(a, b) for a in cols for b in cols]
+    if target:
+        out = [(target, c, i) for i, c in enumerate(cols)]
+        pairs = [(target, c) for c in cols]
+    else:
+        idx = {(a, b): n for n, (a, b) in enumerate((a, b) for i, a in enumerate(cols) for b in cols[i:])}
+        pairs = list(idx)
+        out = [(a, b, idx[(a, b)] if (a, b) in idx else idx[(b, a)]) for a in cols for b in cols]
     aggs = []
     for i, (a, b) in enumerate(pairs):
         aggs.append(F.round(pearson(a, b), digits).alias(f"r{i}"))
@@ -44,7 +51,7 @@ def correlation_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] =
     wide = df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
     stack = F.explode(F.array(*[F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
                                           F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
-                                 for i, (a, b) in enumerate(pairs)]))
+                                 for a, b, i in out]))
     return wide.select(*group, stack.alias("p")).select(*group, "p.*")
 
 
