@@ -62,25 +62,34 @@ def time_profile(df: DataFrame, part: str, ts: str, threshold_s: int = HOURLY_SE
     timestamp, NULL when none parses.  The median test is exact but needs
     only counts: with n gaps of which c are below T, the median is below T
     iff 2c > n, or 2c = n and (largest gap below T + smallest gap ≥ T) < 2T.
-    Consecutive gaps come from windows per (input, day) plus one gap per day
-    boundary, so no window spans a whole input.
+
+    Bounded state: duplicate timestamps are first collapsed with a count
+    (map-side combine; each duplicate is a 0-second gap), gaps between
+    distinct timestamps come from windows per (input, minute), and one gap
+    per minute boundary from a window over the per-minute summaries.
     """
-    t = df.filter(F.col(ts).isNotNull()).select(part, ts).withColumn("_d", F.to_date(ts))
-    w = Window.partitionBy(part, "_d").orderBy(ts)
+    t = df.filter(F.col(ts).isNotNull()).groupBy(part, ts).agg(F.count(F.lit(1)).alias("_m"))
+    t = t.withColumn("_b", F.date_trunc("minute", ts))
+    w = Window.partitionBy(part, "_b").orderBy(ts)
     inner = t.select(part, epoch_micros(F.col(ts), F.lag(ts).over(w)).alias("_gap"))
-    days = t.groupBy(part, "_d").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
-    wd = Window.partitionBy(part).orderBy("_d")
-    edges = days.select(part, epoch_micros(F.col("_first"), F.lag("_last").over(wd)).alias("_gap"))
+    buckets = t.groupBy(part, "_b").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                                        F.sum("_m").alias("_n"), F.sum(F.col("_m") - 1).alias("_zeros"))
+    wb = Window.partitionBy(part).orderBy("_b")
+    edges = buckets.select(part, epoch_micros(F.col("_first"), F.lag("_last").over(wb)).alias("_gap"))
     gaps = inner.unionByName(edges).filter(F.col("_gap").isNotNull())
     lim = threshold_s * 1_000_000
     below = F.col("_gap") < lim
     g = gaps.groupBy(part).agg(F.count(F.lit(1)).alias("_ng"), F.count_if(below).alias("_c"),
                                F.max(F.when(below, F.col("_gap"))).alias("_a"),
-                               F.min(F.when(~below, F.col("_gap"))).alias("_b"))
-    rng = days.groupBy(part).agg(F.sum("_n").alias("n_timestamps"), F.min("_d").alias("start_date"),
-                                 F.max("_d").alias("end_date"))
+                               F.min(F.when(~below, F.col("_gap"))).alias("_above"))
+    rng = buckets.groupBy(part).agg(F.sum("_n").alias("n_timestamps"), F.sum("_zeros").alias("_z"),
+                                    F.to_date(F.min("_first")).alias("start_date"),
+                                    F.to_date(F.max("_last")).alias("end_date"))
     j = rng.join(g, part, "left")
-    c2, n = F.col("_c") * 2, F.col("_ng")
-    hourly = (c2 > n) | ((c2 == n) & (F.col("_a") + F.col("_b") < 2 * lim))
+    z = F.col("_z")
+    n = F.coalesce(F.col("_ng"), F.lit(0)) + z
+    c2 = (F.coalesce(F.col("_c"), F.lit(0)) + z) * 2
+    a = F.when(z > 0, F.greatest(F.coalesce(F.col("_a"), F.lit(0)), F.lit(0))).otherwise(F.col("_a"))
+    hourly = (c2 > n) | ((c2 == n) & (a + F.col("_above") < 2 * lim))
     gran = F.when(F.col("n_timestamps") <= 1, "daily").when(hourly, "hourly").otherwise("daily")
     return j.select(part, "n_timestamps", "start_date", "end_date", gran.alias("granularity"))

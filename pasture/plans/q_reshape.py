@@ -132,28 +132,30 @@ def _sensor_bodies(spark, sf):
     eid = F.col("event_id")
     ts_text = F.when(eid % 41 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:00:00"))
     val = F.when(eid % 37 == 0, None).otherwise(F.col("value"))
-    s = (e.groupBy(F.col("user_id").alias("device"), F.to_date("ts").alias("day"), "event_type")
+    # one response per device and page of 1000 consecutive events: bounded whatever the device's share
+    page = ((eid - eid % 1000) / 1000).cast("long")
+    s = (e.groupBy(F.col("user_id").alias("device"), page.alias("page"), "event_type")
           .agg(F.array_sort(F.collect_list(F.struct(eid.alias("k"), F.struct(ts_text.alias("timestamp"),
                                                                              val.alias("value")).alias("r"))))
                .alias("vals")))
-    s = s.select("device", "day", F.struct(F.col("event_type").alias("key"),
+    s = s.select("device", "page", F.struct(F.col("event_type").alias("key"),
                                            F.struct(F.transform("vals", lambda x: x["r"]).alias("values"))
                                            .alias("value")).alias("kv"))
-    b = s.groupBy("device", "day").agg(F.map_from_entries(F.collect_list("kv")).alias("sensors"))
-    return b.select("device", "day", F.to_json(F.struct("sensors")).alias("body"))
+    b = s.groupBy("device", "page").agg(F.map_from_entries(F.collect_list("kv")).alias("sensors"))
+    return b.select("device", "page", F.to_json(F.struct("sensors")).alias("body"))
 
 
 _PIV = ", ".join(f"arg_max(value, event_id) FILTER (WHERE event_type = '{s}') AS {s}" for s in ALLOWED)
 
 
 @register("sensor_pivot", W(f"""
-SELECT user_id AS device, CAST(ts AS DATE) AS day, strftime(ts, '%Y-%m-%dT%H:00:00') AS timestamp, {_PIV}
+SELECT user_id AS device, event_id // 1000 AS page, strftime(ts, '%Y-%m-%dT%H:00:00') AS timestamp, {_PIV}
 FROM events
 WHERE event_type IN ('click', 'error', 'purchase', 'signup') AND event_id % 37 <> 0 AND event_id % 41 <> 0
 GROUP BY 1, 2, 3"""))
 def q_sensor_pivot(spark, sf):
     b = R.sensor_objects(_sensor_bodies(spark, sf), "body")
-    return R.sensor_pivot(b, "sensors", ["device", "day"], ALLOWED)
+    return R.sensor_pivot(b, "sensors", ["device", "page"], ALLOWED)
 
 
 # ------------------------------------------------------------------ nulls

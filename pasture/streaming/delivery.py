@@ -167,7 +167,8 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         counts = (obs.get["n"], obs.get["valid"])
         st.records_in, st.records_out = counts[0], counts[1]
     with log.stage(run_id, ds, "load") as st:
-        # later files win over earlier ones, then line order (files ranked on the small file list)
+        # later files win over earlier ones, then line order; files are ranked on the distinct file
+        # list of this batch (bounded by maxFilesPerTrigger in the stream), not on the rows
         ranks = staged.select("file_id").distinct().withColumn("_fr", F.dense_rank().over(Window.orderBy("file_id")))
         staged = join_dimension(staged, ranks, "file_id").withColumn(
             "_order", F.col("_fr").cast("long") * F.lit(1 << 32) + F.col("row_number")).drop("_fr")
