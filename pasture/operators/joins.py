@@ -1,9 +1,17 @@
 """Join helpers with an explicit, checked broadcast decision.
 
-A side is broadcast only when Catalyst's size estimate of its optimized plan is
-under a bound; otherwise the join is left to the planner (sort-merge, which AQE
-may still convert at run time once real sizes are known, and split when a key
-is skewed).  Nothing that grows with the data is broadcast unchecked.
+Two checks, both on sizes rather than on hope:
+
+1. plan time — a side is hinted for broadcast only when Catalyst's estimate of
+   its optimized plan is under a bound.  Without table statistics Catalyst
+   over-estimates joins (product of the inputs), so a derived dimension often
+   fails this check; that is the safe direction.
+2. run time — otherwise the join is planned as sort-merge and AQE replaces it
+   with a broadcast only if the *materialised* shuffle output of a side is
+   under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits skewed
+   partitions when it is not.
+
+Nothing that grows with the data is broadcast without one of these checks.
 """
 
 from __future__ import annotations
@@ -16,7 +24,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def plan_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's estimate of ``df``'s size in bytes (None if unavailable)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
     except Exception:  # pragma: no cover - e.g. Spark Connect sessions
         return None
 

@@ -45,3 +45,13 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_top_k_per_group_is_limited_before_shuffle(spark):
     p = plan(Q["trend_slope"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from pasture.operators.joins import broadcast_if_small, plan_size_bytes
+    from pasture.sources.tables import table
+    small = table(spark, SF_SMALL, "region")
+    assert plan_size_bytes(small) is not None and plan_size_bytes(small) < 10_000
+    assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
+    big = table(spark, SF_SMALL, "lineitem")
+    assert broadcast_if_small(big, max_bytes=1000) is big
