@@ -60,7 +60,11 @@ def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None) -> DataFrame:
     cols = []
     for r in spec.fields:
         c = F.col(r.name)
-        cols.append((F.round(c, int(r.store.split(",")[1].rstrip(")"))).cast(r.store) if r.store else c).alias(r.name))
+        if r.store:
+            # decimals cannot hold NaN/±Inf (an unbounded field may carry them): stored as NULL
+            scale = int(r.store.split(",")[1].rstrip(")"))
+            c = F.round(c, scale).try_cast(r.store)
+        cols.append(c.alias(r.name))
     out = v.select("file_id", "row_number", "device_hint", "_order", *cols)
     if "energy" in spec.dataset:
         if devices is not None:    # F16: external → internal id (size-checked broadcast)

@@ -21,8 +21,8 @@ def write_delivery(d):
         fh.write("Date and Time,Hourly\n1/5/2024 1:00:00 AM,\"12,5\"\n1/5/2024 2:00:00 AM,\n"
                  "1/5/2024 2:00:00 AM,\"7,0\"\nnot a date,1\n,\n")
     with open(os.path.join(d, "station.csv"), "w", encoding="utf-8") as fh:
-        fh.write("temperature (°C),timestamp,humidity (%),pm10 (µg/m³),extra\n21,2024-01-05T00:00:00,50,\"12,5\",x\n"
-                 "99,2024-01-05T01:00:00,50,3,x\n")
+        fh.write("temperature (°C),timestamp,humidity (%),pm10 (µg/m³),atm_pressure (hPa),extra\n"
+                 "21,2024-01-05T00:00:00,50,\"12,5\",nan,x\n99,2024-01-05T01:00:00,50,3,1000,x\n")
     with open(os.path.join(d, "unknown.csv"), "w", encoding="utf-8") as fh:
         fh.write("a,b,c\n1,2,3\n")
 
@@ -54,6 +54,7 @@ def test_directory_ingest_and_replay(spark):
     assert got == {(dt.datetime(2024, 1, 5, 1), 12.5), (dt.datetime(2024, 1, 5, 2), 7.0)}   # last row wins
     env = spark.read.parquet(wh.path("facts", "environmental_metrics")).collect()
     assert len(env) == 1                                                                   # 99 °C rejected
+    assert env[0]["atm_pressure"] is None and float(env[0]["pm10"]) == 12.5               # NaN stored as NULL
     inputs = {os.path.basename(r["file"]): r["status"] for r in spark.read.parquet(wh.path("inputs")).collect()}
     assert inputs["unknown.csv"].startswith("rejected")
     # replay: same files again are duplicates, facts unchanged
