@@ -227,3 +227,64 @@ def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkp
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
     return w.start()
+
+
+# Sensors accepted from the sensor API (the allow-list of the reference's connector).
+API_SENSORS = ("temperature", "humidity", "pm10", "pm2p5", "atm_pressure", "noise_level_db",
+               "wind_speed", "wind_direction", "wind_angle")
+_API_COLUMN = {"wind_direction": "wind_direction_sectors"}
+
+
+def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str, endpoint: str = "sensors",
+                     connector: str = "sensor_api", as_of: _dt.datetime | None = None,
+                     dataset: str = "api_environmental_metrics") -> DataFrame:
+    """§3.2 API entry point over landed responses.
+
+    One JSON response per file, named ``<device>-….json``.  Sensors are
+    pivoted to wide rows, validated with the API dataset's rules, upserted by
+    (device, timestamp), and the fetch cursor of every device advances to the
+    newest loaded reading.  Returns the new cursor rows.
+    """
+    from pasture.operators import profile as P
+    from pasture.operators import reshape as R
+    from pasture.plans import control as K
+
+    as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    t0 = F.lit(as_of).cast("timestamp_ntz")
+    spec = get_spec(dataset)
+    resp = FS.read_responses(spark, path)
+    name = F.element_at(F.split("file", "/"), -1)
+    resp = resp.withColumn("device_hint", F.coalesce(P.device_from_name(name),
+                                                     F.regexp_extract(name, r"^([^-.]+)", 1)))
+    wide = R.sensor_pivot(R.sensor_objects(resp, "body"), "sensors", ["file", "device_hint"], API_SENSORS)
+    raw = wide.select(F.col("file").alias("file_id"), "device_hint", F.col("timestamp"),
+                      *[F.col(s).cast("string").alias(_API_COLUMN.get(s, s)) for s in API_SENSORS])
+    raw = R.row_numbers(raw, "file_id", "timestamp", bucket=F.lit(0))
+    staged = I.stage_batch(raw, spec, created_at=t0, keep=("file_id", "row_number", "device_hint"))
+    stage_path = wh.path("staging", f"dataset={dataset}")
+    _append(staged, stage_path, run_id)
+    staged = spark.read.parquet(stage_path).filter(F.col("run") == run_id).drop("run")      # lineage cut
+    staged = staged.withColumn("_order", F.col("row_number").cast("long"))
+    facts = _fact_rows(staged, spec, None).withColumn("source_type", F.lit("api")).withColumn(
+        "source_api_endpoint", F.lit(endpoint))
+    U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
+                   wh.path("facts", spec.target_table), spec.primary_key, "timestamp", spec.strategy,
+                   spec.update_columns, seq="_order")
+    fetches = staged.filter("is_valid").groupBy("file_id", "device_hint").agg(F.max("timestamp").alias("fetched_at"))
+    fetches = fetches.select(F.lit(connector).alias("connector_id"), F.lit(endpoint).alias("endpoint_id"),
+                             F.col("device_hint").alias("device_id"), "fetched_at",
+                             F.xxhash64("file_id").alias("seq"))
+    cur_path = wh.path("api_fetch_cursor")
+    if _exists(spark, cur_path):
+        old = spark.read.parquet(cur_path)
+    else:
+        old = spark.createDataFrame([], "connector_id string, endpoint_id string, device_id string, "
+                                        "last_fetch_timestamp timestamp_ntz, last_fetch_success timestamp_ntz, "
+                                        "fetch_count long")
+    new = K.cursor_upsert(old, fetches.select("connector_id", "endpoint_id", "device_id", F.col("fetched_at"),
+                                              F.col("seq")), ts="fetched_at")
+    # keyed snapshot table: written beside the old one, then swapped in by a second write
+    tmp = wh.path("_tmp", f"api_fetch_cursor-{run_id}")
+    new.write.mode("overwrite").parquet(tmp)
+    spark.read.parquet(tmp).write.mode("overwrite").parquet(cur_path)
+    return spark.read.parquet(cur_path)

@@ -143,3 +143,27 @@ def test_stage_log_written(spark):
     assert stages[("energy_hourly", "validate")]["records_in"] == 4
     assert stages[("energy_hourly", "validate")]["records_out"] == 3
     assert all(r["status"] == "success" for r in log) and len(log) == 8
+
+
+def test_api_responses_to_facts_and_cursor(spark):
+    from pasture.streaming.delivery import ingest_responses
+    root = tempfile.mkdtemp(prefix="pasture-api-")
+    d = os.path.join(root, "in")
+    os.makedirs(d)
+    body = ('{"sensors": {"temperature": {"values": [{"timestamp": "2024-01-05T00:00:00", "value": 21.5},'
+            '{"timestamp": "2024-01-05T00:00:00", "value": 21.7}, {"timestamp": "2024-01-05T01:00:00", "value": 22.0},'
+            '{"timestamp": "2024-01-05T02:00:00", "value": 99}]},'
+            '"wind_direction": {"values": [{"timestamp": "2024-01-05T00:00:00", "value": 3}]},'
+            '"not_listed": {"values": [{"timestamp": "2024-01-05T00:00:00", "value": 1}]}}}')
+    with open(os.path.join(d, "station7-20240105.json"), "w") as fh:
+        fh.write(body)
+    wh = Warehouse(os.path.join(root, "wh"))
+    cur = ingest_responses(spark, d, wh, "r1", as_of=dt.datetime(2024, 1, 6)).collect()
+    facts = {r["timestamp"]: r for r in spark.read.parquet(wh.path("facts", "environmental_metrics")).collect()}
+    assert set(facts) == {dt.datetime(2024, 1, 5, 0), dt.datetime(2024, 1, 5, 1)}       # 99 °C invalid
+    assert float(facts[dt.datetime(2024, 1, 5, 0)]["temperature"]) == 21.7             # last value wins
+    assert float(facts[dt.datetime(2024, 1, 5, 0)]["wind_direction_sectors"]) == 3.0
+    assert facts[dt.datetime(2024, 1, 5, 0)]["source_device_id"] == "station7"
+    assert len(cur) == 1 and cur[0]["last_fetch_timestamp"] == dt.datetime(2024, 1, 5, 1) and cur[0]["fetch_count"] == 1
+    cur2 = ingest_responses(spark, d, wh, "r2", as_of=dt.datetime(2024, 1, 7)).collect()
+    assert cur2[0]["fetch_count"] == 2
