@@ -99,16 +99,16 @@ class StageLog:
             def __exit__(self, et, ev, tb):
                 t1 = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
                 status = "success" if et is None else "failed"
-                log.rows.append((run_id, dataset, stage, self.t0, t1, status, self.records_in, self.records_out,
-                                 None if ev is None else repr(ev)[:500]))
+                log.rows.append((run_id, dataset, f"{dataset}_pipeline", stage, self.t0, t1, status,
+                                 self.records_in, self.records_out, None if ev is None else repr(ev)[:500]))
                 return False          # re-raise (G7)
         return _Ctx()
 
     def write(self, spark: SparkSession, path: str, run_id: str) -> None:
         if self.rows:
-            df = spark.createDataFrame(self.rows, "run_id string, dataset string, stage string, started_at timestamp_ntz, "
-                                       "completed_at timestamp_ntz, status string, records_in long, records_out long, "
-                                       "error_message string")
+            df = spark.createDataFrame(self.rows, "run_id string, dataset string, pipeline_name string, stage string, "
+                                       "started_at timestamp_ntz, completed_at timestamp_ntz, status string, "
+                                       "records_in long, records_out long, error_message string")
             _append(df.drop("run_id"), path, run_id)
 
 
@@ -288,3 +288,34 @@ def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
     new.write.mode("overwrite").parquet(tmp)
     spark.read.parquet(tmp).write.mode("overwrite").parquet(cur_path)
     return spark.read.parquet(cur_path)
+
+
+def purge_staging(spark: SparkSession, wh: Warehouse, as_of: _dt.datetime, days: int = 7) -> DataFrame:
+    """delete loaded staging rows older than ``days``; returns (table_name, deleted_count).
+
+    Valid rows are loaded in the run that staged them, so "loaded" is
+    ``is_valid``.  Only runs holding such rows are rewritten: the kept rows go
+    to the shared folder first, then replace their ``run=`` partitions.
+    """
+    root = wh.path("staging")
+    if not _exists(spark, root):
+        return spark.createDataFrame([], "table_name string, deleted_count long")
+    st = spark.read.parquet(root)
+    old = F.col("is_valid") & (F.col("created_at") < F.lit(as_of).cast("timestamp_ntz")
+                               - F.make_dt_interval(F.lit(days)))
+    counts = (st.groupBy(F.concat(F.lit("staging_"), F.col("dataset")).alias("table_name"))
+                .agg(F.count_if(old).alias("deleted_count")))
+    touched = [(r[0], r[1]) for r in st.filter(old).select("dataset", "run").distinct().collect()]  # bounded: runs
+    result = [tuple(r) for r in counts.collect()]                                                 # one row per dataset
+    if touched:
+        keys = spark.createDataFrame(touched, "dataset string, run string")
+        kept = st.join(keys, ["dataset", "run"], "left_semi").filter(~old)
+        tmp = wh.path("_tmp", f"purge-{as_of:%Y%m%d%H%M%S}")
+        kept.write.mode("overwrite").partitionBy("dataset", "run").parquet(tmp)   # durable copy first
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for ds, run in touched:                  # a partition may become empty: remove, then re-add kept rows
+            p = jvm.org.apache.hadoop.fs.Path(wh.path("staging", f"dataset={ds}", f"run={run}"))
+            p.getFileSystem(conf).delete(p, True)
+        spark.read.parquet(tmp).write.mode("append").partitionBy("dataset", "run").parquet(root)
+    return spark.createDataFrame(result, "table_name string, deleted_count long")

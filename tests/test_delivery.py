@@ -167,3 +167,22 @@ def test_api_responses_to_facts_and_cursor(spark):
     assert len(cur) == 1 and cur[0]["last_fetch_timestamp"] == dt.datetime(2024, 1, 5, 1) and cur[0]["fetch_count"] == 1
     cur2 = ingest_responses(spark, d, wh, "r2", as_of=dt.datetime(2024, 1, 7)).collect()
     assert cur2[0]["fetch_count"] == 2
+
+
+def test_pipeline_views_on_warehouse_and_purge(spark):
+    from pasture.plans import views as V
+    from pasture.streaming.delivery import purge_staging
+    root = tempfile.mkdtemp(prefix="pasture-purge-")
+    d = os.path.join(root, "in")
+    write_delivery(d)
+    wh = Warehouse(os.path.join(root, "wh"))
+    ingest_directory(spark, d, wh, "r1", as_of=dt.datetime(2024, 2, 1))
+    health = V.pipeline_health(spark.read.parquet(wh.path("pipeline_execution"))).collect()
+    assert {r["stage"] for r in health} == {"extract", "validate", "load", "quality"}
+    qs = V.quality_summary(spark.read.parquet(wh.path("data_quality_checks"))).collect()
+    assert {r["dataset"] for r in qs} == {"energy_hourly", "environmental_metrics"}
+    before = spark.read.parquet(wh.path("staging")).count()
+    got = {r["table_name"]: r["deleted_count"] for r in purge_staging(spark, wh, dt.datetime(2024, 3, 1)).collect()}
+    assert got == {"staging_energy_hourly": 3, "staging_environmental_metrics": 1}
+    after = spark.read.parquet(wh.path("staging"))
+    assert after.count() == before - 4 and after.filter("is_valid").count() == 0
