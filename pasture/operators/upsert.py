@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pasture.operators.joins import broadcast_if_small
+from pasture.operators.joins import broadcast_if_small, plan_size_bytes
 
 ORDER = "_upsert_order"
 
@@ -35,14 +35,17 @@ def _ordered(target: DataFrame | None, batch: DataFrame, seq: str | None) -> Dat
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], strategy: str = "update",
            update_columns: Sequence[str] | None = None, seq: str | None = None,
-           split_untouched: bool = True) -> DataFrame:
+           split_untouched: bool | None = None) -> DataFrame:
     """New state of the keyed rows touched by ``batch`` plus untouched ``target`` rows.
 
     ``seq`` orders batch rows (line order); existing rows always come first.
     With ``split_untouched`` only target rows whose key occurs in the batch
     enter the aggregation: the rest are separated by a semi/anti join against
     the batch's distinct keys (broadcast when their size check passes), so the
-    shuffle scales with the batch, not with the table.
+    shuffle scales with the batch, not with the table.  ``None`` (default)
+    splits when the target is estimated at least 4× larger than the batch —
+    the usual case of a batch landing in a big table; for comparable sizes
+    the extra joins would cost more than they save.
     """
     keys = list(keys)
     if not keys:
@@ -57,6 +60,9 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], stra
     if strategy not in ("update", "ignore"):
         raise ValueError(f"unknown conflict strategy {strategy!r}")
     untouched = None
+    if target is not None and split_untouched is None:
+        ts, bs = plan_size_bytes(target), plan_size_bytes(batch)
+        split_untouched = ts is not None and bs is not None and ts >= 4 * bs
     if target is not None and split_untouched:
         bk = broadcast_if_small(batch.select(*keys).distinct())
         untouched = target.join(bk, keys, "left_anti")

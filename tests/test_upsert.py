@@ -42,6 +42,14 @@ def test_fail_and_plain_insert(spark):
     assert sorted(r["k"] for r in U.conflict_keys(t, b, K).collect()) == [2, 3]
 
 
+def test_split_and_unsplit_agree(spark):
+    t, b = frames(spark)
+    for strategy in ("update", "ignore"):
+        a = as_dict(U.upsert(t, b, K, strategy, ["v"], seq="seq", split_untouched=True).drop("seq"))
+        c = as_dict(U.upsert(t, b, K, strategy, ["v"], seq="seq", split_untouched=False).drop("seq"))
+        assert a == c
+
+
 def test_idempotent_and_partition_independent(spark):
     t, b = frames(spark)
     once = U.upsert(t, b, K, "update", ["v"], seq="seq").drop("seq")
