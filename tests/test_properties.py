@@ -57,3 +57,35 @@ def test_ratio_rounding_is_exact(spark, pairs, dp):
     df = spark.createDataFrame(pairs, "n long, d long")
     got = [r[0] for r in df.select(ratio_units(F.col("n"), F.col("d"), dp)).collect()]
     assert got == [half_away(n, d, dp) for n, d in pairs]
+
+
+def py_datetime(v):
+    """Model of D2: am/pm → '%m/%d/%Y %I:%M:%S %p', else ISO-8601 (offset dropped, wall time kept)."""
+    import datetime as dt
+    v = v.strip()
+    try:
+        if "am" in v.lower() or "pm" in v.lower():
+            return dt.datetime.strptime(v, "%m/%d/%Y %I:%M:%S %p")
+        return dt.datetime.fromisoformat(v).replace(tzinfo=None)
+    except ValueError:
+        return None
+
+
+AMPM = st.builds(lambda mo, d, y, h, mi, s, ap: f"{mo}/{d}/{y} {h}:{mi:02d}:{s:02d} {ap}",
+                 st.integers(0, 13), st.integers(0, 32), st.integers(1990, 2030), st.integers(0, 13),
+                 st.integers(0, 61), st.integers(0, 61), st.sampled_from(["AM", "PM", "am", "pm"]))
+ISO = st.builds(lambda y, mo, d, h, mi, s, sep, off: f"{y:04d}-{mo:02d}-{d:02d}{sep}{h:02d}:{mi:02d}:{s:02d}{off}",
+                st.integers(1990, 2030), st.integers(0, 13), st.integers(0, 32), st.integers(0, 24),
+                st.integers(0, 60), st.integers(0, 60), st.sampled_from(["T", " "]),
+                st.sampled_from(["", "Z", "+02:00", "-0530", ".5", ".123456"]))
+BASIC = st.builds(lambda y, mo, d: f"{y:04d}{mo:02d}{d:02d}", st.integers(1990, 2030), st.integers(0, 13),
+                  st.integers(0, 32))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(AMPM, ISO, BASIC), min_size=1, max_size=60))
+def test_datetime_matches_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "raw string")
+    got = [r[0] for r in df.select(C.datetime_ampm("raw")).collect()]
+    for v, g in zip(values, got):
+        assert g == py_datetime(v), v
