@@ -186,3 +186,17 @@ def test_pipeline_views_on_warehouse_and_purge(spark):
     assert got == {"staging_energy_hourly": 3, "staging_environmental_metrics": 1}
     after = spark.read.parquet(wh.path("staging"))
     assert after.count() == before - 4 and after.filter("is_valid").count() == 0
+
+
+def test_stream_equals_batch(spark):
+    root = tempfile.mkdtemp(prefix="pasture-eq-")
+    src = os.path.join(root, "in")
+    write_delivery(src)
+    a, b = Warehouse(os.path.join(root, "wh_batch")), Warehouse(os.path.join(root, "wh_stream"))
+    ingest_directory(spark, src, a, "r1", as_of=dt.datetime(2024, 2, 1))
+    start_file_stream(spark, src, b, os.path.join(root, "ck"), as_of=dt.datetime(2024, 2, 1)).awaitTermination(300)
+    for t in ("fact_energy_hourly", "environmental_metrics"):
+        cols = [c for c in spark.read.parquet(a.path("facts", t)).columns if c != "ingested_at"]
+        fa = sorted(tuple(r) for r in spark.read.parquet(a.path("facts", t)).select(*cols).collect())
+        fb = sorted(tuple(r) for r in spark.read.parquet(b.path("facts", t)).select(*cols).collect())
+        assert fa == fb, t
