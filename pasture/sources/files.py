@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from pasture.operators import profile as P
 from pasture.operators import reshape as R
-from pasture.operators.joins import join_dimension
+from pasture.operators.joins import DEFAULT_BROADCAST_BYTES, join_dimension
 from pasture.operators.rules import DatasetSpec
 
 MAX_COLUMNS = 64
@@ -66,16 +66,33 @@ def classify(headers: DataFrame, defaults: dict[str, str] | None = None) -> Data
                           P.resolve_device_hint(ds, name, defaults).alias("device_hint"))
 
 
-def dataset_rows(lines: DataFrame, classified: DataFrame, spec: DatasetSpec, drop_blank: bool = True) -> DataFrame:
+def files_bytes(classified: DataFrame) -> int:
+    """Measured size of the per-file table (one small aggregate over it, not an estimate)."""
+    v = classified.agg(F.sum(F.length("file") + F.coalesce(F.length(F.concat_ws(",", "columns")), F.lit(0))
+                             + F.lit(64))).first()[0]
+    return int(v or 0)
+
+
+def dataset_rows(lines: DataFrame, classified: DataFrame, spec: DatasetSpec, drop_blank: bool = True,
+                 files_size: int | None = None) -> DataFrame:
     """The data rows of ``spec``'s files as raw string columns named by source header.
 
     Header rows are removed, columns are taken by their position in each
     file's own header (so column order may differ between files), fully empty
     rows are dropped (B6), spreadsheet summary rows too (B8), and every row
     gets its 1-based line number within the file (B10).
+
+    The per-file table is joined to every line.  Its plan estimate is
+    pessimistic (it is derived from an aggregate), so when the caller passes
+    its *measured* size (``files_bytes``) under the broadcast bound it is
+    broadcast and the lines are never shuffled by file (a hot file would
+    otherwise land in one partition).
     """
     files = classified.filter(F.col("dataset") == spec.dataset).select("file", "header_id", "columns", "device_hint")
-    j = join_dimension(lines, files, "file")
+    if files_size is not None and files_size <= DEFAULT_BROADCAST_BYTES:
+        j = lines.join(F.broadcast(files), "file")
+    else:
+        j = join_dimension(lines, files, "file")
     j = j.filter(F.col("line_id") != F.col("header_id"))
     cells = F.array(*[F.col(f"cells.c{i}") for i in range(MAX_COLUMNS)])
     pos = {src: F.array_position("columns", F.lit(src)).cast("int") for src in spec.columns}

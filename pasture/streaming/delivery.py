@@ -137,11 +137,12 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     accepted = files.filter(F.col("status") == "accepted").select("file", "header_id", "columns", "dataset",
                                                                   "device_hint")
     present = [r[0] for r in accepted.select("dataset").distinct().collect() if r[0] in list_datasets()]
+    fsize = FS.files_bytes(accepted)          # measured, decides the broadcast of the per-file table
     registry = []
     log = StageLog()
     try:
         for ds in sorted(present):                   # bounded: one pass per known dataset
-            registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log))
+            registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log, fsize))
     finally:
         log.write(spark, wh.path("pipeline_execution"), run_id)
     if not registry:
@@ -154,10 +155,11 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     return spark.read.parquet(reg_path).filter(F.col("run") == run_id)
 
 
-def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog) -> DataFrame:
+def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog,
+                  fsize: int | None = None) -> DataFrame:
     spec = get_spec(ds)
     with log.stage(run_id, ds, "extract") as st:
-        rows = FS.dataset_rows(lines, accepted, spec)
+        rows = FS.dataset_rows(lines, accepted, spec, files_size=fsize)
         if ds in _ADAPTERS:
             rows = _ADAPTERS[ds](rows)
     with log.stage(run_id, ds, "validate") as st:

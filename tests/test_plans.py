@@ -55,3 +55,19 @@ def test_broadcast_only_behind_size_check(spark):
     assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
     big = table(spark, SF_SMALL, "lineitem")
     assert broadcast_if_small(big, max_bytes=1000) is big
+
+
+def test_delivery_lines_not_shuffled_by_file(spark, tmpdir_fresh):
+    import os
+    from pasture.operators.rules import get_spec
+    from pasture.sources import files as FS
+    d = os.path.join(tmpdir_fresh, "in")
+    os.makedirs(d)
+    with open(os.path.join(d, "m.csv"), "w") as fh:
+        fh.write("Date and Time,Hourly\n1/5/2024 1:00:00 AM,1\n")
+    lines = FS.read_lines(spark, d)
+    cls = FS.classify(FS.header_table(lines))
+    rows = FS.dataset_rows(lines, cls, get_spec("energy_hourly"), files_size=FS.files_bytes(cls))
+    p = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert rows.count() == 1
