@@ -100,8 +100,12 @@ def drop_summary_rows(df: DataFrame, date_col: str = "Date") -> DataFrame:
     """
     if date_col not in df.columns:
         return df
-    up = F.upper(F.col(f"`{date_col}`"))
-    return df.filter(up.isNull() | ~up.isin(*SUMMARY_LABELS))
+    return df.filter(~is_summary_row(F.col(f"`{date_col}`")))
+
+
+def is_summary_row(date_text: Column) -> Column:
+    """B8 predicate: the ``Date`` text, upper-cased without trimming, is a summary label (NULL → False)."""
+    return F.coalesce(F.upper(date_text).isin(*SUMMARY_LABELS), F.lit(False))
 
 
 def iso_text(c) -> Column:

@@ -97,13 +97,13 @@ def dataset_rows(lines: DataFrame, classified: DataFrame, spec: DatasetSpec, dro
     cells = F.array(*[F.col(f"cells.c{i}") for i in range(MAX_COLUMNS)])
     pos = {src: F.array_position("columns", F.lit(src)).cast("int") for src in spec.columns}
     raw = {src: F.when(p > 0, F.try_element_at(cells, p)) for src, p in pos.items()}
+    if drop_blank:       # B6: every cell of the file's row is empty (mapped or not)
+        row_cells = F.slice(cells, 1, F.size("columns"))
+        j = j.filter(F.exists(row_cells, lambda x: x.isNotNull() & (x != "")))
+    date_pos = F.array_position("columns", F.lit("Date")).cast("int")
+    j = j.filter(~R.is_summary_row(F.when(date_pos > 0, F.try_element_at(cells, date_pos))))   # B8, any file
     out = j.select(F.col("file").alias("file_id"), "device_hint", "block", "line_id",
                    *[v.alias(k) for k, v in raw.items()])
-    present = list(spec.columns)
-    if drop_blank:
-        out = out.filter(F.exists(F.array(*[F.col(f"`{c}`") for c in present]),
-                                  lambda x: x.isNotNull() & (x != "")))
-    out = R.drop_summary_rows(out, "Date")
     return R.row_numbers(out, "file_id", "line_id", bucket=F.col("block")).drop("block", "line_id")
 
 

@@ -177,7 +177,8 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         # list of this batch (bounded by maxFilesPerTrigger in the stream), not on the rows
         ranks = staged.select("file_id").distinct().withColumn("_fr", F.dense_rank().over(Window.orderBy("file_id")))
         staged = join_dimension(staged, ranks, "file_id").withColumn(
-            "_order", F.col("_fr").cast("long") * F.lit(1 << 32) + F.col("row_number")).drop("_fr")
+            # 40 bits of line number (1.1e12 lines per file), 23 bits of file rank per batch
+            "_order", F.col("_fr").cast("long") * F.lit(1 << 40) + F.col("row_number")).drop("_fr")
         facts = _fact_rows(staged, spec, devices)
         if "energy" in ds and devices is not None:
             facts = facts.filter(F.col("device_id").isNotNull())   # F16: unresolved device → not loaded

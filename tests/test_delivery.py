@@ -200,3 +200,16 @@ def test_stream_equals_batch(spark):
         fa = sorted(tuple(r) for r in spark.read.parquet(a.path("facts", t)).select(*cols).collect())
         fb = sorted(tuple(r) for r in spark.read.parquet(b.path("facts", t)).select(*cols).collect())
         assert fa == fb, t
+
+
+def test_blank_and_summary_rows_use_the_whole_file_row(spark):
+    from pasture.operators.rules import get_spec
+    d = tempfile.mkdtemp(prefix="pasture-rows-")
+    with open(os.path.join(d, "meter.csv"), "w") as fh:
+        fh.write("Date and Time,Hourly,Note,Date\n1/5/2024 1:00:00 AM,1,,\n,,only note,\n,,,\n,5,,TOTAL\n")
+    lines = FS.read_lines(spark, d)
+    cls = FS.classify(FS.header_table(lines))
+    # header has 4 columns, so this is not an energy file by C1; classify it as hourly energy for the test
+    cls = cls.withColumn("dataset", F.lit("energy_hourly"))
+    rows = FS.dataset_rows(lines, cls, get_spec("energy_hourly")).orderBy("row_number").collect()
+    assert [(r["row_number"], r["Hourly"]) for r in rows] == [(1, "1"), (2, None)]   # note-only row kept
