@@ -25,7 +25,7 @@ _POS_INF = ("inf", "+inf", "infinity", "+infinity")
 _NEG_INF = ("-inf", "-infinity")
 
 _ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_ISO_TS = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?"
+_ISO_TS = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?"
            r"(Z|[+-][0-9]{2}:?[0-9]{2})?$")
 _BASIC_DATE = r"^[0-9]{8}$"
 _BASIC_TS = r"^[0-9]{8}T[0-9]{6}$"
@@ -89,10 +89,15 @@ def _has_ampm(t: Column) -> Column:
     return low.contains("am") | low.contains("pm")
 
 
+def _iso_wall_time(t: Column) -> Column:
+    """Offset dropped (wall time kept), comma fraction → point, hour-only time → ``HH:00``."""
+    x = F.regexp_replace(F.regexp_replace(t, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", ""), ",", ".")
+    return F.when(x.rlike(r"[T ][0-9]{2}$"), F.concat(x, F.lit(":00"))).otherwise(x)
+
+
 def _iso_timestamp(t: Column) -> Column:
     return (F.when(t.rlike(_ISO_DATE), F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
-             .when(t.rlike(_ISO_TS), F.regexp_replace(t, r"(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
-                   .try_cast("timestamp_ntz"))
+             .when(t.rlike(_ISO_TS), _iso_wall_time(t).try_cast("timestamp_ntz"))
              .when(t.rlike(_BASIC_DATE), F.try_to_timestamp(t, F.lit("yyyyMMdd")))
              .when(t.rlike(_BASIC_TS), F.try_to_timestamp(t, F.lit("yyyyMMdd'T'HHmmss"))))
 

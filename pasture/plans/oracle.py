@@ -207,7 +207,8 @@ def ampm_ts(c: str) -> str:
             f"(CASE WHEN regexp_full_match({t}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}} [0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}} [AaPp][Mm]') "
             f"THEN try_strptime({t}, '%m/%d/%Y %I:%M:%S %p') END) "
             f"WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast({t} AS TIMESTAMP) "
-            f"WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]{{1,6}})?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') "
-            f"THEN try_cast(regexp_replace({t}, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', '') AS TIMESTAMP) "
+            f"WHEN regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[T ][0-9]{{2}}(:[0-9]{{2}}(:[0-9]{{2}}([.,][0-9]{{1,6}})?)?)?(Z|[+-][0-9]{{2}}:?[0-9]{{2}})?') "
+            f"THEN try_cast(regexp_replace(regexp_replace(regexp_replace({t}, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', ''), ',', '.'), "
+            f"'([T ][0-9]{{2}})$', '\\1:00') AS TIMESTAMP) "
             f"WHEN regexp_full_match({t}, '[0-9]{{8}}') THEN try_strptime({t}, '%Y%m%d') "
             f"WHEN regexp_full_match({t}, '[0-9]{{8}}T[0-9]{{6}}') THEN try_strptime({t}, '%Y%m%dT%H%M%S') END)")

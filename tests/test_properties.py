@@ -78,12 +78,15 @@ ISO = st.builds(lambda y, mo, d, h, mi, s, sep, off: f"{y:04d}-{mo:02d}-{d:02d}{
                 st.integers(1990, 2030), st.integers(0, 13), st.integers(0, 32), st.integers(0, 24),
                 st.integers(0, 60), st.integers(0, 60), st.sampled_from(["T", " "]),
                 st.sampled_from(["", "Z", "+02:00", "-0530", ".5", ".123456"]))
+SHORT = st.builds(lambda y, mo, d, h, sep, tail: f"{y:04d}-{mo:02d}-{d:02d}{sep}{h:02d}{tail}",
+                  st.integers(1990, 2030), st.integers(1, 12), st.integers(1, 28), st.integers(0, 24),
+                  st.sampled_from(["T", " "]), st.sampled_from(["", ":30", ":30:15,25", "+02:00", "Z"]))
 BASIC = st.builds(lambda y, mo, d: f"{y:04d}{mo:02d}{d:02d}", st.integers(1990, 2030), st.integers(0, 13),
                   st.integers(0, 32))
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.one_of(AMPM, ISO, BASIC), min_size=1, max_size=60))
+@given(st.lists(st.one_of(AMPM, ISO, SHORT, BASIC), min_size=1, max_size=60))
 def test_datetime_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "raw string")
     got = [r[0] for r in df.select(C.datetime_ampm("raw")).collect()]
