@@ -142,12 +142,13 @@ def _parse(rule: FieldRule, raw: Column) -> Column:
     return C.strip(raw)
 
 
-def _typed(rule: FieldRule, raw: Column | None) -> tuple[Column, Column, Column | None]:
+def _typed(rule: FieldRule, raw: Column | None, parsed: Column | None = None
+           ) -> tuple[Column, Column, Column | None]:
     """(typed value, type-error predicate, blank predicate) for one field."""
     if raw is None:
         default = rule.if_absent
         return F.lit(default), F.lit(False), None
-    parsed = _parse(rule, raw)
+    parsed = _parse(rule, raw) if parsed is None else parsed
     blank = C.is_blank(raw) | (F.trim(raw) == "") if rule.type != "str" else C.is_blank(raw)
     bad = ~blank & parsed.isNull()
     value = parsed
@@ -158,14 +159,22 @@ def _typed(rule: FieldRule, raw: Column | None) -> tuple[Column, Column, Column
     return value, bad, blank
 
 
+def _no_errors() -> Column:
+    return F.array().cast(T.ArrayType(ERROR_TYPE))
+
+
 def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column,
-                 blank: Column | None) -> list[Column]:
-    """Error structs of one field in the order the checks apply (at most one fires)."""
-    out: list[Column] = []
+                 blank: Column | None) -> Column:
+    """The field's errors as an array of 0 or 1 structs (checks in order; the first that fails wins).
+
+    An array per field, concatenated by the caller, keeps the whole error
+    computation in generated code — a higher-order ``filter`` over an array of
+    nullable structs would run interpreted together with every check below it.
+    """
     if raw is None:
         if rule.required:
-            out.append(_err(rule, F.lit(None), "missing", "Field required", None))
-        return out
+            return F.array(_err(rule, F.lit(None), "missing", "Field required", None))
+        return _no_errors()
     checks: list[tuple[Column, Column]] = []
     tname = {"datetime": "datetime", "date": "date", "float": "number", "int": "integer",
              "bool": "boolean", "time": "time"}.get(rule.type, "string")
@@ -208,10 +217,8 @@ def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column
     # the first failing check of a field wins (a field yields at most one error)
     expr = None
     for cond, err in checks:
-        expr = F.when(cond, err) if expr is None else expr.when(cond, err)
-    if expr is not None:
-        out.append(expr)
-    return out
+        expr = F.when(cond, F.array(err)) if expr is None else expr.when(cond, F.array(err))
+    return _no_errors() if expr is None else expr.otherwise(_no_errors())
 
 
 def _raw_col(df: DataFrame, spec: DatasetSpec, target: str) -> Column | None:
@@ -232,8 +239,8 @@ def validation_columns(df: DataFrame, spec: DatasetSpec, stop_on_schema_errors:
         value, bad, blank = _typed(rule, raw)
         typed[rule.name] = value
         errs = field_errors(rule, raw, value, bad, blank)
-        (schema_errs if raw is None else other_errs).extend(errs)
-    arr = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull()) if xs else F.array().cast(T.ArrayType(ERROR_TYPE))
+        (schema_errs if raw is None else other_errs).append(errs)
+    arr = lambda xs: F.concat(*xs) if xs else _no_errors()
     if stop_on_schema_errors and schema_errs:
         errors = F.when(F.size(arr(schema_errs)) > 0, arr(schema_errs)).otherwise(arr(other_errs))
     else:
@@ -246,8 +253,51 @@ def validation_columns(df: DataFrame, spec: DatasetSpec, stop_on_schema_errors:
 
 def validate(df: DataFrame, spec: DatasetSpec, keep: list[str] | tuple = (),
              stop_on_schema_errors: bool = False) -> DataFrame:
-    """Typed columns + ``errors`` + ``is_valid`` + ``warnings`` in one projection."""
-    typed, errors, warnings = validation_columns(df, spec, stop_on_schema_errors)
-    out = df.select(*[F.col(k) for k in keep], *[v.alias(k) for k, v in typed.items()],
-                    errors.alias("errors"), warnings.alias("warnings"))
+    """Typed columns + ``errors`` + ``is_valid`` + ``warnings``.
+
+    Three projections: the first runs every field's parser once, the second
+    derives value / blank / parse-failure flags, the third runs the checks.  Spark
+    keeps the two apart instead of inlining the parsers into every check (it
+    does not duplicate non-trivial expressions when collapsing projections),
+    so each regex and timestamp parse runs once per row; the projections are
+    still one codegen stage with no exchange.
+    """
+    parses: dict[str, Column] = {}
+    flags: dict[str, Column] = {}
+    raws: dict[str, str] = {}
+    for rule in spec.fields:
+        if _raw_col(df, spec, rule.name) is None:
+            continue
+        src = next(src for src, dst in spec.columns.items() if dst == rule.name and src in df.columns)
+        raws[rule.name] = src
+        parses[f"_p_{rule.name}"] = _parse(rule, F.col(f"`{src}`"))
+        value, bad, blank = _typed(rule, F.col(f"`{src}`"), F.col(f"_p_{rule.name}"))
+        flags.update({f"_v_{rule.name}": value, f"_x_{rule.name}": bad, f"_b_{rule.name}": blank})
+    raw_cols = [c for c in sorted(set(raws.values())) if c not in keep]
+    known = set(spec.columns) | {"file_id", "row_number", "source_file", "_file"}
+    extra = [c for c in df.columns if c not in known and not c.startswith("_")]
+    warnings = F.array(*[F.lit(f"Unexpected field: {c}") for c in extra]).cast("array<string>")
+    # projection 1: each parser once; projection 2: value / failure / blank flags from the parsed columns
+    zero = df.select(*[F.col(k) for k in keep], *[F.col(f"`{c}`") for c in raw_cols],
+                     *[v.alias(k) for k, v in parses.items()])
+    first = zero.select(*[F.col(k) for k in keep], *[F.col(f"`{c}`") for c in raw_cols],
+                        *[v.alias(k) for k, v in flags.items()])
+    typed: dict[str, Column] = {}
+    schema_errs: list[Column] = []
+    other_errs: list[Column] = []
+    for rule in spec.fields:
+        if rule.name not in raws:
+            typed[rule.name] = F.lit(rule.if_absent)
+            schema_errs.append(field_errors(rule, None, F.lit(None), F.lit(False), None))
+            continue
+        v, x, b = (F.col(f"_{t}_{rule.name}") for t in ("v", "x", "b"))
+        typed[rule.name] = v
+        other_errs.append(field_errors(rule, F.col(f"`{raws[rule.name]}`"), v, x, b))
+    arr = lambda xs: F.concat(*xs) if xs else _no_errors()
+    if stop_on_schema_errors and schema_errs:
+        errors = F.when(F.size(arr(schema_errs)) > 0, arr(schema_errs)).otherwise(arr(other_errs))
+    else:
+        errors = arr(schema_errs + other_errs)
+    out = first.select(*[F.col(k) for k in keep], *[c.alias(k) for k, c in typed.items()],
+                       errors.alias("errors"), warnings.alias("warnings"))
     return out.withColumn("is_valid", F.size("errors") == 0)

@@ -97,7 +97,7 @@ def _violations(spark, sf, raw_col: str, rule: FieldRule, only: str | None = Non
     raw = F.col(f"`{raw_col}`")
     value, bad, blk = _typed(rule, raw)
     errs = field_errors(rule, raw, value, bad, blk)
-    e = f.select("file_id", "row_number", F.explode(F.filter(F.array(*errs), lambda x: x.isNotNull())).alias("e"))
+    e = f.select("file_id", "row_number", F.explode(errs).alias("e"))
     e = e.select("file_id", "row_number", "e.*")
     return e.filter(F.col("error_type") == only) if only else e
 

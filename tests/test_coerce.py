@@ -81,5 +81,5 @@ def test_pattern_anchored_at_start(spark, pattern, value, ok):
     df = spark.createDataFrame([(value,)], "raw string")
     rule = FieldRule("raw", type="str", pattern=pattern)
     v, bad, blank = _typed(rule, F.col("raw"))
-    errs = df.select(F.filter(F.array(*field_errors(rule, F.col("raw"), v, bad, blank)), lambda x: x.isNotNull())).first()[0]
+    errs = df.select(field_errors(rule, F.col("raw"), v, bad, blank)).first()[0]
     assert (len(errs) == 0) == ok
