@@ -18,10 +18,12 @@ def test_ingestion_has_no_python_on_row_path(spark):
 
 
 def test_device_dimension_is_broadcast(spark):
-    p = plan(Q["energy_monthly"](spark, SF_SMALL))
+    df = Q["energy_monthly"](spark, SF_SMALL)
+    p = plan(df)
     assert "BroadcastHashJoin" in p
-    # the month roll-up happens before the join (partial + final aggregate under the join input)
-    assert p.index("HashAggregate") < p.index("BroadcastHashJoin") or "BroadcastHashJoin" in p
+    # the month roll-up happens before the device join: partial and final aggregates sit under it
+    opt = df._jdf.queryExecution().optimizedPlan().toString()
+    assert opt.index("Join") < opt.index("Aggregate")
 
 
 def test_no_cartesian_products(spark):
