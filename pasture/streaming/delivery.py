@@ -54,7 +54,7 @@ def _append(df: DataFrame, path: str, run_id: str, by: tuple[str, ...] = ()) ->
        .partitionBy(*by, "run").parquet(path))
 
 
-def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None) -> DataFrame:
+def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None, method: str = "batch") -> DataFrame:
     """Valid staged rows → fact columns (storage types) + provenance."""
     v = staged.filter("is_valid")
     cols = []
@@ -76,7 +76,7 @@ def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None) -> DataFrame:
         "source_type": FS.source_type_of(F.col("file_id")),
         "source_file": F.col("file_id"),
         "source_device_id": F.col("device_hint"),
-        "ingestion_method": F.lit("batch"),
+        "ingestion_method": F.lit(method),
     })
     return out
 
@@ -114,8 +114,12 @@ class StageLog:
 
 def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: str,
                  as_of: _dt.datetime | None = None, devices: DataFrame | None = None,
-                 hashes: DataFrame | None = None, defaults: dict[str, str] | None = None) -> DataFrame:
-    """Process every file in ``lines``; returns the per-file registry rows written."""
+                 hashes: DataFrame | None = None, defaults: dict[str, str] | None = None,
+                 ingestion_method: str = "batch") -> DataFrame:
+    """Process every file in ``lines``; returns the per-file registry rows written.
+
+    ``ingestion_method`` is recorded on every fact row: 'batch' or 'streaming' (decision Q3).
+    """
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     t0 = F.lit(as_of).cast("timestamp_ntz")
     headers = FS.classify(FS.header_table(lines), defaults).persist()
@@ -142,7 +146,8 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     log = StageLog()
     try:
         for ds in sorted(present):                   # bounded: one pass per known dataset
-            registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log, fsize))
+            registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log, fsize,
+                                          ingestion_method))
     finally:
         log.write(spark, wh.path("pipeline_execution"), run_id)
     if not registry:
@@ -156,7 +161,7 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
 
 
 def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog,
-                  fsize: int | None = None) -> DataFrame:
+                  fsize: int | None = None, method: str = "batch") -> DataFrame:
     spec = get_spec(ds)
     with log.stage(run_id, ds, "extract") as st:
         rows = FS.dataset_rows(lines, accepted, spec, files_size=fsize)
@@ -179,7 +184,7 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         staged = join_dimension(staged, ranks, "file_id").withColumn(
             # 40 bits of line number (1.1e12 lines per file), 23 bits of file rank per batch
             "_order", F.col("_fr").cast("long") * F.lit(1 << 40) + F.col("row_number")).drop("_fr")
-        facts = _fact_rows(staged, spec, devices)
+        facts = _fact_rows(staged, spec, devices, method)
         if "energy" in ds and devices is not None:
             facts = facts.filter(F.col("device_id").isNotNull())   # F16: unresolved device → not loaded
         time_col = next(r.name for r in spec.fields if r.type in ("datetime", "date"))
@@ -225,7 +230,7 @@ def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkp
         paths = [x[0] for x in df.select("file").distinct().collect()]
         hashes = (spark.read.format("binaryFile").load(paths).select(
             F.col("path").alias("file"), F.sha2("content", 256).alias("sha256")) if paths else None)
-        run_delivery(spark, lines, wh, f"batch-{batch_id:08d}", hashes=hashes, **kw)
+        run_delivery(spark, lines, wh, f"batch-{batch_id:08d}", hashes=hashes, ingestion_method="streaming", **kw)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")

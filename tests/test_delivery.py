@@ -195,8 +195,10 @@ def test_stream_equals_batch(spark):
     a, b = Warehouse(os.path.join(root, "wh_batch")), Warehouse(os.path.join(root, "wh_stream"))
     ingest_directory(spark, src, a, "r1", as_of=dt.datetime(2024, 2, 1))
     start_file_stream(spark, src, b, os.path.join(root, "ck"), as_of=dt.datetime(2024, 2, 1)).awaitTermination(300)
+    methods = {r[0] for r in spark.read.parquet(b.path("facts", "fact_energy_hourly")).select("ingestion_method").collect()}
+    assert methods == {"streaming"}
     for t in ("fact_energy_hourly", "environmental_metrics"):
-        cols = [c for c in spark.read.parquet(a.path("facts", t)).columns if c != "ingested_at"]
+        cols = [c for c in spark.read.parquet(a.path("facts", t)).columns if c not in ("ingested_at", "ingestion_method")]
         fa = sorted(tuple(r) for r in spark.read.parquet(a.path("facts", t)).select(*cols).collect())
         fb = sorted(tuple(r) for r in spark.read.parquet(b.path("facts", t)).select(*cols).collect())
         assert fa == fb, t
