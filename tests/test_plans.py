@@ -73,3 +73,8 @@ def test_delivery_lines_not_shuffled_by_file(spark, tmpdir_fresh):
     p = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     assert rows.count() == 1
+
+
+def test_error_sample_is_bounded_before_shuffle(spark):
+    p = plan(Q["error_breakdown"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p
