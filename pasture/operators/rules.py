@@ -228,29 +228,6 @@ def _raw_col(df: DataFrame, spec: DatasetSpec, target: str) -> Column | None:
     return None
 
 
-def validation_columns(df: DataFrame, spec: DatasetSpec, stop_on_schema_errors: bool = False
-                       ) -> tuple[dict[str, Column], Column, Column]:
-    """Typed field columns, the ``errors`` array and the ``warnings`` array for ``df``."""
-    typed: dict[str, Column] = {}
-    schema_errs: list[Column] = []
-    other_errs: list[Column] = []
-    for rule in spec.fields:
-        raw = _raw_col(df, spec, rule.name)
-        value, bad, blank = _typed(rule, raw)
-        typed[rule.name] = value
-        errs = field_errors(rule, raw, value, bad, blank)
-        (schema_errs if raw is None else other_errs).append(errs)
-    arr = lambda xs: F.concat(*xs) if xs else _no_errors()
-    if stop_on_schema_errors and schema_errs:
-        errors = F.when(F.size(arr(schema_errs)) > 0, arr(schema_errs)).otherwise(arr(other_errs))
-    else:
-        errors = arr(schema_errs + other_errs)
-    known = set(spec.columns) | {"file_id", "row_number", "source_file", "_file"}
-    extra = [c for c in df.columns if c not in known and not c.startswith("_")]
-    warnings = F.array(*[F.lit(f"Unexpected field: {c}") for c in extra]).cast("array<string>")
-    return typed, errors, warnings
-
-
 def validate(df: DataFrame, spec: DatasetSpec, keep: list[str] | tuple = (),
              stop_on_schema_errors: bool = False) -> DataFrame:
     """Typed columns + ``errors`` + ``is_valid`` + ``warnings``.
