@@ -18,3 +18,33 @@ def op2_simhash_dedup(spark, sf_dir):
     """Fingerprint and class of every document: three-word shingles, radius 2."""
     from pasture.llm.simhash_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2, seed=42)
+
+
+@_query
+def op5_substring_dedup(spark, sf_dir):
+    """Every document without the words of 35-word windows that repeat anywhere."""
+    from pasture.llm.substring_dedup import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"), length=35).drop("kept")
+
+
+@_query
+def op6_token_counts(spark, sf_dir):
+    """Token counts of every whole document."""
+    import public_tokenizers
+    from pasture.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@_query
+def op8_bpe_round_trip(spark, sf_dir):
+    """Ids and decoded text of every whole document, as digests."""
+    import public_tokenizers
+    from pasture.llm.bpe_transducer import round_trip
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op10_warc_round_trip(spark, sf_dir):
+    """Every page written to WARC archives and read back."""
+    from pasture.llm.warc_chunks import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
