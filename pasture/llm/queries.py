@@ -48,3 +48,27 @@ def op10_warc_round_trip(spark, sf_dir):
     """Every page written to WARC archives and read back."""
     from pasture.llm.warc_chunks import round_trip
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op3_quality_ledger(spark, sf_dir):
+    """Measurements, failure bits and the current policy's verdict of every document, from the stored ledger."""
+    from pasture.llm.quality_ledger import ledger, verdicts
+    from pasture.llm.scratch import stored
+    return verdicts(stored(ledger(table(spark, sf_dir, "documents")), "ledger"))
+
+
+@_query
+def op4_url_equivalence(spark, sf_dir):
+    """Host, path, rule and verdict of every page's url."""
+    from pasture.llm.url_equivalence import decisions
+    return decisions(table(spark, sf_dir, "pages"))
+
+
+def _load_sql():
+    from pasture.llm import quality_ledger, url_equivalence
+    ORACLE["op3_quality_ledger"] = quality_ledger.ORACLE_SQL
+    ORACLE["op4_url_equivalence"] = url_equivalence.oracle_sql()
+
+
+_load_sql()
