@@ -72,3 +72,10 @@ def _load_sql():
 
 
 _load_sql()
+
+
+@_query
+def op7_decontaminate(spark, sf_dir):
+    """Every document and benchmark item it holds, at a shingle similarity of 0.8 or more."""
+    from pasture.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
