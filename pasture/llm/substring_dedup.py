@@ -20,6 +20,7 @@ Overlapping removed windows join to maximal repeats when they are applied.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -30,31 +31,31 @@ from pyspark.sql import functions as F
 from pasture.llm.scratch import stored
 
 LENGTH, SEED = 35, 13
-BLOCK = 1 << 17         # windows handled at once, so that a huge text needs bounded arrays
-CACHE = 500_000
-_B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F      # odd bases of the two word-sequence hashes
-_KNOWN: dict[bytes, int] = {}
+BLOCK = 1 << 16         # words handled at once, so that a huge text needs bounded arrays
+# odd bases of the hashes of words, grams and word sequences
+_B0, _B1, _B2 = 0xA0761D6478BD642F, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, with a bounded cache in each worker."""
-    new = set(words).difference(_KNOWN)
-    if new:
-        if len(_KNOWN) + len(new) > CACHE:
-            _KNOWN.clear()
-            new = set(words)
-        _KNOWN.update((w, xxhash.xxh64_intdigest(w)) for w in new)
-    return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.array([xxhash.xxh64_intdigest(bytes([c])) for c in range(256)], np.uint64)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, np.uint64)
-    p[0] = 1
-    return np.cumprod(p, dtype=np.uint64)
+    """The first n powers of a base modulo 2**64; those of a block are computed once per worker."""
+    p = _POWERS.get(base)
+    if p is None or len(p) < n:
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        p = np.cumprod(p, dtype=np.uint64)
+        if n <= 16 * BLOCK:
+            _POWERS[base] = p
+    return p[:n]
 
 
 class _Sequences:
-    """Hashes of any word range of one block: sums of word hash times base power, shifted back to power zero."""
+    """Hashes of any range of one block: sums of element times base power, shifted back to power zero and mixed."""
 
     def __init__(self, h: np.ndarray, base: int):
         self.sums = np.zeros(len(h) + 1, np.uint64)
@@ -68,19 +69,65 @@ class _Sequences:
         return x ^ (x >> np.uint64(29))
 
 
-def _runs(words: list[bytes], length: int, seed: int):
-    """Per block: (first word, hashes, anchors, first window of each run, windows in it, anchor offset)."""
-    span = length - seed + 1
-    for at in range(0, len(words) - length + 1, BLOCK):
-        h = _hashes(words[at:at + BLOCK + length - 1])
-        grams = _Sequences(h, _B1)
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offset and 64-bit hash of every word."""
+    raw = np.frombuffer(text, np.uint8)
+    edge = np.diff(_GAP[raw].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return start, _Sequences(_BYTE[raw], _B0).of(start, end)
+
+
+def _segments(texts, length: int):
+    """Lists of (row, first word, text) of some BLOCK words together; a longer text comes in overlapping parts."""
+    held, n = [], 0
+    for row, t in enumerate(texts):
+        parts = [(0, t)]
+        if len(t) > 8 * BLOCK:
+            words = t.split()
+            parts = [(at, b" ".join(words[at:at + BLOCK + length - 1])) for at in range(0, len(words), BLOCK)]
+        for at, part in parts:
+            held.append((row, at, part))
+            n += len(part)
+            if n >= 6 * BLOCK:
+                yield held
+                held, n = [], 0
+    if held:
+        yield held
+
+
+def _least(key: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` neighbours, by doubling."""
+    have = 1
+    while 2 * have <= width:
+        key = np.minimum(key[:-have], key[have:])
+        have *= 2
+    return np.minimum(key[:len(key) - (width - have)], key[width - have:]) if have < width else key
+
+
+def _runs(texts, length: int, seed: int):
+    """Per block: word hashes, and of each run its row, the block's offset in the text, anchor hash, first window
+    (in the block), number of windows and anchor offset."""
+    place = np.uint64((1 << 24) - 1)            # low bits of a key: the later of equal grams is the lesser one
+    for held in _segments(texts, length):
+        start, h = _words(b" ".join(t for _, _, t in held))
+        if len(h) < length:
+            continue
+        ends = np.cumsum([len(t) + 1 for _, _, t in held])
+        until = np.searchsorted(start, ends)                    # words up to the end of each text
         g = np.arange(len(h) - seed + 1)
-        g = grams.of(g, g + seed)
-        near = np.lib.stride_tricks.sliding_window_view(g, span)
-        pos = np.arange(len(near)) + span - 1 - near[:, ::-1].argmin(axis=1)
-        first = np.concatenate([[0], np.flatnonzero(pos[1:] != pos[:-1]) + 1])
-        many = np.diff(first, append=len(pos))
-        yield at, h, g[pos[first]], first, many, pos[first] - first
+        anchors = _Sequences(h, _B1).of(g, g + seed)
+        least = _least((anchors & ~place) | (place - g.astype(np.uint64)), length - seed + 1)
+        pos = (place - (least & place)).astype(np.int64)
+        seg = np.repeat(np.arange(len(held)), np.diff(until, prepend=0))[:len(pos)]
+        whole = np.arange(len(pos)) + length <= until[seg]      # windows inside one text
+        new = np.ones(len(pos), bool)
+        new[1:] = (pos[1:] != pos[:-1]) | (seg[1:] != seg[:-1]) | (whole[1:] != whole[:-1])
+        bounds = np.flatnonzero(new)
+        many = np.diff(bounds, append=len(pos))[whole[bounds]]
+        first = bounds[whole[bounds]]
+        at = np.array([a for _, a, _ in held]) - np.concatenate([[0], until[:-1]])
+        rows = np.array([r for r, _, _ in held])
+        yield h, rows[seg[first]], at[seg[first]], anchors[pos[first]], first, many, pos[first] - first
 
 
 _OCCURRENCE = "anchor bigint, run bigint, did bigint, tid bigint, a int, m int"
@@ -88,24 +135,15 @@ _OCCURRENCE = "anchor bigint, run bigint, did bigint, tid bigint, a int, m int"
 
 def _occurrences(batches, length: int, seed: int, only_anchor: bool):
     for b in batches:
-        out: dict[str, list[np.ndarray]] = {k: [] for k in ("anchor", "run", "did", "tid", "a", "m")}
         did, tid = (b.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tid"))
-        for i, t in enumerate(b.column("text").to_pylist()):
-            for at, h, anchor, first, many, off in _runs((t or b"").split(), length, seed):
-                out["anchor"].append(anchor)
-                if only_anchor:
-                    continue
-                whole = _Sequences(h, _B2).of(first, first + many + length - 1)
-                out["run"].append(whole + (off * 64 + many).astype(np.uint64) * np.uint64(_B1))
-                out["did"].append(np.full(len(first), did[i]))
-                out["tid"].append(np.full(len(first), tid[i]))
-                out["a"].append((first + at).astype(np.int32))
-                out["m"].append(many.astype(np.int32))
-        names = ["anchor"] if only_anchor else list(out)
-        cols = [np.concatenate(out[k]) if out[k] else np.empty(0, np.int64) for k in names]
-        kinds = [pa.int32() if k in ("a", "m") else pa.int64() for k in names]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, kind) for c, kind in zip(cols, kinds)], names)
+        for h, row, at, anchor, first, many, off in _runs(b.column("text").to_pylist(), length, seed):
+            cols = [pa.array(anchor.view(np.int64))]
+            if not only_anchor:
+                run = _Sequences(h, _B2).of(first, first + many + length - 1)
+                run += (off * 64 + many).astype(np.uint64) * np.uint64(_B1)
+                cols += [pa.array(run.view(np.int64)), pa.array(did[row]), pa.array(tid[row]),
+                         pa.array((first + at).astype(np.int32)), pa.array(many.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, ["anchor", "run", "did", "tid", "a", "m"][:len(cols)])
 
 
 def _windows(batches, length: int):
@@ -115,7 +153,7 @@ def _windows(batches, length: int):
         for did, tid, text, runs in zip(*(b.column(c).to_pylist() for c in ("did", "tid", "text", "runs"))):
             words = text.split()
             for r in runs:
-                h = _hashes(words[r["a"]:r["a"] + r["m"] + length - 1])
+                h = _words(b" ".join(words[r["a"]:r["a"] + r["m"] + length - 1]))[1]
                 s = np.arange(r["m"])
                 rows["window"].append(_Sequences(h, _B2).of(s, s + length).view(np.int64))
                 rows["s"].append((s + r["a"]).astype(np.int32))
