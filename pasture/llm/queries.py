@@ -79,3 +79,10 @@ def op7_decontaminate(spark, sf_dir):
     """Every document and benchmark item it holds, at a shingle similarity of 0.8 or more."""
     from pasture.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op9_pii_spans(spark, sf_dir):
+    """Base and added spans of personal data in every document."""
+    from pasture.llm.pii_spans import find
+    return find(table(spark, sf_dir, "documents"))
