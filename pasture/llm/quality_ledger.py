@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pasture.llm.scratch import pick
+from pasture.llm.scratch import kept, pick
 
 SPACE = " \t\n\x0b\x0c\r"
 _GAP = "[ \\t-\\r]+"
@@ -116,7 +116,7 @@ def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The rows of ``docs`` (with their columns) that the policy keeps; base failures always go."""
     d = measured(docs)
     bits = F.col("ledger.fail_bits")
-    return d.where(passes(bits, BASE) & passes(bits, policy)).select("row.*")
+    return kept(d, passes(bits, BASE) & passes(bits, policy)).select("row.*")
 
 
 ORACLE_SQL = r"""

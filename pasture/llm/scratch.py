@@ -37,3 +37,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, cast (name=type); extra columns of the input, whatever their names, are left out."""
     return df.select(*(F.col(c).cast(t).alias(c) for c, t in columns.items()))
+
+
+def kept(df: DataFrame, condition) -> DataFrame:
+    """Rows of ``df`` where ``condition`` holds, tested after ``df``'s columns are computed.
+
+    The optimiser would otherwise copy long column expressions into the filter, once for every use; it moves no filter
+    below a column that depends on the partition.
+    """
+    return df.withColumn("__part", F.spark_partition_id()).where(condition & (F.col("__part") >= 0)).drop("__part")
