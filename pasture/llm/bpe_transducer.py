@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import itertools
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pasture.llm.scratch import pick
 
 SHORT = 48              # symbols; longer words go through the streaming states
-CACHE = 150_000
+CACHE = 500_000         # pieces between white space that a worker remembers (twice, see _Memo); words: half as many
 _CODERS: dict[str, Coder] = {}
 
 
@@ -42,6 +43,26 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in own else next(other)) for b in range(256)]
 
 
+class _Memo(dict):
+    """Results by key, in two generations: a full one steps back, so that frequent keys stay."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+            if len(key) > SHORT:
+                return found
+        if len(self) >= self.size:
+            self.old = self.copy()
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Coder:
     """Encoder and decoder of one tokenizer file: byte-level BPE with an end-of-word suffix, NFC, lower case."""
 
@@ -53,36 +74,41 @@ class Coder:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): r for r, m in enumerate(model["merges"])}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        words = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split = regex.compile(words.replace(r"\s", r"\p{White_Space}"))
+        # the same over ASCII, lower-cased
+        self.split_ascii = re.compile(words.replace(r"\s", r"\t-\r ").replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.text_of = {i: t for t, i in (self.ids | self.special).items()}
         self.symbol = byte_symbols()
+        self.printed = dict(enumerate(self.symbol))
         self.byte = {s: b for b, s in enumerate(self.symbol)}
         self.lookahead = max(len(t.removesuffix(self.suffix)) for t in self.ids)
         self.cache = cache
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.words = _Memo(self._word, cache // 2)
+        self.pieces = _Memo(self._piece, cache)
         self.pairs: dict[tuple[str, str], bool] = {}
 
     # -- encoding --------------------------------------------------------------------------------------------------
     def symbols(self, word: str) -> list[str]:
-        out = [self.symbol[b] for b in word.encode("utf-8")]
+        out = list(word.encode("utf-8").decode("latin-1").translate(self.printed))
         if out:
             out[-1] += self.suffix
         return out
 
     def merged(self, s: list[str]) -> list[str]:
         """Merges of a bounded word, lowest rank first, leftmost first."""
-        s = list(s)
-        while len(s) > 1:
-            best, r = None, None
-            for i, p in enumerate(zip(s, s[1:])):
-                k = self.rank.get(p)
-                if k is not None and (r is None or k < r):
-                    best, r = i, k
-            if best is None:
-                break
-            s[best:best + 2] = [s[best] + s[best + 1]]
+        s, none = list(s), len(self.rank)
+        rank = self.rank.get
+        ranks = [rank(p, none) for p in zip(s, s[1:])]
+        while ranks and (k := min(ranks)) < none:
+            i = ranks.index(k)
+            s[i] += s.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((s[i], s[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((s[i - 1], s[i]), none)
         return s
 
     def _parts(self, token: str) -> list[str]:
@@ -144,29 +170,29 @@ class Coder:
             heapq.heappush(heap, -(i - len(self._parts(last[i]))))
         return self._path(last, -heap[0])
 
-    def word(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-token."""
-        ids = self.words.get(word)
-        if ids is None:
-            s = self.symbols(word)
-            ids = tuple(self.ids[t] for t in (self.merged(s) if len(s) <= SHORT else self.stream(s)))
-            if len(word) <= SHORT:
-                if len(self.words) >= self.cache:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
+    def _word(self, word: str) -> tuple[tuple[int, ...], bytes, bytes]:
+        """One pre-token: ids, ids as text, tokens as text."""
+        s = self.symbols(word)
+        tokens = self.merged(s) if len(s) <= SHORT else list(self.stream(s))
+        ids = tuple([self.ids[t] for t in tokens])
+        return ids, b" ".join([b"%d" % i for i in ids]), " ".join(tokens).encode()
 
-    def segment(self, text: str) -> Iterator[int]:
-        """Ids of a text without white space (or of any text held in memory)."""
-        parts = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
+    def pre_tokens(self, text: str) -> Iterator[tuple[tuple[int, ...], bytes, bytes]]:
+        """The pre-tokens and special tokens of a text, in order."""
+        parts = self.cut.split(text) if self.cut is not None and any([s in text for s in self.special]) else (text,)
         for p in parts:
             if p in self.special:
-                yield self.special[p]
-                continue
-            if not p.isascii():
-                p = unicodedata.normalize("NFC", p).replace("Σ", "σ")     # no final-sigma rule
-            for w in self.split.findall(p.lower()):
-                yield from self.word(w)
+                i = self.special[p]
+                yield (i,), b"%d" % i, p.encode()
+            elif p.isascii():
+                yield from map(self.words.__getitem__, self.split_ascii.findall(p.lower()))
+            else:
+                p = unicodedata.normalize("NFC", p).replace("Σ", "σ").lower()     # no final-sigma rule
+                yield from map(self.words.__getitem__, self.split.findall(p))
+
+    def segment(self, text: str) -> Iterator[int]:
+        """Ids of a text without white space (or of any text held in memory)."""
+        return itertools.chain.from_iterable(w[0] for w in self.pre_tokens(text))
 
     def encode(self, text: str) -> Iterator[int]:
         """Ids of a text, emitted as it is read; nothing joins across ASCII white space."""
@@ -176,8 +202,10 @@ class Coder:
     # -- decoding --------------------------------------------------------------------------------------------------
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The library's decoding for a file without decoder: token strings with one space between them."""
-        for k, i in enumerate(ids):
-            yield (" " if k else "") + self.text_of[i]
+        gap = ""
+        for i in ids:
+            yield gap + self.text_of[i]
+            gap = " "
 
     def text(self, ids: Iterable[int]) -> Iterator[str]:
         """Readable text, byte by byte through an incremental UTF-8 decoder; a word end becomes one space."""
@@ -195,27 +223,27 @@ class Coder:
 
     # -- whole documents -------------------------------------------------------------------------------------------
     def _piece(self, piece: bytes) -> tuple[int, bytes, bytes]:
-        found = self.pieces.get(piece)
-        if found is None:
-            ids = list(self.segment(piece.decode("utf-8", "replace")))
-            found = (len(ids), b" ".join(b"%d" % i for i in ids), "".join(self.decode(ids)).encode())
-            if len(piece) <= SHORT:
-                if len(self.pieces) >= self.cache:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
+        """Of a text between white space: number of tokens, ids and decoded text (the library decodes a file without
+        decoder to its token strings, with one space between them)."""
+        found = list(self.pre_tokens(piece.decode("utf-8", "replace")))
+        if len(found) == 1:
+            ids, a, b = found[0]
+            return len(ids), a, b
+        return (sum([len(f[0]) for f in found]), b" ".join([f[1] for f in found]), b" ".join([f[2] for f in found]))
 
     def digests(self, text: bytes) -> tuple[int, str, str]:
         """(number of tokens, SHA-256 of the ids, SHA-256 of the decoded text), hashed as the tokens come."""
         n, a, b = 0, hashlib.sha256(), hashlib.sha256()
         for part in itertools.batched(text.split(), 4096):
-            found = [f for f in map(self._piece, part) if f[0]]
-            if not found:
-                continue
-            gap = b" " if n else b""
-            a.update(gap + b" ".join([f[1] for f in found]))
-            b.update(gap + b" ".join([f[2] for f in found]))
-            n += sum([f[0] for f in found])
+            found = list(map(self.pieces.__getitem__, part))
+            many, ids, texts = zip(*found)
+            if not all(many):                   # pieces of other white space only
+                many, ids, texts = zip(*[f for f in found if f[0]] or [(0, b"", b"")])
+            if any(many):
+                gap = b" " if n else b""
+                a.update(gap + b" ".join(ids))
+                b.update(gap + b" ".join(texts))
+                n += sum(many)
         return n, a.hexdigest(), b.hexdigest()
 
 
