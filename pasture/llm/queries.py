@@ -86,3 +86,11 @@ def op9_pii_spans(spark, sf_dir):
     """Base and added spans of personal data in every document."""
     from pasture.llm.pii_spans import find
     return find(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_toxicity_kn(spark, sf_dir):
+    """Toxicity score of every document; labels of held-out documents are never read."""
+    from pasture.llm.toxicity_kn import fit, score
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
