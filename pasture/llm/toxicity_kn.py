@@ -21,6 +21,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -77,13 +78,22 @@ TABLES = {"n0": 5, "n1": 5, "h0": 4, "h1": 4, "t0": 4, "t1": 4} | {
 
 @dataclass
 class Model:
-    """Hashed tables by name, and the logistic curve: weights of the standardised features, the last for one."""
+    """Hashed tables by name, as taken slots and their values, and the logistic curve: weights of the standardised
+    features, the last for one."""
 
-    tables: dict[str, np.ndarray]
+    taken: dict[str, tuple[np.ndarray, np.ndarray]]
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
+    @cached_property
+    def tables(self) -> dict[str, np.ndarray]:
+        """The tables as arrays over all slots; made where they are used, never sent."""
+        out = {k: np.zeros(1 << SLOTS[o], np.float32) for k, o in TABLES.items()}
+        for k, (slots, values) in self.taken.items():
+            out[k][slots] = values
+        return out
+
     def ratios(self, new: list[str]) -> np.ndarray:
         """Log-likelihood ratio, toxic over ordinary, of each word."""
         text = "".join([PAD * (ORDER - 1) + w + END for w in new])
@@ -183,7 +193,7 @@ def _slotted(batches):
         yield pa.RecordBatch.from_arrays([b.column("kind"), pa.array(slot), b.column("v")], ["kind", "slot", "v"])
 
 
-def _tables(docs: DataFrame, train: DataFrame) -> dict[str, np.ndarray]:
+def _tables(docs: DataFrame, train: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     level = docs.select("text").mapInArrow(_all_grams, "g string").distinct()
     level = stored(level, "grams")
     rows = []
@@ -208,10 +218,10 @@ def _tables(docs: DataFrame, train: DataFrame) -> dict[str, np.ndarray]:
     for r in rows[1:]:
         every = every.union(r)
     slots = every.mapInArrow(_slotted, "kind string, slot bigint, v double").groupBy("kind", "slot").agg(F.sum("v").alias("v"))
-    out = {k: np.zeros(1 << SLOTS[o], np.float32) for k, o in TABLES.items()}
-    for kind, part in slots.toPandas().groupby("kind"):         # at most one row per slot
-        out[kind][part["slot"].to_numpy()] = part["v"].to_numpy()
-    return out
+    names = list(TABLES)
+    found = stored(slots.select(F.array_position(F.lit(names), F.col("kind")).cast("tinyint").alias("kind"), F.col("slot").cast("int").alias("slot"),
+                                F.col("v").cast("float").alias("v")), "slots").toPandas()      # at most one row per slot
+    return {names[k - 1]: (part["slot"].to_numpy(), part["v"].to_numpy()) for k, part in found.groupby("kind")}
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,6 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     names = [*(f"x{k}" for k in range(width)), "toxic"]
     check = seen.where("part = 4").select("text", "toxic").mapInArrow(
         measured, ", ".join(f"{n} double" for n in names[:-1]) + ", toxic int").toPandas()
+    sent.destroy()
     x, y = check[names[:-1]].to_numpy(), check["toxic"].to_numpy(float)
     if len(set(y)) == 2:
         return Model(tables, *_curve(x, y))
