@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pasture.llm.scratch import pick
 
 SHORT = 48              # symbols; longer words go through the streaming states
-CACHE = 500_000         # pieces between white space that a worker remembers (twice, see _Memo); words: half as many
+CACHE = 300_000         # pieces between white space that a worker remembers (twice, see _Memo); words: two thirds
 _CODERS: dict[str, Coder] = {}
 
 
@@ -85,7 +85,7 @@ class Coder:
         self.byte = {s: b for b, s in enumerate(self.symbol)}
         self.lookahead = max(len(t.removesuffix(self.suffix)) for t in self.ids)
         self.cache = cache
-        self.words = _Memo(self._word, cache // 2)
+        self.words = _Memo(self._word, 2 * cache // 3)
         self.pieces = _Memo(self._piece, cache)
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -170,20 +170,18 @@ class Coder:
             heapq.heappush(heap, -(i - len(self._parts(last[i]))))
         return self._path(last, -heap[0])
 
-    def _word(self, word: str) -> tuple[tuple[int, ...], bytes, bytes]:
-        """One pre-token: ids, ids as text, tokens as text."""
+    def _word(self, word: str) -> tuple[int, bytes, bytes]:
+        """One pre-token: number of tokens, their ids as text, their strings."""
         s = self.symbols(word)
         tokens = self.merged(s) if len(s) <= SHORT else list(self.stream(s))
-        ids = tuple([self.ids[t] for t in tokens])
-        return ids, b" ".join([b"%d" % i for i in ids]), " ".join(tokens).encode()
+        return len(tokens), b" ".join([b"%d" % self.ids[t] for t in tokens]), " ".join(tokens).encode()
 
-    def pre_tokens(self, text: str) -> Iterator[tuple[tuple[int, ...], bytes, bytes]]:
+    def pre_tokens(self, text: str) -> Iterator[tuple[int, bytes, bytes]]:
         """The pre-tokens and special tokens of a text, in order."""
         parts = self.cut.split(text) if self.cut is not None and any([s in text for s in self.special]) else (text,)
         for p in parts:
             if p in self.special:
-                i = self.special[p]
-                yield (i,), b"%d" % i, p.encode()
+                yield 1, b"%d" % self.special[p], p.encode()
             elif p.isascii():
                 yield from map(self.words.__getitem__, self.split_ascii.findall(p.lower()))
             else:
@@ -192,7 +190,7 @@ class Coder:
 
     def segment(self, text: str) -> Iterator[int]:
         """Ids of a text without white space (or of any text held in memory)."""
-        return itertools.chain.from_iterable(w[0] for w in self.pre_tokens(text))
+        return itertools.chain.from_iterable(map(int, w[1].split()) for w in self.pre_tokens(text))
 
     def encode(self, text: str) -> Iterator[int]:
         """Ids of a text, emitted as it is read; nothing joins across ASCII white space."""
@@ -227,9 +225,9 @@ class Coder:
         decoder to its token strings, with one space between them)."""
         found = list(self.pre_tokens(piece.decode("utf-8", "replace")))
         if len(found) == 1:
-            ids, a, b = found[0]
-            return len(ids), a, b
-        return (sum([len(f[0]) for f in found]), b" ".join([f[1] for f in found]), b" ".join([f[2] for f in found]))
+            return found[0]
+        n, a, b = zip(*found) if found else ((), (), ())
+        return sum(n), b" ".join(a), b" ".join(b)
 
     def digests(self, text: bytes) -> tuple[int, str, str]:
         """(number of tokens, SHA-256 of the ids, SHA-256 of the decoded text), hashed as the tokens come."""

@@ -154,7 +154,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample: int = SAMPLE, p
     """
     step = max(1, docs.count() // sample_docs)
     rows = _proposals(docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("pii")), F.lit(step)) == 0).select("doc_id", "text"))
-    rows = rows.select(F.col("row.doc_id").alias("doc_id"), F.explode("proposed").alias("x")).select("doc_id", "x.*")
+    # outer: else the optimiser tests for empty arrays by working out the proposals a second time
+    rows = rows.select(F.col("row.doc_id").alias("doc_id"), F.explode_outer("proposed").alias("x")).where("x is not null").select("doc_id", "x.*")
     rows = rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "kind", "s", "e"))
     rows = stored(rows.orderBy("h", "doc_id", "kind", "s").limit(sample), "proposals")
     train, check = rows.where("pmod(h, 10) < 7"), rows.where("pmod(h, 10) >= 7")
