@@ -47,9 +47,14 @@ def sensor_objects(df: DataFrame, body: str, out: str = "sensors") -> DataFrame:
     return df.withColumn(out, F.to_json(F.coalesce(inner, v)))
 
 
-SENSOR_VALUES = T.MapType(T.StringType(), T.StructType([
-    T.StructField("values", T.ArrayType(T.StructType([
-        T.StructField("timestamp", T.StringType()), T.StructField("value", T.DoubleType())])))]))
+_SERIES = "array<struct<sensor:string,pos:int,v:struct<timestamp:string,value:double>>>"
+
+
+def _readings(sensor: str, values: Column) -> Column:
+    return F.transform(values, lambda e, i: F.struct(
+        F.lit(sensor).alias("sensor"), i.alias("pos"),
+        F.struct(F.try_variant_get(e, "$.timestamp", "string").alias("timestamp"),
+                 F.try_variant_get(e, "$.value", "double").alias("value")).alias("v"))).cast(_SERIES)
 
 
 def sensor_pivot(df: DataFrame, sensors_json: str, keys: Sequence[str], allowed: Sequence[str]) -> DataFrame:
@@ -59,10 +64,13 @@ def sensor_pivot(df: DataFrame, sensors_json: str, keys: Sequence[str], allowed:
     are kept; for one sensor and timestamp the last value in the series wins.
     The pivot columns are the fixed allow-list, so no job discovers them.
     """
-    m = F.from_json(F.col(sensors_json), SENSOR_VALUES)
-    e = df.select(*[F.col(k) for k in keys], F.explode(m).alias("sensor", "series"))
-    e = e.filter(F.col("sensor").isin(*allowed))
-    p = e.select(*keys, "sensor", F.posexplode("series.values").alias("pos", "v"))
+    # only the listed sensors are looked at; whatever else the object holds, of any type, does no harm
+    x = df.withColumn("_v", F.try_parse_json(F.col(sensors_json)))
+    series = []
+    for name in allowed:
+        values = F.try_variant_get("_v", f"$['{name}'].values", "array<variant>")
+        series.append(F.coalesce(_readings(name, values), F.array().cast(_SERIES)))
+    p = x.select(*keys, F.explode(F.concat(*series)).alias("r")).select(*keys, "r.sensor", "r.pos", "r.v")
     p = p.filter((F.col("v.timestamp").isNotNull()) & (F.col("v.timestamp") != "") & F.col("v.value").isNotNull())
     aggs = [F.max_by(F.when(F.col("sensor") == s, F.col("v.value")),
                      F.when(F.col("sensor") == s, F.col("pos"))).alias(s) for s in allowed]

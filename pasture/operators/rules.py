@@ -134,7 +134,7 @@ def _parse(rule: FieldRule, raw: Column) -> Column:
     if t == "float":
         return C.european_float(raw)
     if t == "int":
-        return C.int_from_float(raw).cast("int")
+        return C.int_from_float(raw).try_cast("int")
     if t == "bool":
         return C.bool_text(raw)
     if t == "time":
@@ -165,7 +165,7 @@ def _no_errors() -> Column:
 
 def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column,
                  blank: Column | None) -> Column:
-    """The field's errors as an array of 0 or 1 structs (checks in order; the first that fails wins).
+    """The field's errors as an array of structs: every check that fails, in order.
 
     An array per field, concatenated by the caller, keeps the whole error
     computation in generated code — a higher-order ``filter`` over an array of
@@ -190,9 +190,9 @@ def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column
         checks.append((below, _err(rule, raw, "range", f"Input should be greater than or equal to {rule.min}",
                                    json.dumps({"ge": rule.min}))))
     if rule.max is not None:
-        above = num > F.lit(float(rule.max))
-        if rule.min is None:
-            above = above | F.isnan(num)
+        above = num > F.lit(float(rule.max))         # a NaN is above every number
+        if rule.min is not None:
+            above = above & ~F.isnan(num)            # and has been reported by the other bound
         checks.append((above, _err(rule, raw, "range", f"Input should be less than or equal to {rule.max}",
                                    json.dumps({"le": rule.max}))))
     text = F.trim(raw)
@@ -214,11 +214,13 @@ def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column
         checks.append((cond, _err(rule, raw, "length",
                                   f"Length should be between {rule.min_length} and {rule.max_length}",
                                   json.dumps({"min_length": rule.min_length, "max_length": rule.max_length}))))
-    # the first failing check of a field wins (a field yields at most one error)
-    expr = None
-    for cond, err in checks:
-        expr = F.when(cond, F.array(err)) if expr is None else expr.when(cond, F.array(err))
-    return _no_errors() if expr is None else expr.otherwise(_no_errors())
+    if rule.store:      # a number its storage type cannot hold is an error, not a silent NULL
+        scale = int(rule.store.split(",")[1].rstrip(")"))
+        lost = value.isNotNull() & ~F.isnan(num) & (F.abs(num) < float("inf")) & F.round(value, scale).try_cast(rule.store).isNull()
+        checks.append((lost, _err(rule, raw, "range", f"Input should fit {rule.store}", json.dumps({"store": rule.store}))))
+    # a condition that cannot be told (a check of a value that did not parse) is no further error
+    parts = [F.when(cond, F.array(err)).otherwise(_no_errors()) for cond, err in checks]
+    return F.concat(*parts) if parts else _no_errors()
 
 
 def _raw_col(df: DataFrame, spec: DatasetSpec, target: str) -> Column | None:

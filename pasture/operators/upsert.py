@@ -16,36 +16,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pasture.operators.joins import broadcast_if_small, plan_size_bytes
+from pasture.operators.joins import broadcast_if_small
 
 ORDER = "_upsert_order"
 
 
 def _ordered(target: DataFrame | None, batch: DataFrame, seq: str | None) -> DataFrame:
-    b = batch.withColumn(ORDER, F.col(seq).cast("long") if seq else F.monotonically_increasing_id())
+    # a struct: existing rows first, then the batch by its own order (a number or a struct of any depth)
+    own = F.col(seq) if seq else F.monotonically_increasing_id()
+    kind = batch.schema[seq].dataType if seq else "long"
+    b = batch.withColumn(ORDER, F.struct(F.lit(1).alias("new"), own.alias("at")))
     if target is None:
         return b
-    t = target.withColumn(ORDER, F.lit(-1).cast("long"))
+    t = target.withColumn(ORDER, F.struct(F.lit(0).alias("new"), F.lit(None).cast(kind).alias("at")))
     if seq and seq not in t.columns:
         t = t.withColumn(seq, F.lit(None).cast(batch.schema[seq].dataType))
     return t.unionByName(b.select(*t.columns), allowMissingColumns=False)
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], strategy: str = "update",
-           update_columns: Sequence[str] | None = None, seq: str | None = None,
-           split_untouched: bool | None = None) -> DataFrame:
-    """New state of the keyed rows touched by ``batch`` plus untouched ``target`` rows.
+           update_columns: Sequence[str] | None = None, seq: str | None = None) -> DataFrame:
+    """New state of the keyed rows touched by ``batch`` plus all other ``target`` rows.
 
     ``seq`` orders batch rows (line order); existing rows always come first.
-    With ``split_untouched`` only target rows whose key occurs in the batch
-    enter the aggregation: the rest are separated by a semi/anti join against
-    the batch's distinct keys (broadcast when their size check passes), so the
-    shuffle scales with the batch, not with the table.  ``None`` (default)
-    splits when the target is estimated at least 4× larger than the batch —
-    the usual case of a batch landing in a big table; for comparable sizes
-    the extra joins would cost more than they save.
+    Only target rows whose key occurs in the batch enter the aggregation; the
+    rest are separated by a semi/anti join against the batch's distinct keys
+    (broadcast when their size check passes) and never change, even where
+    they share a key with each other.  A key with a NULL conflicts with
+    nothing, as in a unique constraint: such batch rows are inserted as they are.
     """
     keys = list(keys)
     if not keys:
@@ -59,11 +59,13 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], stra
         return _ordered(target, batch, seq).drop(ORDER)
     if strategy not in ("update", "ignore"):
         raise ValueError(f"unknown conflict strategy {strategy!r}")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    loose = batch.filter(~known)
+    batch = batch.filter(known)
     untouched = None
-    if target is not None and split_untouched is None:
-        ts, bs = plan_size_bytes(target), plan_size_bytes(batch)
-        split_untouched = ts is not None and bs is not None and ts >= 4 * bs
-    if target is not None and split_untouched:
+    if target is not None:
         bk = broadcast_if_small(batch.select(*keys).distinct())
         untouched = target.join(bk, keys, "left_anti")
         target = target.join(bk, keys, "left_semi")
@@ -75,6 +77,7 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], stra
     else:                                                                         # F9
         aggs = [F.min_by(c, ORDER).alias(c) for c in cols]
     resolved = u.groupBy(*keys).agg(*aggs)
+    resolved = resolved.unionByName(loose.select(*resolved.columns))
     if untouched is None:
         return resolved
     if seq and seq not in untouched.columns:
@@ -129,26 +132,44 @@ def write_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequenc
     Only partitions (months, or days with ``grain='day'``; the column is
     called ``month`` either way) the batch touches are read and rewritten
     (dynamic partition overwrite); inside them only rows whose key the batch
-    carries are shuffled (see ``upsert``).  The new state of those months is first written to the shared
-    checkpoint folder — a table may not be overwritten while it is being read,
+    carries are shuffled (see ``upsert``).  The new state of those months is first written beside the
+    table, on the same storage — a table may not be overwritten while it is being read,
     and the materialised copy also cuts lineage so a lost executor recomputes
     from durable files, not from the whole plan.  Returns touched partitions.
     """
-    from pasture.session import ensure_checkpoint_dir
     import uuid
 
     b = batch.withColumn("month", month_col(time_col, grain))
     touched = [r[0] for r in b.select("month").distinct().collect()]   # bounded: one row per month
-    try:
-        existing = spark.read.parquet(path).filter(F.col("month").isin(*touched))
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        existing = None
+    if not touched:
+        return 0                                                       # nothing valid in this batch
+    existing = None
+    if table_exists(spark, path):          # any other error while reading has to rise: the partitions are replaced below
+        schema = T.StructType([f for f in spark.read.parquet(path).schema.fields if f.name != "month"])
+        schema = schema.add("month", T.StringType())
+        existing = spark.read.schema(schema).parquet(path).filter(F.col("month").isin(*touched))
     new_state = upsert(existing, b, list(keys) + ["month"] if "month" not in keys else keys,
                        strategy, update_columns, seq)
     if seq and seq in new_state.columns:
         new_state = new_state.drop(seq)
-    tmp = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    tmp = f"{path.rstrip('/')}_swap/{uuid.uuid4().hex}"                # beside the table, on the same shared storage
     new_state.write.mode("overwrite").partitionBy("month").parquet(tmp)
-    (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("month").parquet(path))
+    (spark.read.schema(new_state.schema).parquet(tmp).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+    drop_path(spark, tmp)
     return len(touched)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

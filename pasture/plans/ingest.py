@@ -50,32 +50,28 @@ def split(staged: DataFrame) -> BatchResult:
     return BatchResult(staged, staged.filter("is_valid"), staged.filter("NOT is_valid"))
 
 
-def error_breakdown(staged: DataFrame, sample_rows: int | None = 100, sample_size: int = 10) -> DataFrame:
+def error_breakdown(staged: DataFrame, sample_rows: int | None = None, sample_size: int = 10) -> DataFrame:
     """Per file and error type — error count, rate over the file's rows, sample.
 
-    Only the first ``sample_rows`` invalid rows of each file (by row number)
-    are examined, as in the reference; ``None`` counts every invalid row.
-    The first-N cut is a bounded window per file; the errors are then
-    aggregated per (file, error type) with map-side partial aggregation.
+    All errors count.  The sample holds the first ``sample_size`` failures by row number, cut by a limited rank
+    before the shuffle.  ``sample_rows`` restricts counts and sample to the first so many invalid rows of a file.
     """
-    totals = staged.groupBy("file_id").agg(F.count(F.lit(1)).alias("total_count"))
+    key = ["file_id", "check_type"]
     inv = staged.filter(~F.col("is_valid")).select("file_id", "row_number", "errors")
     if sample_rows is not None:
         w = Window.partitionBy("file_id").orderBy("row_number")
         # rank over invalid rows only; the filter keeps each file's first N
         inv = inv.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= sample_rows)
     e = inv.select("file_id", "row_number", F.posexplode("errors").alias("pos", "err"))
-    key = ["file_id", F.col("err.error_type").alias("check_type")]
-    if sample_rows is not None:
-        # bounded: at most sample_rows rows × fields per group
-        g = e.groupBy(*key).agg(F.count(F.lit(1)).alias("failed_count"), F.slice(F.array_sort(F.collect_list(
-            F.struct("row_number", "pos", F.col("err.field").alias("field")))), 1, sample_size).alias("_sample"))
-        g = g.withColumn("sample_failures", F.array_join(F.transform(
-            "_sample", lambda s: F.concat(s["row_number"].cast("string"), F.lit(":"), s["field"])), "; "))
-    else:
-        g = e.groupBy(*key).agg(F.count(F.lit(1)).alias("failed_count")).withColumn(
-            "sample_failures", F.lit(None).cast("string"))
-    out = g.join(totals, "file_id")
+    e = e.select("file_id", F.col("err.error_type").alias("check_type"), "row_number", "pos", F.col("err.field").alias("field"))
+    counts = e.groupBy(*key).agg(F.count(F.lit(1)).alias("failed_count"))
+    first = e.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("row_number", "pos")))
+    first = first.filter(F.col("_k") <= sample_size).groupBy(*key).agg(        # at most sample_size rows a group
+        F.array_sort(F.collect_list(F.struct("row_number", "pos", "field"))).alias("_sample"))
+    first = first.withColumn("sample_failures", F.array_join(F.transform(
+        "_sample", lambda s: F.concat(s["row_number"].cast("string"), F.lit(":"), s["field"])), "; ")).drop("_sample")
+    totals = staged.groupBy("file_id").agg(F.count(F.lit(1)).alias("total_count"))
+    out = counts.join(first, key).join(totals, "file_id")
     return out.select("file_id", "check_type", F.concat(F.col("check_type"), F.lit("_validation")).alias("check_name"),
                       (F.col("failed_count") == 0).alias("passed"), "failed_count", "total_count",
                       pct(F.col("failed_count"), F.col("total_count")).alias("failure_rate"), "sample_failures")

@@ -207,9 +207,7 @@ SELECT file_id, row_number, 0 AS pos, 'ts' AS field, ts_err AS t FROM inv WHERE
 UNION ALL
 SELECT file_id, row_number, CASE WHEN ts_err IS NULL THEN 0 ELSE 1 END, 'energy_kwh', kwh_err
 FROM inv WHERE kwh_err IS NOT NULL"""
-_INV = """
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY row_number) AS k
-               FROM checked WHERE NOT is_valid) WHERE k <= 100"""
+_INV = "SELECT * FROM checked WHERE NOT is_valid"
 _TOT = "SELECT file_id, count(*) AS total_count FROM checked GROUP BY file_id"
 
 

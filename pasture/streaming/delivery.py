@@ -5,8 +5,9 @@ classify → reject unknown/duplicate inputs → map/coerce/validate → stage 
 upsert valid rows into month-partitioned facts → quality checks, run metrics,
 input registry and stage log.  ``start_file_stream`` runs it per micro-batch
 with ``foreachBatch`` over a file source; the checkpoint plus idempotent
-writes (staging and quality keyed by run id, facts by key upsert, inputs by
-sha256) make a replayed batch change nothing.
+writes (staging, ledger and quality keyed by run id, facts by key upsert,
+inputs by content id, a run never counting as its own predecessor) make a
+replayed batch change nothing.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from pasture.operators import profile as P
 from pasture.operators import upsert as U
 from pasture.operators.joins import join_dimension
 from pasture.operators.rules import get_spec, list_datasets
@@ -42,10 +44,23 @@ class Warehouse:
         return os.path.join(self.root, *parts)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+_exists = U.table_exists
+_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
+    """A warehouse table with its partition values as text: run '001' stays '001'.
+
+    ``like``: the frame it was written from, which gives the schema where nothing has been written yet.
+    """
+    if like is not None:
+        return spark.read.schema(T.StructType([*like.schema.fields]).add("run", "string")).parquet(path)
+    before = spark.conf.get(_INFER)
+    spark.conf.set(_INFER, "false")          # read when the file listing is made, that is, in load()
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(_INFER, before)
 
 
 def _append(df: DataFrame, path: str, run_id: str, by: tuple[str, ...] = ()) -> None:
@@ -114,32 +129,45 @@ class StageLog:
 
 def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: str,
                  as_of: _dt.datetime | None = None, devices: DataFrame | None = None,
-                 hashes: DataFrame | None = None, defaults: dict[str, str] | None = None,
-                 ingestion_method: str = "batch") -> DataFrame:
+                 defaults: dict[str, str] | None = None, ingestion_method: str = "batch") -> DataFrame:
     """Process every file in ``lines``; returns the per-file registry rows written.
 
     ``ingestion_method`` is recorded on every fact row: 'batch' or 'streaming' (decision Q3).
     """
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    started = _dt.datetime.now(_dt.timezone.utc)
     t0 = F.lit(as_of).cast("timestamp_ntz")
-    headers = FS.classify(FS.header_table(lines), defaults).persist()
-    if hashes is None:
-        hashes = headers.select("file", F.sha2(F.concat_ws(",", "columns"), 256).alias("sha256"))
+    # one pass over the text: header lines, data lines and content ids all read this copy, so their line ids agree
+    kept = wh.path("_tmp", f"lines-{run_id}")
+    lines.select("file", "block", "line_id", "line", "cells").write.mode("overwrite").parquet(kept)
+    lines = spark.read.schema(lines.select("file", "block", "line_id", "line", "cells").schema).parquet(kept)
+    hashes = FS.content_ids(lines)
+    lines = FS.join_quoted(lines)
+    headers = FS.classify(FS.header_table(lines), defaults)
     reg_path = wh.path("ingest_file")
-    registered = spark.read.parquet(reg_path).select("sha256") if _exists(spark, reg_path) else None
-    files = headers.join(hashes, "file", "left")
+    registered = (read_table(spark, reg_path).filter(F.col("run") != run_id).select("sha256")
+                  if _exists(spark, reg_path) else None)
+    files = headers.join(hashes, "file")
     if registered is not None:
         files = files.join(registered.withColumn("_dup", F.lit(True)).dropDuplicates(["sha256"]), "sha256", "left")
     else:
         files = files.withColumn("_dup", F.lit(None).cast("boolean"))
-    # one input per content hash; the rest of the batch and registered hashes are duplicates
+    # one input per content; the rest of the batch and registered contents are duplicates
     first = files.groupBy("sha256").agg(F.min("file").alias("_first"))
-    files = files.join(first, "sha256", "left").withColumn(
+    files = files.join(first, "sha256", "left")
+    strange = F.lit(False)
+    if devices is not None:      # F16: an energy input of a device nobody knows is rejected before anything is staged
+        known = devices.select(F.col("device_id").alias("device_hint"), F.lit(True).alias("_known")).dropDuplicates(["device_hint"])
+        files = join_dimension(files, known, "device_hint", "left")
+        strange = F.col("dataset").contains("energy") & F.col("_known").isNull()
+    files = files.withColumn(
         "status", F.when(F.col("dataset").isNull(), "rejected: unknown dataset")
+                   .when(F.coalesce(strange, F.lit(False)), "rejected: unknown device")
                    .when(F.col("_dup") | (F.col("file") != F.col("_first")), "duplicate").otherwise("accepted"))
-    _append(files.select("file", "dataset", "sha256", "status", t0.alias("seen_at")), wh.path("inputs"), run_id)
-    accepted = files.filter(F.col("status") == "accepted").select("file", "header_id", "columns", "dataset",
-                                                                  "device_hint")
+    files = files.select("file", "dataset", "device_hint", "sha256", "status", "header_id", "columns", t0.alias("seen_at"))
+    _append(files, wh.path("inputs"), run_id)
+    accepted = read_table(spark, wh.path("inputs"), files).filter((F.col("run") == run_id) & (F.col("status") == "accepted"))
+    accepted = accepted.select("file", "header_id", "columns", "dataset", "device_hint")
     present = [r[0] for r in accepted.select("dataset").distinct().collect() if r[0] in list_datasets()]
     fsize = FS.files_bytes(accepted)          # measured, decides the broadcast of the per-file table
     registry = []
@@ -151,13 +179,17 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     finally:
         log.write(spark, wh.path("pipeline_execution"), run_id)
     if not registry:
+        U.drop_path(spark, kept)
         return spark.createDataFrame([], "file_id string")
     reg = registry[0]
     for r in registry[1:]:
         reg = reg.unionByName(r)
-    reg = reg.join(hashes.withColumnRenamed("file", "file_id"), "file_id", "left").withColumn("ingested_at", t0)
+    took = (_dt.datetime.now(_dt.timezone.utc) - started).total_seconds()
+    reg = (reg.join(hashes.withColumnRenamed("file", "file_id"), "file_id", "left").withColumn("ingested_at", t0)
+              .withColumn("execution_seconds", F.lit(float(took))))
     _append(reg, reg_path, run_id)
-    return spark.read.parquet(reg_path).filter(F.col("run") == run_id)
+    U.drop_path(spark, kept)
+    return read_table(spark, reg_path).filter(F.col("run") == run_id)
 
 
 def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog,
@@ -174,37 +206,39 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         staged = staged.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("valid"))
         stage_path = wh.path("staging", f"dataset={ds}")
         _append(staged, stage_path, run_id)
-        staged = spark.read.parquet(stage_path).filter(F.col("run") == run_id).drop("run")   # lineage cut
+        staged = read_table(spark, stage_path, staged).filter(F.col("run") == run_id).drop("run")   # lineage cut
         counts = (obs.get["n"], obs.get["valid"])
         st.records_in, st.records_out = counts[0], counts[1]
+    time_col = next(r.name for r in spec.fields if r.type in ("datetime", "date"))
     with log.stage(run_id, ds, "load") as st:
-        # later files win over earlier ones, then line order; files are ranked on the distinct file
-        # list of this batch (bounded by maxFilesPerTrigger in the stream), not on the rows
-        ranks = staged.select("file_id").distinct().withColumn("_fr", F.dense_rank().over(Window.orderBy("file_id")))
-        staged = join_dimension(staged, ranks, "file_id").withColumn(
-            # 40 bits of line number (1.1e12 lines per file), 23 bits of file rank per batch
-            "_order", F.col("_fr").cast("long") * F.lit(1 << 40) + F.col("row_number")).drop("_fr")
-        facts = _fact_rows(staged, spec, devices, method)
+        # later files win over earlier ones, then line order
+        facts = _fact_rows(staged.withColumn("_order", F.struct("file_id", "row_number")), spec, devices, method)
         if "energy" in ds and devices is not None:
             facts = facts.filter(F.col("device_id").isNotNull())   # F16: unresolved device → not loaded
-        time_col = next(r.name for r in spec.fields if r.type in ("datetime", "date"))
         U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
                        wh.path("facts", spec.target_table), spec.primary_key, time_col, spec.strategy,
-                       spec.update_columns, seq="_order")
-        st.records_in, st.records_out = counts[1], counts[1]
+                       spec.update_columns, seq="_order", grain=spec.partition_by or "month")
+        # what was loaded is a ledger of its own; staging rows never change
+        ledger = facts.select("file_id", "row_number", t0.alias("loaded_at"))
+        _append(ledger, wh.path("loaded", f"dataset={ds}"), run_id)
+        loaded = read_table(spark, wh.path("loaded", f"dataset={ds}"), ledger).filter(F.col("run") == run_id)
+        st.records_in, st.records_out = counts[1], loaded.count()
     with log.stage(run_id, ds, "quality") as st:
-        q = I.error_breakdown(staged).unionByName(
+        q = I.error_breakdown(staged, sample_rows=None).unionByName(
             I.overall_quality(staged).drop("summary").withColumn("sample_failures", F.lit(None).cast("string")))
         _append(q.withColumn("dataset", F.lit(ds)).withColumn("checked_at", t0), wh.path("data_quality_checks"),
                 run_id, by=("dataset",))
-    return I.run_metrics(staged).withColumn("dataset", F.lit(ds))
+    # device, dates and granularity of every input
+    profile = P.time_profile(staged.withColumn("_t", F.col(time_col).cast("timestamp_ntz")), "file_id", "_t").drop("n_timestamps")
+    about = accepted.select(F.col("file").alias("file_id"), F.col("device_hint").alias("device"))
+    return (I.run_metrics(staged, loaded).withColumn("dataset", F.lit(ds))
+            .join(profile, "file_id", "left").join(about, "file_id", "left"))
 
 
 def ingest_directory(spark: SparkSession, path: str, wh: Warehouse, run_id: str, **kw) -> DataFrame:
-    """Batch form: every CSV under ``path`` (A1, A4, A5)."""
-    lines = FS.read_lines(spark, path)
-    hashes = FS.file_hashes(spark, path)
-    return run_delivery(spark, lines, wh, run_id, hashes=hashes, **kw)
+    """Batch form: every CSV and .xlsx file under ``path`` (A1, A2, A4, A5)."""
+    lines = FS.read_lines(spark, path).unionByName(FS.read_excel(spark, path))
+    return run_delivery(spark, lines, wh, run_id, **kw)
 
 
 def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkpoint: str,
@@ -225,12 +259,7 @@ def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkp
                                    F.col("_metadata.file_block_start").alias("block"))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        lines = FS.parse_lines(df)
-        # the file list of one micro-batch is bounded by maxFilesPerTrigger
-        paths = [x[0] for x in df.select("file").distinct().collect()]
-        hashes = (spark.read.format("binaryFile").load(paths).select(
-            F.col("path").alias("file"), F.sha2("content", 256).alias("sha256")) if paths else None)
-        run_delivery(spark, lines, wh, f"batch-{batch_id:08d}", hashes=hashes, ingestion_method="streaming", **kw)
+        run_delivery(spark, FS.parse_lines(df), wh, f"batch-{batch_id:08d}", ingestion_method="streaming", **kw)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
@@ -253,9 +282,7 @@ def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
     (device, timestamp), and the fetch cursor of every device advances to the
     newest loaded reading.  Returns the new cursor rows.
     """
-    from pasture.operators import profile as P
     from pasture.operators import reshape as R
-    from pasture.plans import control as K
 
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     t0 = F.lit(as_of).cast("timestamp_ntz")
@@ -271,59 +298,71 @@ def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
     staged = I.stage_batch(raw, spec, created_at=t0, keep=("file_id", "row_number", "device_hint"))
     stage_path = wh.path("staging", f"dataset={dataset}")
     _append(staged, stage_path, run_id)
-    staged = spark.read.parquet(stage_path).filter(F.col("run") == run_id).drop("run")      # lineage cut
+    staged = read_table(spark, stage_path, staged).filter(F.col("run") == run_id).drop("run")      # lineage cut
     staged = staged.withColumn("_order", F.col("row_number").cast("long"))
     facts = _fact_rows(staged, spec, None).withColumn("source_type", F.lit("api")).withColumn(
         "source_api_endpoint", F.lit(endpoint))
     U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
                    wh.path("facts", spec.target_table), spec.primary_key, "timestamp", spec.strategy,
                    spec.update_columns, seq="_order")
+    _append(facts.select("file_id", "row_number", t0.alias("loaded_at")), wh.path("loaded", f"dataset={dataset}"), run_id)
+    # one fetch per response and run, so a run replayed counts once; the newest reading orders them
     fetches = staged.filter("is_valid").groupBy("file_id", "device_hint").agg(F.max("timestamp").alias("fetched_at"))
+    fetches = fetches.join(resp.select(F.col("file").alias("file_id"), F.sha2("body", 256).alias("sha256")), "file_id")
+    fetches = fetches.groupBy("device_hint", "sha256").agg(F.max("fetched_at").alias("fetched_at"))
     fetches = fetches.select(F.lit(connector).alias("connector_id"), F.lit(endpoint).alias("endpoint_id"),
-                             F.col("device_hint").alias("device_id"), "fetched_at",
-                             F.xxhash64("file_id").alias("seq"))
-    cur_path = wh.path("api_fetch_cursor")
-    if _exists(spark, cur_path):
-        old = spark.read.parquet(cur_path)
-    else:
-        old = spark.createDataFrame([], "connector_id string, endpoint_id string, device_id string, "
-                                        "last_fetch_timestamp timestamp_ntz, last_fetch_success timestamp_ntz, "
-                                        "fetch_count long")
-    new = K.cursor_upsert(old, fetches.select("connector_id", "endpoint_id", "device_id", F.col("fetched_at"),
-                                              F.col("seq")), ts="fetched_at")
-    # keyed snapshot table: written beside the old one, then swapped in by a second write
-    tmp = wh.path("_tmp", f"api_fetch_cursor-{run_id}")
-    new.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(cur_path)
-    return spark.read.parquet(cur_path)
+                             F.col("device_hint").alias("device_id"), "fetched_at", "sha256")
+    log_path = wh.path("api_fetch_log")
+    _append(fetches, log_path, run_id)
+    # the cursor is the state of the whole fetch log: derived, so no table is read and replaced at once
+    return cursors(spark, wh)
+
+
+def cursors(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The fetch cursor of every device, from the log of fetches (one row per response and device)."""
+    from pasture.plans import control as K
+
+    log = read_table(spark, wh.path("api_fetch_log")).drop("run")
+    none = spark.createDataFrame([], "connector_id string, endpoint_id string, device_id string, "
+                                     "last_fetch_timestamp timestamp_ntz, last_fetch_success timestamp_ntz, "
+                                     "fetch_count long")
+    return K.cursor_upsert(none, log, ts="fetched_at", seq="fetched_at")
 
 
 def purge_staging(spark: SparkSession, wh: Warehouse, as_of: _dt.datetime, days: int = 7) -> DataFrame:
     """delete loaded staging rows older than ``days``; returns (table_name, deleted_count).
 
-    Valid rows are loaded in the run that staged them, so "loaded" is
-    ``is_valid``.  Only runs holding such rows are rewritten: the kept rows go
-    to the shared folder first, then replace their ``run=`` partitions.
+    Loaded is what the ledger says.  A run that keeps rows gets its new partition in one dynamic overwrite; only then
+    are runs that keep nothing removed.  Stopped in between, a second call finishes the work; no kept row is ever
+    without a copy in the table.
     """
     root = wh.path("staging")
     if not _exists(spark, root):
         return spark.createDataFrame([], "table_name string, deleted_count long")
-    st = spark.read.parquet(root)
-    old = F.col("is_valid") & (F.col("created_at") < F.lit(as_of).cast("timestamp_ntz")
-                               - F.make_dt_interval(F.lit(days)))
-    counts = (st.groupBy(F.concat(F.lit("staging_"), F.col("dataset")).alias("table_name"))
-                .agg(F.count_if(old).alias("deleted_count")))
-    touched = [(r[0], r[1]) for r in st.filter(old).select("dataset", "run").distinct().collect()]  # bounded: runs
-    result = [tuple(r) for r in counts.collect()]                                                 # one row per dataset
-    if touched:
-        keys = spark.createDataFrame(touched, "dataset string, run string")
-        kept = st.join(keys, ["dataset", "run"], "left_semi").filter(~old)
+    st = read_table(spark, root)
+    key = ["dataset", "run", "file_id", "row_number"]
+    done = (spark.read.schema("file_id string, row_number long, loaded_at timestamp_ntz, dataset string, run string")
+            .parquet(wh.path("loaded")).select(*key).distinct().withColumn("_loaded", F.lit(True))
+            if _exists(spark, wh.path("loaded")) else None)
+    st = st.withColumn("_loaded", F.lit(None).cast("boolean")) if done is None else st.join(done, key, "left")
+    old = F.coalesce(F.col("_loaded"), F.lit(False)) & (F.col("created_at") < F.lit(as_of).cast("timestamp_ntz")
+                                                        - F.make_dt_interval(F.lit(days)))
+    st = st.withColumn("_old", old)
+    counts = (st.groupBy("dataset", "run").agg(F.count_if("_old").alias("gone"), F.count_if(~F.col("_old")).alias("kept"))
+                .filter("gone > 0").withColumn("gone", F.col("gone").cast("long")))
+    runs = counts.collect()                                            # bounded: one row per run with old rows
+    tables = [r[0] for r in st.select("dataset").distinct().collect()]
+    result = [(f"staging_{t}", sum(r["gone"] for r in runs if r["dataset"] == t)) for t in sorted(tables)]
+    part = [(r["dataset"], r["run"]) for r in runs if r["kept"]]
+    if part:
+        keys = spark.createDataFrame(part, "dataset string, run string")
+        kept = st.filter(~F.col("_old")).drop("_old", "_loaded").join(F.broadcast(keys), ["dataset", "run"], "left_semi")
         tmp = wh.path("_tmp", f"purge-{as_of:%Y%m%d%H%M%S}")
-        kept.write.mode("overwrite").partitionBy("dataset", "run").parquet(tmp)   # durable copy first
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for ds, run in touched:                  # a partition may become empty: remove, then re-add kept rows
-            p = jvm.org.apache.hadoop.fs.Path(wh.path("staging", f"dataset={ds}", f"run={run}"))
-            p.getFileSystem(conf).delete(p, True)
-        spark.read.parquet(tmp).write.mode("append").partitionBy("dataset", "run").parquet(root)
+        kept.write.mode("overwrite").parquet(tmp)
+        (spark.read.schema(kept.schema).parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("dataset", "run").parquet(root))
+        U.drop_path(spark, tmp)
+    for r in runs:
+        if not r["kept"]:
+            U.drop_path(spark, wh.path("staging", f"dataset={r['dataset']}", f"run={r['run']}"))
     return spark.createDataFrame(result, "table_name string, deleted_count long")

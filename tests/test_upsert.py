@@ -42,12 +42,31 @@ def test_fail_and_plain_insert(spark):
     assert sorted(r["k"] for r in U.conflict_keys(t, b, K).collect()) == [2, 3]
 
 
-def test_split_and_unsplit_agree(spark):
-    t, b = frames(spark)
-    for strategy in ("update", "ignore"):
-        a = as_dict(U.upsert(t, b, K, strategy, ["v"], seq="seq", split_untouched=True).drop("seq"))
-        c = as_dict(U.upsert(t, b, K, strategy, ["v"], seq="seq", split_untouched=False).drop("seq"))
-        assert a == c
+def test_untouched_rows_and_null_keys_stay(spark):
+    """Rows the batch does not touch never change, even where they share a key; a NULL key conflicts with nothing."""
+    t = spark.createDataFrame([(7, "p", 1.0), (7, "q", 2.0), (None, "n", 3.0), (8, "r", 4.0)], "k int, name string, v double")
+    b = spark.createDataFrame([(8, "new", 5.0, 1), (None, "m", 6.0, 2), (None, "m", 7.0, 3)], "k int, name string, v double, seq int")
+    for strategy, eight in (("update", ("new", 5.0)), ("ignore", ("r", 4.0))):
+        got = sorted(((r["k"], r["name"], r["v"]) for r in U.upsert(t, b, K, strategy, seq="seq").collect()), key=str)
+        assert got == sorted([(7, "p", 1.0), (7, "q", 2.0), (8, *eight), (None, "n", 3.0), (None, "m", 6.0), (None, "m", 7.0)], key=str)
+
+
+def test_sink_lets_read_errors_rise_and_skips_empty_batches(spark, tmpdir_fresh):
+    import glob
+    import os
+    path = os.path.join(tmpdir_fresh, "facts")
+    b = spark.createDataFrame([(1, dt.datetime(2024, 1, 5), 1.0), (2, dt.datetime(2024, 1, 6), 2.0)], "k int, ts timestamp_ntz, v double")
+    assert U.write_upsert(spark, b.limit(0), path, K, "ts") == 0 and not os.path.exists(path)
+    U.write_upsert(spark, b, path, K, "ts")
+    assert U.write_upsert(spark, b.limit(0), path, K, "ts") == 0 and spark.read.parquet(path).count() == 2
+    U.write_upsert(spark, b.limit(1).withColumn("v", F.lit(9.0)), path, K, "ts")
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [2.0, 9.0]
+    for f in glob.glob(path + "/month=2024-01/*.parquet"):
+        with open(f, "r+b") as fh:
+            fh.truncate(4)
+    with pytest.raises(Exception):
+        U.write_upsert(spark, b.limit(1), path, K, "ts")
+    assert glob.glob(path + "/month=2024-01/*.parquet")          # nothing was replaced
 
 
 def test_idempotent_and_partition_independent(spark):
