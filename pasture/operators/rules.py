@@ -163,6 +163,13 @@ def _no_errors() -> Column:
     return F.array().cast(T.ArrayType(ERROR_TYPE))
 
 
+def _fits(rule: FieldRule) -> bool:
+    """Whether the rule's bounds alone keep its numbers within the storage type."""
+    digits, scale = (int(x) for x in rule.store.removeprefix("decimal(").rstrip(")").split(","))
+    most = 10 ** (digits - scale) - 1
+    return rule.min is not None and rule.max is not None and -most <= rule.min and rule.max <= most
+
+
 def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column,
                  blank: Column | None) -> Column:
     """The field's errors as an array of structs: every check that fails, in order.
@@ -214,7 +221,7 @@ def field_errors(rule: FieldRule, raw: Column | None, value: Column, bad: Column
         checks.append((cond, _err(rule, raw, "length",
                                   f"Length should be between {rule.min_length} and {rule.max_length}",
                                   json.dumps({"min_length": rule.min_length, "max_length": rule.max_length}))))
-    if rule.store:      # a number its storage type cannot hold is an error, not a silent NULL
+    if rule.store and not _fits(rule):      # a number its storage type cannot hold is an error, not a silent NULL
         scale = int(rule.store.split(",")[1].rstrip(")"))
         lost = value.isNotNull() & ~F.isnan(num) & (F.abs(num) < float("inf")) & F.round(value, scale).try_cast(rule.store).isNull()
         checks.append((lost, _err(rule, raw, "range", f"Input should fit {rule.store}", json.dumps({"store": rule.store}))))

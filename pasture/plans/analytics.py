@@ -151,6 +151,14 @@ def last7_fit(clean: DataFrame, coefs: DataFrame, k: int = 7) -> DataFrame:
     return p.select("device_alias", "date", F.col(TARGET).cast("double").alias("actual"), "predicted")
 
 
+def last7_pooled(clean: DataFrame, coefs: DataFrame, k: int = 7) -> DataFrame:
+    """I11, pooled: in-sample prediction of the rows of the newest ``k`` dates."""
+    days = clean.select("date").distinct().orderBy(F.col("date").desc()).limit(k)       # k rows
+    t = clean.join(F.broadcast(days), "date", "left_semi")
+    p = ST.predict(_num(t, POOLED_FEATURES), coefs, POOLED_FEATURES)
+    return p.select("date", F.col(TARGET).cast("double").alias("actual"), "predicted")
+
+
 def _future(base: DataFrame, n_days: int) -> DataFrame:
     return base.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n_days))))
 
