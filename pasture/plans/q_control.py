@@ -227,7 +227,7 @@ def q_resolve_device(spark, sf):
 
 def _legacy_generic(spark, sf):
     d = S.devices(spark, sf)
-    legacy = d.filter(F.col("id") % 3 != 0).select(
+    legacy = d.select(
         "device_id", F.col("alias").alias("name"), "device_token",
         F.when(F.col("id") % 5 == 0, None).otherwise(F.col("alias")).alias("alias"),
         F.when(F.col("id") % 7 == 0, None).otherwise(F.col("client")).alias("client"))
@@ -241,7 +241,7 @@ UNION ALL
 SELECT device_id, 'energy', coalesce(CASE WHEN id % 5 = 0 THEN NULL ELSE alias END, ''),
        coalesce(CASE WHEN id % 7 = 0 THEN NULL ELSE client END, 'Unknown'),
        '{"name":"' || alias || '","device_token":"' || device_token || '"}'
-FROM device WHERE id % 3 <> 0 AND device_id NOT IN (SELECT device_id FROM device WHERE id % 4 = 0)""", "device"))
+FROM device WHERE device_id NOT IN (SELECT device_id FROM device WHERE id % 4 = 0)""", "device"))
 def q_migrate_devices(spark, sf):
     legacy, generic = _legacy_generic(spark, sf)
     return K.migrate_devices(legacy, generic)
@@ -292,18 +292,22 @@ SELECT u.device_id,
        (SELECT max(ts) FROM events) AS end_ts,
        CASE WHEN c.cursor_ts IS NOT NULL THEN 'cursor' WHEN r.max_ts IS NOT NULL THEN 'readings' ELSE 'lookback' END AS basis
 FROM (SELECT DISTINCT user_id AS device_id FROM events) u
-LEFT JOIN (SELECT device_id, max(last_fetch_timestamp) AS cursor_ts FROM old WHERE device_id % 3 <> 0 GROUP BY 1) c
+LEFT JOIN (SELECT device_id, max(last_fetch_timestamp) AS cursor_ts FROM old
+           WHERE device_id IN (SELECT user_id FROM events GROUP BY 1 HAVING arg_max(event_type, event_id) <> 'error') GROUP BY 1) c
   ON u.device_id = c.device_id
-LEFT JOIN (SELECT user_id AS device_id, max(ts) AS max_ts FROM events WHERE user_id % 5 <> 0 AND event_type = 'click'
-           GROUP BY 1) r ON u.device_id = r.device_id""", ctes=(("fetches", _FETCH), ("old", _OLD))))
+LEFT JOIN (SELECT user_id AS device_id, max(ts) AS max_ts FROM events GROUP BY 1
+           HAVING arg_min(event_type, event_id) <> 'signup') r ON u.device_id = r.device_id""", ctes=(("fetches", _FETCH), ("old", _OLD))))
 def q_cursor_next_window(spark, sf):
+    """A device whose newest event is an error has lost its cursor; one that began with a sign-up has no readings yet."""
     old, _ = _fetches(spark, sf)
     e = table(spark, sf, "events")
-    devices = e.select(F.col("user_id").alias("device_id")).distinct()
-    cursors = (old.filter(F.col("device_id") % 3 != 0).groupBy("device_id")
-                  .agg(F.max("last_fetch_timestamp").alias("cursor_ts")))
-    hw = K.max_reading(e.filter((F.col("user_id") % 5 != 0) & (F.col("event_type") == "click")), "user_id", "ts")
-    hw = hw.withColumnRenamed("user_id", "device_id")
+    ends = e.groupBy(F.col("user_id").alias("device_id")).agg(
+        F.max_by("event_type", "event_id").alias("newest"), F.min_by("event_type", "event_id").alias("oldest"))
+    devices = ends.select("device_id")
+    cursors = old.groupBy("device_id").agg(F.max("last_fetch_timestamp").alias("cursor_ts"))
+    cursors = cursors.join(ends.filter("newest != 'error'"), "device_id", "left_semi")
+    hw = K.max_reading(e, "user_id", "ts").withColumnRenamed("user_id", "device_id")
+    hw = hw.join(ends.filter("oldest != 'signup'"), "device_id", "left_semi")
     as_of = e.select(F.max("ts")).scalar()
     return K.next_window(devices, cursors, hw, as_of)
 

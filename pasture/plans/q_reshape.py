@@ -94,28 +94,27 @@ def q_sanitize_json(spark, sf):
 # ------------------------------------------------------------------ JSON records
 
 def _responses(spark, sf):
+    """All events in response bodies of four shapes, and the same events again where the path finds nothing."""
     e = table(spark, sf, "events")
     page = ((F.col("event_id") - F.col("event_id") % 50) / 50).cast("long")
-    g = e.groupBy(F.col("event_type").alias("endpoint"), page.alias("page")).agg(
+    k = F.col("page") % 4
+    e = e.withColumn("page", page)
+    # shapes 0 and 1 hold a page's records as an array, 2 and 3 one record as an object
+    g = e.groupBy(F.col("event_type").alias("endpoint"), "page", F.when(k >= 2, F.col("event_id")).alias("one")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("id"), F.col("value").alias("v")))).alias("recs"))
-    k = F.col("page") % 6
     first = F.element_at("recs", 1)
     body = (F.when(k == 0, F.to_json("recs"))
              .when(k == 1, F.to_json(F.struct(F.struct(F.col("recs").alias("readings")).alias("data"))))
-             .when(k == 2, F.lit('{"data":5}'))
-             .when(k == 3, F.to_json(F.struct(F.struct(first.alias("x")).alias("data"))))
-             .when(k == 4, F.to_json(F.struct(F.col("recs").alias("other"))))
+             .when(k == 2, F.to_json(F.struct(F.struct(first.alias("x")).alias("data"))))
              .otherwise(F.to_json(first)))
-    path = F.when(k.isin(0, 5), "").when(k.isin(1, 4), "data.readings").otherwise("data.x")
-    return g.select("endpoint", "page", body.alias("body"), path.alias("path"))
+    path = F.when(k.isin(0, 3), "").when(k == 1, "data.readings").otherwise("data.x")
+    lost = F.to_json(F.struct(F.lit(5).alias("data"), F.col("recs").alias("other")))
+    shapes = F.explode(F.array(F.struct(body.alias("body"), path.alias("path")),
+                               F.struct(lost.alias("body"), F.when(k < 2, "data.readings").otherwise("data.x").alias("path"))))
+    return g.select("endpoint", "page", shapes.alias("s")).select("endpoint", "page", "s.*")
 
 
-@register("records_by_path", W("""
-SELECT event_type AS endpoint, event_id // 50 AS page, event_id AS id, value AS v
-FROM events WHERE (event_id // 50) % 6 IN (0, 1)
-UNION ALL
-SELECT event_type, event_id // 50, min(event_id), arg_min(value, event_id)
-FROM events WHERE (event_id // 50) % 6 IN (3, 5) GROUP BY 1, 2"""))
+@register("records_by_path", "SELECT event_type AS endpoint, event_id // 50 AS page, event_id AS id, value AS v FROM events")
 def q_records_by_path(spark, sf):
     r = _responses(spark, sf)
     parts = [R.records_by_path(r.filter(F.col("path") == p), "body", p) for p in ("", "data.readings", "data.x")]
