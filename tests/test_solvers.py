@@ -1,4 +1,4 @@
-"""The six rows-only catalogue keys recomputed with NumPy on the real sf0.001 frames."""
+"""Fits and forecasts recomputed with NumPy on the real sf0.001 frames."""
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ def _lstsq(pdf, features):
 def test_ols_pooled_matches_numpy(spark):
     pooled = QA._pooled(spark, SF_SMALL).toPandas()
     coef = _lstsq(pooled, A.POOLED_FEATURES)
-    r = Q["ols_pooled"](spark, SF_SMALL).first()
+    r = A.ols_pooled(QA._pooled(spark, SF_SMALL)).first()
     got = [r["intercept"], *[r[f"b_{c}"] for c in A.POOLED_FEATURES]]
     X = np.c_[np.ones(len(pooled)), pooled[list(A.POOLED_FEATURES)].astype(float).to_numpy()]
     # compare fitted values (robust to near-collinear coefficient trade-offs)
@@ -31,7 +31,7 @@ def test_ols_pooled_matches_numpy(spark):
 
 def test_ols_per_device_and_forecasts_match_numpy(spark):
     clean = QA._clean(spark, SF_SMALL).toPandas().sort_values(["device_alias", "date"])
-    fits = {r["device_alias"]: r for r in Q["ols_per_device"](spark, SF_SMALL).collect()}
+    fits = {r["device_alias"]: r for r in A.ols_per_device(QA._clean(spark, SF_SMALL)).collect()}
     assert set(fits) == set(clean["device_alias"])
     avg = {(r["device_alias"], r["date"]): r["predicted"] for r in Q["forecast_avg"](spark, SF_SMALL).collect()}
     trend = {(r["device_alias"], r["date"]): r["predicted"] for r in Q["forecast_trend"](spark, SF_SMALL).collect()}
