@@ -35,7 +35,7 @@ SLOTS = {5: 21, 4: 20, 3: 18, 2: 16, 1: 14, 0: 0}       # bits of a table over g
 DISCOUNT, FLOOR = 0.75, 2.0 ** -12
 WINDOWS = (1, 8, 32)
 SAMPLE = 40_000
-CACHE, BLOCK = 300_000, 200_000
+CACHE, BLOCK, PART = 300_000, 200_000, 20_000           # words remembered, gathered and looked up at once
 PAD, END = "^", "$"                                     # neither is a word character
 _WORD = re.compile(r"\w+")
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -127,8 +127,8 @@ class Model:
                 if len(known) + len(new) > CACHE:
                     known.clear()
                     new = list(set(itertools.chain.from_iterable(part)))
-                for k in range(0, len(new), BLOCK):
-                    some = new[k:k + BLOCK]
+                for k in range(0, len(new), PART):
+                    some = new[k:k + PART]
                     known.update(zip(some, self.ratios(some).tolist()))
             for i, ws in enumerate(part, at):
                 if ws:
@@ -199,8 +199,8 @@ def _tables(docs: DataFrame, train: DataFrame) -> dict[str, tuple[np.ndarray, np
     rows = []
 
     def add(frame: DataFrame, **values):
-        for k, v in values.items():
-            rows.append(frame.select(F.lit(k).alias("kind"), "g", v.cast("double").alias("v")).where("v > 0"))
+        pairs = F.array(*(F.struct(F.lit(k).alias("kind"), v.cast("double").alias("v")) for k, v in values.items()))
+        rows.append(frame.select("g", F.explode(pairs).alias("x")).select("x.kind", "g", "x.v").where("v > 0"))
 
     for o in range(ORDER - 1, 0, -1):
         level = level.groupBy(F.substring("g", 2, o).alias("g")).agg(F.count(F.lit(1)).alias("v"))
