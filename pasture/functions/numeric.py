@@ -57,9 +57,27 @@ def round_dec(c: Column, dp: int, precision: int = 18) -> Column:
     return F.round(c.cast("decimal(38,10)"), dp).cast(f"decimal({precision},{dp})")
 
 
+def round_binary(d: Column, dp: int = 2) -> Column:
+    """A non-negative double rounded to ``dp`` places by its exact binary value, ties to the even digit.
+
+    The fraction is taken apart into 60 bits (exact: multiplying by powers of two loses nothing, and bits beyond are
+    below any tie), and the rounding is done on integers.
+    """
+    big = "decimal(38,0)"
+    whole = F.floor(d).cast(big)
+    scaled = (d - F.floor(d)) * F.lit(2.0 ** 30)
+    bits = F.floor(scaled).cast(big) * F.lit(2 ** 30).cast(big) + F.floor((scaled - F.floor(scaled)) * F.lit(2.0 ** 30)).cast(big)
+    one = F.lit(2 ** 60).cast(big)
+    n = bits.cast(big) * F.lit(10 ** dp).cast(big)
+    rest = n % one
+    units = (whole * F.lit(10 ** dp).cast(big) + ((n - rest) / one).cast(big)).cast(big)
+    up = (rest * 2 > one) | ((rest * 2 == one) & (units % 2 == 1))
+    return (units + F.when(up, 1).otherwise(0)).cast("double") / F.lit(float(10 ** dp))
+
+
 def pct(x: Column, y: Column, dp: int = 2) -> Column:
-    """Percentage ``round(x / y * 100, dp)``; 0 when the denominator is 0."""
-    return F.when(y.cast("long") > 0, round_ratio(x.cast("long") * 100, y, dp)).otherwise(F.lit(0.0))
+    """Percentage ``x / y * 100`` in doubles, rounded to ``dp`` places half-even on the binary value; 0 for no rows."""
+    return F.when(y.cast("long") > 0, round_binary(x.cast("double") / F.nullif(y.cast("double"), F.lit(0.0)) * 100.0, dp)).otherwise(F.lit(0.0))
 
 
 def epoch_micros(later: Column, earlier: Column) -> Column:

@@ -31,6 +31,17 @@ def round_ratio(num: str, den: str, dp: int) -> str:
     return f"({ratio_units(num, den, dp)} / {float(10 ** dp)})"
 
 
+def percent(part: str, total: str) -> str:
+    """part / total * 100 in doubles, rounded to two places half-even on the exact binary value (HUGEINT arithmetic)."""
+    d = f"(CAST({part} AS DOUBLE) / nullif(CAST({total} AS DOUBLE), 0) * 100.0)"
+    f30 = f"(({d} - floor({d})) * 1073741824.0)"
+    n = f"((CAST(floor({f30}) AS HUGEINT) * 1073741824 + CAST(floor(({f30} - floor({f30})) * 1073741824.0) AS HUGEINT)) * 100)"
+    one = "CAST(1152921504606846976 AS HUGEINT)"
+    units = f"(CAST(floor({d}) AS HUGEINT) * 100 + {n} // {one})"
+    up = f"CASE WHEN {n} % {one} * 2 > {one} OR ({n} % {one} * 2 = {one} AND {units} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"coalesce(CAST({units} + {up} AS DOUBLE) / 100.0, 0.0)"
+
+
 def round_dec(col: str, dp: int, precision: int = 18) -> str:
     return f"CAST(round(CAST({col} AS DECIMAL(38,10)), {dp}) AS DECIMAL({precision},{dp}))"
 

@@ -8,7 +8,7 @@ from pasture.functions import coerce as C
 from pasture.operators import reshape as R
 from pasture.operators.rules import FieldRule, field_errors, get_spec, _typed
 from pasture.plans import ingest as I
-from pasture.plans.oracle import ampm_ts, blank, euro_float, int_from_float, ratio_units, with_standins as W
+from pasture.plans.oracle import ampm_ts, blank, euro_float, int_from_float, percent, with_standins as W
 from pasture.plans.registry import register
 from pasture.sources import standins as S
 
@@ -214,7 +214,7 @@ _TOT = "SELECT file_id, count(*) AS total_count FROM checked GROUP BY file_id"
 @register("error_breakdown", _ck(f"""
 SELECT e.file_id, t AS check_type, t || '_validation' AS check_name, count(*) = 0 AS passed,
        count(*) AS failed_count, tot.total_count,
-       ({ratio_units('count(*) * 100', 'tot.total_count', 2)} / 100.0) AS failure_rate,
+       {percent('count(*)', 'tot.total_count')} AS failure_rate,
        array_to_string(list_slice(list(CAST(row_number AS VARCHAR) || ':' || field ORDER BY row_number, pos), 1, 10), '; ')
            AS sample_failures
 FROM errs e JOIN tot ON e.file_id = tot.file_id
@@ -223,7 +223,7 @@ def q_error_breakdown(spark, sf):
     return I.error_breakdown(staged_feed(spark, sf))
 
 
-_RATE = f"({ratio_units('count(*) FILTER (WHERE NOT is_valid) * 100', 'count(*)', 2)} / 100.0)"
+_RATE = percent('count(*) FILTER (WHERE NOT is_valid)', 'count(*)')
 
 
 @register("overall_quality", _ck(f"""
@@ -243,7 +243,7 @@ SELECT file_id, count(*) AS extract_records, count(*) FILTER (WHERE is_valid) AS
        count(*) FILTER (WHERE NOT is_valid) AS invalid_records,
        count(*) FILTER (WHERE is_valid) AS loaded_records, CAST(0 AS BIGINT) AS skipped_records,
        CASE WHEN count(*) FILTER (WHERE NOT is_valid) = 0 THEN 'passed' ELSE 'partial' END AS validation_status,
-       ({ratio_units('count(*) FILTER (WHERE is_valid) * 100', 'count(*)', 2)} / 100.0) AS quality_score
+       {percent('count(*) FILTER (WHERE is_valid)', 'count(*)')} AS quality_score
 FROM checked GROUP BY file_id"""))
 def q_run_metrics(spark, sf):
     return I.run_metrics(staged_feed(spark, sf))

@@ -31,7 +31,7 @@ def build_session(master: str = "local[*]", app: str = "pasture",
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
+    conf["spark.driver.memory"] = "10g"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -43,16 +43,18 @@ def build_session(master: str = "local[*]", app: str = "pasture",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder.
 
-    A cluster names a shared, durable folder there; we never replace it.  Only
-    when it is unset (local tests) is a fresh scratch folder created.
+    A cluster names a shared, durable folder in ``spark.checkpoint.dir`` or on the context; neither is ever replaced.
+    Only when both are unset (local tests) is a fresh scratch folder created.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    here = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or here
     if not d:
         d = tempfile.mkdtemp(prefix="pasture-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not here:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
