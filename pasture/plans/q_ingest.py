@@ -241,9 +241,12 @@ def q_overall_quality(spark, sf):
 @register("run_metrics", _ck(f"""
 SELECT file_id, count(*) AS extract_records, count(*) FILTER (WHERE is_valid) AS valid_records,
        count(*) FILTER (WHERE NOT is_valid) AS invalid_records,
-       count(*) FILTER (WHERE is_valid) AS loaded_records, CAST(0 AS BIGINT) AS skipped_records,
+       count(*) FILTER (WHERE energy_kwh > 0 AND is_valid) AS loaded_records,
+       count(*) FILTER (WHERE is_valid) - count(*) FILTER (WHERE energy_kwh > 0 AND is_valid) AS skipped_records,
        CASE WHEN count(*) FILTER (WHERE NOT is_valid) = 0 THEN 'passed' ELSE 'partial' END AS validation_status,
        {percent('count(*) FILTER (WHERE is_valid)', 'count(*)')} AS quality_score
 FROM checked GROUP BY file_id"""))
 def q_run_metrics(spark, sf):
-    return I.run_metrics(staged_feed(spark, sf))
+    """The ledger holds the readings above zero; the other valid rows count as skipped."""
+    s = staged_feed(spark, sf)
+    return I.run_metrics(s, s.filter("is_valid and energy_kwh > 0").select("file_id", "row_number"))
