@@ -26,4 +26,4 @@ def register(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every catalogue module (registration happens at import)."""
-    from pasture.plans import q_analytics, q_control, q_delivery, q_ingest, q_reshape, q_views  # noqa: F401
+    from pasture.plans import q_analytics, q_control, q_delivery, q_ingest, q_reshape, q_scalars, q_views  # noqa: F401
