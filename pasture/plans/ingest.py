@@ -57,21 +57,24 @@ def error_breakdown(staged: DataFrame, sample_rows: int | None = None, sample_si
     before the shuffle.  ``sample_rows`` restricts counts and sample to the first so many invalid rows of a file.
     """
     key = ["file_id", "check_type"]
-    inv = staged.filter(~F.col("is_valid")).select("file_id", "row_number", "errors")
+    rows = staged.select("file_id", "row_number", "is_valid", "errors")
     if sample_rows is not None:
-        w = Window.partitionBy("file_id").orderBy("row_number")
-        # rank over invalid rows only; the filter keeps each file's first N
-        inv = inv.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= sample_rows)
-    e = inv.select("file_id", "row_number", F.posexplode("errors").alias("pos", "err"))
+        w = Window.partitionBy("file_id", "is_valid").orderBy("row_number")
+        rows = rows.withColumn("_k", F.row_number().over(w)).withColumn(
+            "errors", F.when(F.col("is_valid") | (F.col("_k") <= sample_rows), F.col("errors"))).drop("_k")
+    e = rows.select("file_id", "row_number", F.posexplode_outer("errors").alias("pos", "err"))
     e = e.select("file_id", F.col("err.error_type").alias("check_type"), "row_number", "pos", F.col("err.field").alias("field"))
-    counts = e.groupBy(*key).agg(F.count(F.lit(1)).alias("failed_count"))
+    # one aggregate for both: every row has one entry without position or with position 0
+    counts = e.groupBy(*key).agg(F.count("pos").alias("failed_count"),
+                                 F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("_rows"))
+    counts = counts.withColumn("total_count", F.sum("_rows").over(Window.partitionBy("file_id"))).filter("check_type is not null")
+    e = e.filter("check_type is not null")
     first = e.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("row_number", "pos")))
     first = first.filter(F.col("_k") <= sample_size).groupBy(*key).agg(        # at most sample_size rows a group
         F.array_sort(F.collect_list(F.struct("row_number", "pos", "field"))).alias("_sample"))
     first = first.withColumn("sample_failures", F.array_join(F.transform(
         "_sample", lambda s: F.concat(s["row_number"].cast("string"), F.lit(":"), s["field"])), "; ")).drop("_sample")
-    totals = staged.groupBy("file_id").agg(F.count(F.lit(1)).alias("total_count"))
-    out = counts.join(first, key).join(totals, "file_id")
+    out = counts.join(first, key)
     return out.select("file_id", "check_type", F.concat(F.col("check_type"), F.lit("_validation")).alias("check_name"),
                       (F.col("failed_count") == 0).alias("passed"), "failed_count", "total_count",
                       pct(F.col("failed_count"), F.col("total_count")).alias("failure_rate"), "sample_failures")
