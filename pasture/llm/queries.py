@@ -66,9 +66,11 @@ def op4_url_equivalence(spark, sf_dir):
 
 
 def _load_sql():
-    from pasture.llm import quality_ledger, url_equivalence
+    from pasture.llm import quality_ledger, substring_dedup, url_equivalence, warc_chunks
     ORACLE["op3_quality_ledger"] = quality_ledger.ORACLE_SQL
     ORACLE["op4_url_equivalence"] = url_equivalence.oracle_sql()
+    ORACLE["op5_substring_dedup"] = substring_dedup.oracle_sql()
+    ORACLE["op10_warc_round_trip"] = warc_chunks.ORACLE_SQL
 
 
 _load_sql()

@@ -229,3 +229,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     per_doc = spans.groupBy("did", "tid").agg(F.collect_list(F.struct("a", "e")).alias("spans"))
     marked = _keyed(docs).join(per_doc, ["did", "tid"], "left").select("doc_id", "text", "spans")
     return marked.mapInArrow(_apply, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept binary")
+
+
+def oracle_sql(length: int = LENGTH) -> str:
+    """DuckDB SQL for ``remove_repeats`` without its ``kept`` column: every window of every text, counted."""
+    return rf"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rid, i, array_to_string(ws[i:i + {length - 1}], ' ') AS win
+      FROM (SELECT rid, ws, unnest(range(1, len(ws) - {length - 2})) AS i FROM w)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY win) AS c FROM s) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, i + k AS i FROM r, (SELECT unnest(range({length})) AS k)),
+word AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (rid)
+"""

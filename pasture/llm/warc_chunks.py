@@ -206,3 +206,14 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """
     done = read(write(chunks(records(pages)), folder), payload=False)
     return done.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS n, sha256(html) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= {LEAST} GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d LEFT JOIN f USING (digest)
+"""
