@@ -112,9 +112,9 @@ class Model:
             p = mixed(t[f"c{o}"][own], t[f"s{o}"][ctx], t[f"f{o}"][ctx], p)
         own, ctx = _slots(sums[ORDER][at], ORDER), _slots(sums[ORDER - 1][at - 1], ORDER - 1)
         a, b = (mixed(t[f"n{c}"][own], t[f"h{c}"][ctx], t[f"t{c}"][ctx], p) for c in (0, 1))
-        total = np.concatenate([[0], np.cumsum(np.log(np.maximum(b, 1e-12)) - np.log(np.maximum(a, 1e-12)))])
-        ends = np.cumsum([len(w) + 1 for w in new])
-        return np.diff(total[ends], prepend=0.0)
+        each = np.log(np.maximum(b, 1e-12)) - np.log(np.maximum(a, 1e-12))
+        # summed word by word: a word's ratio does not depend on what it is looked up with
+        return np.add.reduceat(each, np.cumsum([0, *(len(w) + 1 for w in new[:-1])]))
 
     def features(self, texts: list[bytes | None], known: dict[str, float]) -> np.ndarray:
         """A row of features per text; ``known`` remembers word ratios, bounded."""
@@ -220,8 +220,9 @@ def _tables(docs: DataFrame, train: DataFrame) -> dict[str, tuple[np.ndarray, np
     slots = every.mapInArrow(_slotted, "kind string, slot bigint, v double").groupBy("kind", "slot").agg(F.sum("v").alias("v"))
     names = list(TABLES)
     found = stored(slots.select(F.array_position(F.lit(names), F.col("kind")).cast("tinyint").alias("kind"), F.col("slot").cast("int").alias("slot"),
-                                F.col("v").cast("float").alias("v")), "slots").toPandas()      # at most one row per slot
-    return {names[k - 1]: (part["slot"].to_numpy(), part["v"].to_numpy()) for k, part in found.groupby("kind")}
+                                F.col("v").cast("float").alias("v")), "slots").toArrow()       # at most one row per slot
+    kind, slot, value = (found.column(c).to_numpy() for c in ("kind", "slot", "v"))
+    return {n: (slot[kind == k], value[kind == k]) for k, n in enumerate(names, 1)}
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -261,9 +262,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     names = [*(f"x{k}" for k in range(width)), "toxic"]
     check = seen.where("part = 4").select("text", "toxic").mapInArrow(
-        measured, ", ".join(f"{n} double" for n in names[:-1]) + ", toxic int").toPandas()
+        measured, ", ".join(f"{n} double" for n in names[:-1]) + ", toxic int").toArrow()
     sent.destroy()
-    x, y = check[names[:-1]].to_numpy(), check["toxic"].to_numpy(float)
+    x = np.column_stack([check.column(n).to_numpy() for n in names[:-1]])
+    y = check.column("toxic").to_numpy().astype(float)
     if len(set(y)) == 2:
         return Model(tables, *_curve(x, y))
     # nothing to calibrate on: the share of toxic rows
