@@ -113,7 +113,8 @@ def ablations(book: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The rows of ``docs`` (with their columns) that the policy keeps; base failures always go."""
+    """The rows of ``docs`` (with their columns) that the policy keeps; base failures always go, so null and empty
+    texts, which have no words, go too.  Repeated rows are judged alike."""
     d = measured(docs)
     bits = F.col("ledger.fail_bits")
     return kept(d, passes(bits, BASE) & passes(bits, policy)).select("row.*")
