@@ -7,8 +7,9 @@ separators) and context (quotes, assignment signs around it); a proposal is reda
 threshold, the lowest one with the wanted precision on calibration rows.
 
 No hand-labelled spans exist, so the trees learn from the exact evidence at hand: a number is positive if a base span
-covers it, a mixed run if a word like "token" or "password" is assigned to it.  They are fitted on a bounded sample
-(``SAMPLE`` proposals of some ``SAMPLE_DOCS`` documents picked by a hash of their id); everything else covers all rows.
+covers it, a mixed run if a word like "token" or "password" is assigned to it.  The proposals of all documents are
+gathered; the trees are fitted on a bounded sample of them (some ``SAMPLE``, an equal part of every kind and label), and
+the thresholds are calibrated on all others.
 
 The fitted trees become column expressions, so a document is searched, scored and redacted inside its own row: no
 shuffle, no Python on the executors.
@@ -62,7 +63,7 @@ _CHECK = {
 }
 FEATURES = ("length", "digits", "letters", "hex", "upper", "apart", "distinct", "quoted", "assigned", "joined", "plus", "number")
 
-SAMPLE_DOCS, SAMPLE = 4000, 20_000
+SAMPLE, RATES = 20_000, 1_000_000
 PRECISION, SUPPORT = 0.95, 20
 
 
@@ -146,36 +147,50 @@ def score(model: Model, x: Column) -> Column:
     return 1 / (1 + F.exp(-2 * margin))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample: int = SAMPLE, precision: float = PRECISION,
-        support: int = SUPPORT) -> Model:
-    """Trees and thresholds from at most ``sample`` proposals of a hash sample of about ``sample_docs`` documents.
+def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, support: int = SUPPORT) -> Model:
+    """Trees from about ``sample`` proposals at most, thresholds from the other proposals of all documents.
 
     Without both positive and negative proposals nothing is fitted, and only base spans are found.
     """
-    step = max(1, docs.count() // sample_docs)
-    rows = _proposals(docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("pii")), F.lit(step)) == 0).select("doc_id", "text"))
     # outer: else the optimiser tests for empty arrays by working out the proposals a second time
-    rows = rows.select(F.col("row.doc_id").alias("doc_id"), F.explode_outer("proposed").alias("x")).where("x is not null").select("doc_id", "x.*")
-    rows = rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "kind", "s", "e"))
-    rows = stored(rows.orderBy("h", "doc_id", "kind", "s").limit(sample), "proposals")
-    train, check = rows.where("pmod(h, 10) < 7"), rows.where("pmod(h, 10) >= 7")
+    rows = _proposals(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("doc_id"), F.explode_outer("proposed").alias("x"))
+    rows = rows.where("x is not null").select("doc_id", "x.*").withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "kind", "s", "e"))
+    rows = stored(rows, "proposals")
+    found = {(r["kind"], r["label"]): r["n"] for r in rows.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len({label for _, label in found}) < 2:
+        return Model()
+    # at most seven tenths of a kind and label, and no more than its part of the sample
+    part = F.lit(False)
+    for (k, label), n in found.items():
+        rate = min(RATES, int(RATES * sample / (0.7 * len(found) * n)))
+        part = part | ((F.col("kind") == k) & (F.col("label") == label) & (F.pmod(F.shiftright("h", 20), F.lit(RATES)) < rate))
+    part = part & (F.pmod("h", F.lit(10)) < 7)
+    train = stored(rows.where(part).orderBy("h", "doc_id", "kind", "s").limit(2 * sample), "trained")
     seen = train.agg(F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[0] == seen[1]:
         return Model()
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train.coalesce(1))
     gbt = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=42, cacheNodeIds=False).fit(vectors)
     model = Model([(float(w), _tree(t._java_obj.rootNode())) for w, t in zip(gbt.treeWeights, gbt.trees)])
-    scored = check.select("kind", "label", F.floor(100 * score(model, F.struct(*FEATURES))).alias("step"))
-    counts: dict[str, list] = {k: [] for k in PROPOSED}
-    for r in scored.groupBy("kind", "step").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("all")).collect():
-        counts[r["kind"]].append((r["step"], r["yes"], r["all"]))
-    for k, steps in counts.items():
+    scored = rows.where(~part).select("kind", "label", F.floor(100 * score(model, F.struct(*FEATURES))).alias("step"))
+    scored = scored.groupBy("kind", "label", "step").agg(F.count(F.lit(1)).alias("n")).collect()
+    left: dict[tuple, int] = {}
+    for r in scored:
+        left[r["kind"], r["label"]] = left.get((r["kind"], r["label"]), 0) + r["n"]
+    for k in PROPOSED:
         model.thresholds[k] = math.inf
-        yes = all_ = 0
-        for step_, y, n in sorted(steps, reverse=True):
-            yes, all_ = yes + y, all_ + n
-            if yes >= support and yes >= precision * all_:
-                model.thresholds[k] = step_ / 100
+        yes, weighed = 0, {0.0: 0.0, 1.0: 0.0}
+        steps: dict[int, list] = {}
+        for r in scored:
+            if r["kind"] == k:
+                steps.setdefault(r["step"], []).append(r)
+        for step in sorted(steps, reverse=True):
+            for r in steps[step]:
+                yes += r["n"] if r["label"] else 0
+                # the rows left stand for all of their label: the sample takes more of the rarer one
+                weighed[r["label"]] += r["n"] * found[k, r["label"]] / left[k, r["label"]]
+            if yes >= support and weighed[1.0] >= precision * sum(weighed.values()):
+                model.thresholds[k] = step / 100
     return model
 
 

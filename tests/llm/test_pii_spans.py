@@ -99,6 +99,20 @@ def test_without_anything_to_learn(spark):
     assert P.find(d.limit(0)).collect() == [] == P.redact(d.limit(0)).collect()
 
 
+def test_all_documents_calibrate(spark):
+    """Rare secrets in more documents than any sample holds: the thresholds see all of them."""
+    rnd = random.Random(4)
+    key = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+    texts = [f"call 030 123 456 {i:07d} now" if i % 3 else f"path/to/some_long_name_{i}" for i in range(9000)]
+    texts[::100] = [f'token = "{key()}"' for _ in texts[::100]]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for sample in (P.SAMPLE, 400):
+        model = P.fit(d, sample=sample)
+        assert model.thresholds["secret"] <= 1
+        clean = [r.text for r in P.redact(d, model).where("text like '%[SECRET]%'").collect()]
+        assert sum(t == 'token = "[SECRET]"' for t in clean) == 90 and len(clean) <= 94
+
+
 def test_no_python_on_the_executors(spark, rows, fitted):
     plan = P.find(spark.createDataFrame(rows, SCHEMA), fitted)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Exchange"))
