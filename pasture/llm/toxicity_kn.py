@@ -8,10 +8,10 @@ same shared estimate in both models, so rare expressions count for neither class
 A text is compared by length-normalised log-likelihood ratios: of the whole text per word, and of its best window of 1,
 8 and 32 words per word.  A logistic curve turns the four (and the logarithm of the number of words) into a score.
 
-Class counts and the curve are fitted on at most ``SAMPLE`` labelled rows, the least by a hash of their id, of those whose
-crc32(doc_id) modulo 5 is not 0; remainders 1 to 3 give counts, remainder 4 the curve.  The shared counts cover all
-documents and grow with them.  The fitted tables have a fixed number of hashed slots (``SLOTS`` bits by order), so the
-model that tasks receive is bounded (some 45 MB) whatever the corpus.
+Labelled rows whose crc32(doc_id) modulo 5 is 0 are never read: all rows of remainders 1 to 3 give class counts, and at
+most ``SAMPLE`` rows of remainder 4, the least by a hash of their id, the curve.  The shared counts cover all documents.
+Every gram has an entry of its own, keyed by 64 bits, so the model that the driver and the tasks hold grows with the
+number of different grams (16 bytes for each and table).
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from pasture.llm.scratch import pick, stored
 
 ORDER = 5
-SLOTS = {5: 21, 4: 20, 3: 18, 2: 16, 1: 14, 0: 0}       # bits of a table over grams of that many characters
 DISCOUNT, FLOOR = 0.75, 2.0 ** -12
 WINDOWS = (1, 8, 32)
 SAMPLE = 40_000
@@ -51,11 +50,8 @@ def _grams(word: str) -> list[str]:
 
 
 def _slots(sums: np.ndarray, order: int) -> np.ndarray:
-    """Table slots for gram sums of one order."""
-    if not SLOTS[order]:
-        return np.zeros(len(sums), np.int64)
-    x = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(64 - SLOTS[order])).astype(np.int64)
+    """Table keys for gram sums of one order."""
+    return sums.view(np.int64) if order else np.zeros(len(sums), np.int64)
 
 
 def _sums(points: np.ndarray, order: int) -> np.ndarray:
@@ -76,9 +72,21 @@ TABLES = {"n0": 5, "n1": 5, "h0": 4, "h1": 4, "t0": 4, "t1": 4} | {
     f"{k}{o}": o - (k != "c") for o in range(1, ORDER) for k in "csf"}
 
 
+class _Table:
+    """Values by key; zero where a key is missing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = np.append(keys[order], 0), np.append(values[order], 0.0)     # the last is never a hit
+
+    def __getitem__(self, key):
+        at = np.searchsorted(self.keys[:-1], key)
+        return np.where((at < len(self.keys) - 1) & (self.keys[at] == key), self.values[at], 0.0)
+
+
 @dataclass
 class Model:
-    """Hashed tables by name, as taken slots and their values, and the logistic curve: weights of the standardised
+    """Tables by name, as keys and their values, and the logistic curve: weights of the standardised
     features, the last for one."""
 
     taken: dict[str, tuple[np.ndarray, np.ndarray]]
@@ -87,12 +95,9 @@ class Model:
     weights: np.ndarray
 
     @cached_property
-    def tables(self) -> dict[str, np.ndarray]:
-        """The tables as arrays over all slots; made where they are used, never sent."""
-        out = {k: np.zeros(1 << SLOTS[o], np.float32) for k, o in TABLES.items()}
-        for k, (slots, values) in self.taken.items():
-            out[k][slots] = values
-        return out
+    def tables(self) -> dict[str, _Table]:
+        """The tables in order of their keys; made where they are used, never sent."""
+        return {k: _Table(*self.taken[k]) for k in TABLES}
 
     def ratios(self, new: list[str]) -> np.ndarray:
         """Log-likelihood ratio, toxic over ordinary, of each word."""
@@ -180,7 +185,7 @@ def _class_grams(batches):
 
 
 def _slotted(batches):
-    """(table, gram, value) to (table, slot, value)."""
+    """(table, gram, value) to (table, key, value)."""
     for b in batches:
         kind = np.array(b.column("kind").to_pylist(), object)
         grams = b.column("g").to_pylist()
@@ -219,8 +224,8 @@ def _tables(docs: DataFrame, train: DataFrame) -> dict[str, tuple[np.ndarray, np
         every = every.union(r)
     slots = every.mapInArrow(_slotted, "kind string, slot bigint, v double").groupBy("kind", "slot").agg(F.sum("v").alias("v"))
     names = list(TABLES)
-    found = stored(slots.select(F.array_position(F.lit(names), F.col("kind")).cast("tinyint").alias("kind"), F.col("slot").cast("int").alias("slot"),
-                                F.col("v").cast("float").alias("v")), "slots").toArrow()       # at most one row per slot
+    found = stored(slots.select(F.array_position(F.lit(names), F.col("kind")).cast("tinyint").alias("kind"), "slot",
+                                "v"), "slots").toArrow()       # one row per gram and table
     kind, slot, value = (found.column(c).to_numpy() for c in ("kind", "slot", "v"))
     return {n: (slot[kind == k], value[kind == k]) for k, n in enumerate(names, 1)}
 
@@ -241,15 +246,15 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Both models and the curve.  Labels that are null or belong to held-out ids are never read; an id labelled twice
-    counts as toxic if either row says so."""
+    """Both models and the curve, the latter from ``sample`` rows at most.  Labels that are null or belong to held-out ids are
+    never read; an id labelled twice counts as toxic if either row says so."""
     d = pick(docs, doc_id="bigint", text="binary")
     known = pick(labels, doc_id="bigint", toxic="int").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     known = stored(known.withColumn("part", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5), "labels")
-    seen = d.join(F.broadcast(known), "doc_id").select("text", "toxic", "part")        # at most ``sample`` rows of labels
-    tables = _tables(d, seen.where("part < 4").select("text", "toxic"))
+    tables = _tables(d, d.join(known.where("part < 4"), "doc_id").select("text", "toxic"))
+    some = stored(known.where("part = 4").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "curve")
+    seen = d.join(F.broadcast(some), "doc_id")        # at most ``sample`` rows of labels
     width = 2 + len(WINDOWS)
     model = Model(tables, np.zeros(width), np.ones(width), np.zeros(width + 1))
     sent = d.sparkSession.sparkContext.broadcast(model)
@@ -261,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), b.column("toxic").cast(pa.int32())], names)
 
     names = [*(f"x{k}" for k in range(width)), "toxic"]
-    check = seen.where("part = 4").select("text", "toxic").mapInArrow(
+    check = seen.select("text", "toxic").mapInArrow(
         measured, ", ".join(f"{n} double" for n in names[:-1]) + ", toxic int").toArrow()
     sent.destroy()
     x = np.column_stack([check.column(n).to_numpy() for n in names[:-1]])

@@ -82,3 +82,23 @@ def test_ratio_of_a_word_is_the_sum_over_its_characters(spark):
             a, b = (mixed(t[f"n{c}"][slot(g)], t[f"h{c}"][slot(g[:-1])], t[f"t{c}"][slot(g[:-1])], p) for c in (0, 1))
             want += np.log(max(b, 1e-12)) - np.log(max(a, 1e-12))
         assert abs(m.ratios([w])[0] - want) < 1e-4
+
+
+def test_counts_are_exact_and_of_all_labels(spark):
+    """More characters than any fixed table holds; class counts do not depend on the size of the curve's sample."""
+    chars = [chr(c) for c in range(0x4E00, 0x9FA0)]
+    docs = [(i, " ".join(chars[k] + chars[-k] for k in range(i, len(chars), 40)) + " scumbag", "", "", "") for i in range(40)]
+    labels = [(i, 1, i % 2) for i in range(40)]
+    d = spark.createDataFrame(docs, DOCS)
+    m = T.fit(d, spark.createDataFrame(labels, LABELS), sample=5)
+    grams = {g for _, t, *_ in docs for w in T.words(t.encode()) for g in T._grams(w)}
+    for o in range(T.ORDER - 1, 0, -1):
+        count = {}
+        for g in grams:
+            count[g[1:]] = count.get(g[1:], 0) + 1
+        key = T._slots(T._sums(T._points("".join(count)), o)[o - 1::o], o)
+        assert np.array_equal(m.tables[f"c{o}"][key], list(count.values()))
+        grams = set(count)
+    top = T._slots(T._sums(T._points("mbag$"), 5)[-1:], 5)
+    used = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)]
+    assert [m.tables["n0"][top][0], m.tables["n1"][top][0]] == [used.count(0), used.count(1)]
