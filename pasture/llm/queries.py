@@ -66,11 +66,12 @@ def op4_url_equivalence(spark, sf_dir):
 
 
 def _load_sql():
-    from pasture.llm import quality_ledger, substring_dedup, url_equivalence, warc_chunks
+    from pasture.llm import line_dedup, quality_ledger, substring_dedup, url_equivalence, warc_chunks
     ORACLE["op3_quality_ledger"] = quality_ledger.ORACLE_SQL
     ORACLE["op4_url_equivalence"] = url_equivalence.oracle_sql()
     ORACLE["op5_substring_dedup"] = substring_dedup.oracle_sql()
     ORACLE["op10_warc_round_trip"] = warc_chunks.ORACLE_SQL
+    ORACLE["op13_line_dedup"] = line_dedup.oracle_sql(min_docs=10)
 
 
 _load_sql()
@@ -96,3 +97,10 @@ def op1_toxicity_kn(spark, sf_dir):
     from pasture.llm.toxicity_kn import fit, score
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op13_line_dedup(spark, sf_dir):
+    """Every document without the lines whose key ten documents or more have."""
+    from pasture.llm.line_dedup import digests
+    return digests(table(spark, sf_dir, "documents"), min_docs=10)
