@@ -66,11 +66,12 @@ def op4_url_equivalence(spark, sf_dir):
 
 
 def _load_sql():
-    from pasture.llm import line_dedup, quality_ledger, substring_dedup, url_equivalence, warc_chunks
+    from pasture.llm import line_dedup, merkle_manifest, quality_ledger, substring_dedup, url_equivalence, warc_chunks
     ORACLE["op3_quality_ledger"] = quality_ledger.ORACLE_SQL
     ORACLE["op4_url_equivalence"] = url_equivalence.oracle_sql()
     ORACLE["op5_substring_dedup"] = substring_dedup.oracle_sql()
     ORACLE["op10_warc_round_trip"] = warc_chunks.ORACLE_SQL
+    ORACLE["op12_merkle_manifest"] = merkle_manifest.oracle_sql(every=7)
     ORACLE["op13_line_dedup"] = line_dedup.oracle_sql(min_docs=10)
 
 
@@ -104,3 +105,10 @@ def op13_line_dedup(spark, sf_dir):
     """Every document without the lines whose key ten documents or more have."""
     from pasture.llm.line_dedup import digests
     return digests(table(spark, sf_dir, "documents"), min_docs=10)
+
+
+@_query
+def op12_merkle_manifest(spark, sf_dir):
+    """Leaf, roots, proof digest and verification of every document, after tampering with some."""
+    from pasture.llm.merkle_manifest import verified
+    return verified(table(spark, sf_dir, "documents"), every=7)
