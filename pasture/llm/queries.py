@@ -66,11 +66,13 @@ def op4_url_equivalence(spark, sf_dir):
 
 
 def _load_sql():
-    from pasture.llm import line_dedup, merkle_manifest, quality_ledger, substring_dedup, url_equivalence, warc_chunks
+    from pasture.llm import (line_dedup, merkle_manifest, prefix_trie, quality_ledger, substring_dedup, url_equivalence,
+                             warc_chunks)
     ORACLE["op3_quality_ledger"] = quality_ledger.ORACLE_SQL
     ORACLE["op4_url_equivalence"] = url_equivalence.oracle_sql()
     ORACLE["op5_substring_dedup"] = substring_dedup.oracle_sql()
     ORACLE["op10_warc_round_trip"] = warc_chunks.ORACLE_SQL
+    ORACLE["op11_prefix_trie"] = prefix_trie.oracle_sql(every=20)
     ORACLE["op12_merkle_manifest"] = merkle_manifest.oracle_sql(every=7)
     ORACLE["op13_line_dedup"] = line_dedup.oracle_sql(min_docs=10)
 
@@ -112,3 +114,10 @@ def op12_merkle_manifest(spark, sf_dir):
     """Leaf, roots, proof digest and verification of every document, after tampering with some."""
     from pasture.llm.merkle_manifest import verified
     return verified(table(spark, sf_dir, "documents"), every=7)
+
+
+@_query
+def op11_prefix_trie(spark, sf_dir):
+    """Every prefix of the rebuilt conversations, with its members, children and subtree totals."""
+    from pasture.llm.prefix_trie import trie
+    return trie(table(spark, sf_dir, "conversations"), every=20)
