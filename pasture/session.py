@@ -7,6 +7,7 @@ in settings that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -42,20 +43,30 @@ def build_session(master: str = "local[*]", app: str = "pasture",
     return spark
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, resolved by Hadoop's default file system; ``file:/x`` becomes ``file:///x``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()
+    return re.sub(r"^([a-zA-Z][\w+.-]*):/(?!/)", r"\1:///", uri).rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder.
+    """Return the shared checkpoint folder, as a URI.
 
     A cluster names a shared, durable folder in ``spark.checkpoint.dir`` or on the context; neither is ever replaced.
-    Only when both are unset (local tests) is a fresh scratch folder created.
+    Where both are unset, a session in local mode gets a fresh scratch folder, kept on its context; any other session
+    is refused, since its executors would not see a folder of this machine.
     """
-    here = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    here = sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None) or here
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
         d = tempfile.mkdtemp(prefix="pasture-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not here:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+        sc.setCheckpointDir(d)
+    return _qualified(spark, d)
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
