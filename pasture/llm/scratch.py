@@ -6,20 +6,17 @@ Spark's own Parquet writer; a lost executor therefore never takes an intermediat
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pasture.session import ensure_checkpoint_dir
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a new temporary one only where none is set (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="pasture-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    """The shared folder the cluster names, as a URI; a new temporary one only in local mode where none is named."""
+    return ensure_checkpoint_dir(spark)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
