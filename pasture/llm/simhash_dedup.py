@@ -49,13 +49,14 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; null and wordless texts have fingerprint zero."""
+    """(doc_id, th, fp) per row of ``docs``; th: hash of the text; null and wordless texts have fingerprint zero."""
     def run(batches):
         for b in batches:
             fp = [fingerprint(t, shingle, seed) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fp, pa.int64())], ["doc_id", "th", "fp"])
 
-    return pick(docs, doc_id="bigint", text="binary").mapInArrow(run, "doc_id bigint, fp bigint")
+    d = pick(docs, doc_id="bigint", text="binary").withColumn("th", F.xxhash64("text"))
+    return d.mapInArrow(run, "doc_id bigint, th bigint, fp bigint")
 
 
 def _lane_counts(fp: np.ndarray) -> np.ndarray:
@@ -171,6 +172,15 @@ def links(fps: DataFrame, radius: int = 2, tile_rows: int = TILE_ROWS) -> DataFr
             .mapInArrow(lambda it: _compare(it, radius), "u bigint, v bigint"))
 
 
+def _classes(docs: DataFrame, shingle: int, radius: int, seed: int, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, fp) of every row, and (fp, component, first) of every fingerprint: its class and its least doc_id."""
+    fps = stored(fingerprints(docs, shingle, seed), "fingerprints")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    comp = components(links(distinct.select("fp"), radius, tile_rows))
+    classes = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+    return fps, stored(classes.withColumn("component", F.coalesce("component", "fp")), "classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42,
                     tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs`` (doc_id, text).
@@ -180,12 +190,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: in
     without doc_id takes part in linking but names no class; its component_id is null only if no linked row has
     an id.  An empty table gives an empty result.
     """
-    fps = stored(fingerprints(docs, shingle, seed), "fingerprints")
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    comp = components(links(distinct.select("fp"), radius, tile_rows))
-    classes = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-    classes = classes.withColumn("component", F.coalesce("component", "fp"))
-    named = stored(classes, "classes")
+    fps, named = _classes(docs, shingle, radius, seed, tile_rows)
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = named.select("fp", "component").join(least, "component").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(
@@ -193,11 +198,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: in
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of every class: that of the least doc_id (one of them where it is repeated).
+    """``docs`` with one row of every class: that of the least doc_id, rows without one last, then of the least text hash.
 
-    Rows without doc_id cannot be told apart and stay.
+    Rows alike in doc_id and text are copies, of which one stays; rows that share a doc_id but not their class each
+    stand for their own class.
     """
-    d = near_duplicates(docs, shingle, radius, seed)
-    first = d.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    one = docs.join(first, docs["doc_id"] == first["__first"], "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(docs["doc_id"].isNull()))
+    fps, named = _classes(docs, shingle, radius, seed, TILE_ROWS)
+    # partial minima first: a class of any size is a row per task and fingerprint when it is shuffled
+    per_fp = fps.groupBy("fp", F.col("doc_id").isNull().alias("nameless")).agg(F.min("doc_id").alias("doc_id"))
+    lead = per_fp.join(named.select("fp", "component"), "fp").groupBy("component").agg(
+        F.min("nameless").alias("nameless"), F.min("doc_id").alias("doc_id"))
+    of = fps.select("doc_id", "th", "fp").distinct().join(named.select("fp", "component"), "fp")
+    same = (of["component"] == lead["component"]) & of["doc_id"].eqNullSafe(lead["doc_id"])
+    first = of.join(lead, same).groupBy(of["component"]).agg(F.min(F.struct(of["doc_id"], "th")).alias("one"))
+    first = stored(first.select(F.col("one.doc_id").alias("__id"), F.col("one.th").alias("__th")).distinct(), "first")
+    d = docs.withColumn("__text", F.xxhash64(F.col("text").cast("binary")))
+    one = d.join(first, d["doc_id"].eqNullSafe(first["__id"]) & (d["__text"] == first["__th"]), "left_semi")
+    return one.dropDuplicates(["doc_id", "__text"]).drop("__text")

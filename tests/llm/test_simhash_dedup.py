@@ -74,7 +74,15 @@ def test_keep_one_row_of_each_class(spark):
     ids = [r.doc_id for r in kept.collect()]
     classes = {c for _, _, c in brute(rows) if c is not None}
     assert sorted(i for i in ids if i is not None) == sorted(classes)
-    assert ids.count(None) == 2
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["alone and without any id at all"]
+
+
+def test_keep_one_of_repeated_and_missing_ids(spark):
+    """Rows are chosen per class: rows that share an id but nothing else all stay, copies without an id go."""
+    texts = [" ".join(f"{k}{i}" for i in range(40)) for k in "abcd"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[0]), (9, texts[1]), (None, texts[3])]
+    got = sorted(((r.doc_id, r.text) for r in S.keep_one(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3])], key=str)
 
 
 def test_forest_reaches_all_links_and_stays_small():
