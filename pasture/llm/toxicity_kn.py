@@ -34,6 +34,7 @@ ORDER = 5
 DISCOUNT, FLOOR = 0.75, 2.0 ** -12
 WINDOWS = (1, 8, 32)
 SAMPLE = 40_000
+LABEL_BYTES, SENT_BYTES = 32, 256 << 20                 # of a broadcast label row; of the largest broadcast of labels
 CACHE, BLOCK, PART = 300_000, 200_000, 20_000           # words remembered, gathered and looked up at once
 PAD, END = "^", "$"                                     # neither is a word character
 _WORD = re.compile(r"\w+")
@@ -246,13 +247,18 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Both models and the curve, the latter from ``sample`` rows at most.  Labels that are null or belong to held-out ids are
-    never read; an id labelled twice counts as toxic if either row says so."""
+    """Both models and the curve, the latter from ``sample`` rows at most.  Labels that are neither 0 nor 1 or belong to
+    held-out ids are never read; an id labelled twice counts as toxic if either row says so."""
     d = pick(docs, doc_id="bigint", text="binary")
-    known = pick(labels, doc_id="bigint", toxic="int").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    known = pick(labels, doc_id="bigint", toxic="int").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = stored(known.withColumn("part", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5), "labels")
-    tables = _tables(d, d.join(known.where("part < 4"), "doc_id").select("text", "toxic"))
+    known = stored(known.withColumn("part", part), "labels")
+    # which rows are read follows from their ids; texts are shuffled only where the labels are too many to send
+    counted = known.where("part < 4").select("doc_id", "toxic")
+    small = counted.count() * LABEL_BYTES <= SENT_BYTES
+    counted = F.broadcast(counted) if small else counted.hint("merge")
+    tables = _tables(d, d.where(part.between(1, 3)).join(counted, "doc_id").select("text", "toxic"))
     some = stored(known.where("part = 4").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "curve")
     seen = d.join(F.broadcast(some), "doc_id")        # at most ``sample`` rows of labels
     width = 2 + len(WINDOWS)

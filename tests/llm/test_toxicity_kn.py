@@ -45,7 +45,7 @@ def test_odd_rows(spark):
     docs, labels = make(300)
     odd = [(5000, None, None, None, None), (5001, "", "", "", ""), (5002, " \n.,", "", "", ""), (None, "scumbag", "", "", ""), (5003, "x" * 200_000, "", "", ""),
            (5004, "word " * 60_000, "", "", ""), docs[0], docs[0], (5005, "^$ ^ \U0001F600 中文", "", "", "")]
-    odd_labels = [(None, 1, 1), (1, 1, None), (2, 1, 1), (2, 1, 0), (99_999, 0, 1)]
+    odd_labels = [(None, 1, 1), (1, 1, None), (2, 1, 1), (2, 1, 0), (99_999, 0, 1), (3, 1, 2), (4, 1, -1)]
     d = spark.createDataFrame(docs + odd, DOCS)
     got = T.score(d, T.fit(d, spark.createDataFrame(labels + odd_labels, LABELS), sample=200)).collect()
     assert len(got) == len(docs) + len(odd)
@@ -102,3 +102,27 @@ def test_counts_are_exact_and_of_all_labels(spark):
     top = T._slots(T._sums(T._points("mbag$"), 5)[-1:], 5)
     used = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)]
     assert [m.tables["n0"][top][0], m.tables["n1"][top][0]] == [used.count(0), used.count(1)]
+
+
+def test_labels_sent_or_shuffled_give_the_same(spark, monkeypatch):
+    docs, labels = make(300)
+    d, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels + [(5, 1, 2), (6, 1, -1)], LABELS)
+    sent = {r.doc_id: round(r.score, 9) for r in T.score(d, T.fit(d, lab)).collect()}
+    monkeypatch.setattr(T, "SENT_BYTES", 0)
+    assert sent == {r.doc_id: round(r.score, 9) for r in T.score(d, T.fit(d, lab)).collect()}
+
+
+def test_score_of_a_document_is_its_windows_through_the_curve(spark):
+    """Whole documents rebuilt in plain Python: mean ratio, best windows of 1, 8 and 32 words, length, curve."""
+    docs, labels = make(250)
+    d = spark.createDataFrame(docs, DOCS)
+    m = T.fit(d, spark.createDataFrame(labels, LABELS))
+    got = {r.doc_id: r.score for r in T.score(d, m).collect()}
+    for i, text, *_ in docs[:60]:
+        ws = T.words(text.encode())
+        r = [float(m.ratios([w])[0]) for w in ws]
+        best = [max(sum(r[a:a + min(k, len(r))]) for a in range(len(r) - min(k, len(r)) + 1)) / min(k, len(r)) for k in T.WINDOWS]
+        x = [sum(r) / len(r), *best, np.log1p(len(ws))]
+        z = [(v - mu) / sd for v, mu, sd in zip(x, m.mean, m.scale)] + [1.0]
+        want = 1 / (1 + np.exp(-max(-40, min(40, sum(a * b for a, b in zip(z, m.weights))))))
+        assert abs(got[i] - want) < 1e-6
