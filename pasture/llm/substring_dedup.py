@@ -15,6 +15,9 @@ found in two or more runs are repeats, so the match ends exactly where the words
 all comparisons are counts, aggregated before they are shuffled.
 
 Overlapping removed windows join to maximal repeats when they are applied.
+
+Anchors are compared by polynomial hashes of their words, which arrays give cheaply; unlike words can share one.  Runs and
+windows, on which removal rests, are compared by XXH64 of their words' bytes, beside the anchor.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ from pasture.llm.scratch import stored
 
 LENGTH, SEED = 35, 13
 BLOCK = 1 << 16         # words handled at once, so that a huge text needs bounded arrays
-# odd bases of the hashes of words, grams and word sequences
-_B0, _B1, _B2 = 0xA0761D6478BD642F, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+# odd bases of the hashes of words and grams
+_B0, _B1 = 0xA0761D6478BD642F, 0x9E3779B97F4A7C15
 
 
 _GAP = np.zeros(256, bool)
@@ -69,21 +72,27 @@ class _Sequences:
         return x ^ (x >> np.uint64(29))
 
 
-def _words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Byte offset and 64-bit hash of every word."""
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte offsets (start, end) and 64-bit hash of every word."""
     raw = np.frombuffer(text, np.uint8)
     edge = np.diff(_GAP[raw].view(np.int8), prepend=np.int8(1), append=np.int8(1))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return start, _Sequences(_BYTE[raw], _B0).of(start, end)
+    return start, end, _Sequences(_BYTE[raw], _B0).of(start, end)
+
+
+def _exact(text: bytes, start: np.ndarray, end: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """XXH64 of the bytes of ``n`` words from word ``first`` on, for each; ``text`` has single spaces between words."""
+    a, e = start[first].tolist(), end[first + n - 1].tolist()
+    return np.fromiter((xxhash.xxh64_intdigest(text[x:y]) for x, y in zip(a, e)), np.uint64, len(a))
 
 
 def _segments(texts, length: int):
     """Lists of (row, first word, text) of some BLOCK words together; a longer text comes in overlapping parts."""
     held, n = [], 0
     for row, t in enumerate(texts):
-        parts = [(0, t)]
+        words = t.split()
+        parts = [(0, b" ".join(words))]
         if len(t) > 8 * BLOCK:
-            words = t.split()
             parts = [(at, b" ".join(words[at:at + BLOCK + length - 1])) for at in range(0, len(words), BLOCK)]
         for at, part in parts:
             held.append((row, at, part))
@@ -105,11 +114,12 @@ def _least(key: np.ndarray, width: int) -> np.ndarray:
 
 
 def _runs(texts, length: int, seed: int):
-    """Per block: word hashes, and of each run its row, the block's offset in the text, anchor hash, first window
+    """Per block: its text and word offsets, and of each run its row, the block's offset in the text, anchor hash, first window
     (in the block), number of windows and anchor offset."""
     place = np.uint64((1 << 24) - 1)            # low bits of a key: the later of equal grams is the lesser one
     for held in _segments(texts, length):
-        start, h = _words(b" ".join(t for _, _, t in held))
+        block = b" ".join(t for _, _, t in held)
+        start, end, h = _words(block)
         if len(h) < length:
             continue
         ends = np.cumsum([len(t) + 1 for _, _, t in held])
@@ -127,7 +137,7 @@ def _runs(texts, length: int, seed: int):
         first = bounds[whole[bounds]]
         at = np.array([a for _, a, _ in held]) - np.concatenate([[0], until[:-1]])
         rows = np.array([r for r, _, _ in held])
-        yield h, rows[seg[first]], at[seg[first]], anchors[pos[first]], first, many, pos[first] - first
+        yield (block, start, end), rows[seg[first]], at[seg[first]], anchors[pos[first]], first, many, pos[first] - first
 
 
 _OCCURRENCE = "anchor bigint, run bigint, did bigint, tid bigint, a int, m int"
@@ -136,10 +146,10 @@ _OCCURRENCE = "anchor bigint, run bigint, did bigint, tid bigint, a int, m int"
 def _occurrences(batches, length: int, seed: int, only_anchor: bool):
     for b in batches:
         did, tid = (b.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tid"))
-        for h, row, at, anchor, first, many, off in _runs(b.column("text").to_pylist(), length, seed):
+        for block, row, at, anchor, first, many, off in _runs(b.column("text").to_pylist(), length, seed):
             cols = [pa.array(anchor.view(np.int64))]
             if not only_anchor:
-                run = _Sequences(h, _B2).of(first, first + many + length - 1)
+                run = _exact(*block, first, many + length - 1)
                 run += (off * 64 + many).astype(np.uint64) * np.uint64(_B1)
                 cols += [pa.array(run.view(np.int64)), pa.array(did[row]), pa.array(tid[row]),
                          pa.array((first + at).astype(np.int32)), pa.array(many.astype(np.int32))]
@@ -153,9 +163,9 @@ def _windows(batches, length: int):
         for did, tid, text, runs in zip(*(b.column(c).to_pylist() for c in ("did", "tid", "text", "runs"))):
             words = text.split()
             for r in runs:
-                h = _words(b" ".join(words[r["a"]:r["a"] + r["m"] + length - 1]))[1]
+                run = b" ".join(words[r["a"]:r["a"] + r["m"] + length - 1])
                 s = np.arange(r["m"])
-                rows["window"].append(_Sequences(h, _B2).of(s, s + length).view(np.int64))
+                rows["window"].append(_exact(run, *_words(run)[:2], s, np.full(r["m"], length)).view(np.int64))
                 rows["s"].append((s + r["a"]).astype(np.int32))
                 for k, v in (("anchor", r["anchor"]), ("did", did), ("tid", tid)):
                     rows[k].append(np.full(r["m"], v, np.int64))
