@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from pasture.operators import snapshots as SN
 from pasture.operators.joins import broadcast_if_small
 
 ORDER = "_upsert_order"
@@ -124,40 +125,59 @@ def month_col(c: str, grain: str = "month") -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd" if grain == "day" else "yyyy-MM")
 
 
+RETRIES = 20
+
+
 def write_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], time_col: str,
                  strategy: str = "update", update_columns: Sequence[str] | None = None,
                  seq: str | None = None, grain: str = "month") -> int:
-    """Upsert ``batch`` into the month-partitioned Parquet table at ``path``.
-
-    Only partitions (months, or days with ``grain='day'``; the column is
-    called ``month`` either way) the batch touches are read and rewritten
-    (dynamic partition overwrite); inside them only rows whose key the batch
-    carries are shuffled (see ``upsert``).  The new state of those months is first written beside the
-    table, on the same storage — a table may not be overwritten while it is being read,
-    and the materialised copy also cuts lineage so a lost executor recomputes
-    from durable files, not from the whole plan.  Returns touched partitions.
-    """
-    import uuid
+    """Upsert ``batch`` into the month-partitioned table of snapshots at ``path``; read it with ``read_facts``.
 
+    Only partitions (months, or days with ``grain='day'``; the column is called ``month`` either way) the batch touches
+    are read and rewritten; inside them only rows whose key the batch carries are shuffled (see ``upsert``).  Their new
+    state goes to folders of its own and becomes visible by one atomic commit: a writer that dies half-way changes
+    nothing, and of two writers that touch the same partition the second starts again from the first one's state.
+    Returns touched partitions.
+    """
+    path = path.rstrip("/")
     b = batch.withColumn("month", month_col(time_col, grain))
-    touched = [r[0] for r in b.select("month").distinct().collect()]   # bounded: one row per month
+    touched = [r[0] for r in b.select(SN.part_of(F.col("month")).alias("p")).distinct().collect()]   # one row per month
     if not touched:
         return 0                                                       # nothing valid in this batch
-    existing = None
-    if table_exists(spark, path):          # any other error while reading has to rise: the partitions are replaced below
-        schema = T.StructType([f for f in spark.read.parquet(path).schema.fields if f.name != "month"])
-        schema = schema.add("month", T.StringType())
-        existing = spark.read.schema(schema).parquet(path).filter(F.col("month").isin(*touched))
-    new_state = upsert(existing, b, list(keys) + ["month"] if "month" not in keys else keys,
-                       strategy, update_columns, seq)
-    if seq and seq in new_state.columns:
-        new_state = new_state.drop(seq)
-    tmp = f"{path.rstrip('/')}_swap/{uuid.uuid4().hex}"                # beside the table, on the same shared storage
-    new_state.write.mode("overwrite").partitionBy("month").parquet(tmp)
-    (spark.read.schema(new_state.schema).parquet(tmp).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
-    drop_path(spark, tmp)
-    return len(touched)
+    _adopt(spark, path)
+    for _ in range(RETRIES):
+        base = SN.load(spark, path)
+        existing = SN.read(spark, path, base, touched) if base.schema is not None else None
+        new_state = upsert(existing, b, list(keys) + ["month"] if "month" not in keys else keys,
+                           strategy, update_columns, seq)
+        if seq and seq in new_state.columns:
+            new_state = new_state.drop(seq)
+        changed = SN.write_parts(new_state, path, "month")
+        try:
+            SN.commit(spark, path, base, changed, new_state.schema)
+            return len(touched)
+        except SN.Conflict:
+            continue
+    raise SN.Conflict(f"{path}: other writers came first {RETRIES} times")
+
+
+def read_facts(spark: SparkSession, path: str, version: int | None = None, months: Sequence[str] | None = None) -> DataFrame:
+    """One snapshot of a fact table (the newest by default), of all or some months."""
+    path = path.rstrip("/")
+    return SN.read(spark, path, SN.load(spark, path, version), None if months is None else list(months))
+
+
+def _adopt(spark: SparkSession, path: str) -> None:
+    """Commit a plain month-partitioned Parquet table as the first snapshot; its files are left where they are."""
+    if not table_exists(spark, path) or SN.versions(spark, path):
+        return
+    if not any(n.startswith("month=") for n in SN.names(spark, path)):
+        if any(not n.startswith("_") for n in SN.names(spark, path)):
+            raise ValueError(f"{path} is neither a table of snapshots nor partitioned by month")
+        return
+    schema = T.StructType([f for f in spark.read.parquet(path).schema.fields if f.name != "month"])
+    old = spark.read.schema(schema.add("month", T.StringType())).parquet(path)
+    SN.commit(spark, path, SN.Snapshot(), SN.write_parts(old, path, "month"), old.schema)
 
 
 def _fs(spark: SparkSession, path: str):

@@ -140,3 +140,18 @@ def stage_log(starts: DataFrame, ends: DataFrame) -> DataFrame:
     return j.select("run_id", "file_id", "stage", "started_at", "completed_at",
                     F.coalesce("status", F.lit("running")).alias("status"),
                     (epoch_micros(F.col("completed_at"), F.col("started_at")) / F.lit(1e6)).alias("duration_seconds"))
+
+
+def stage_states(events: DataFrame, keys: tuple[str, ...] = ("run_id", "stage")) -> DataFrame:
+    """The state of every stage from its start and end events (``kind``, ``at``, and what an end event says).
+
+    The last event decides: an end closes the attempt with its status, a start that no end follows is ``running``, also
+    where an earlier attempt has ended.  At one instant an end comes after a start.
+    """
+    what = [c for c in events.columns if c not in (*keys, "kind", "at")]
+    last = F.max(F.struct("at", F.when(F.col("kind") == "end", 1).otherwise(0).alias("closed"), *what)).alias("last")
+    g = events.groupBy(*keys).agg(last, F.max(F.when(F.col("kind") == "start", F.col("at"))).alias("started_at"))
+    closed = F.col("last.closed") == 1
+    cols = [F.when(closed, F.col(f"last.{c}")).alias(c) for c in what if c != "status"]
+    return g.select(*keys, "started_at", F.when(closed, F.col("last.at")).alias("completed_at"),
+                    F.when(closed, F.col("last.status")).otherwise("running").alias("status"), *cols)

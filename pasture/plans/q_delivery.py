@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from pasture.operators.rules import get_spec
-from pasture.operators.upsert import upsert
+from pasture.operators.upsert import read_facts, upsert, write_upsert
+from pasture.plans import control as K
 from pasture.plans import ingest as I
 from pasture.plans.oracle import with_standins as W
 from pasture.plans.registry import register
+from pasture.session import ensure_checkpoint_dir
 from pasture.sources import files as FS
+from pasture.sources import standins as S
 from pasture.sources.tables import table
+from pasture.streaming import delivery as D
 
 _FILLERS = 66
 _HEADERS = ("Date and Time,Hourly",
@@ -103,3 +110,68 @@ def q_upsert_untouched(spark, sf):
     new = (F.col("event_type") == "click") & (F.col("user_id") % 7 == 0)
     return upsert(e.filter(~new).select("hour", "value"), e.filter(new).select("hour", "value", "event_id"),
                   ["hour"], "update", seq="event_id").drop("event_id")
+
+
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/pasture-queries/{name}-{uuid.uuid4().hex}"
+
+
+@register("delivery_rejects", """
+WITH f AS (
+  SELECT user_id, count(*) AS n, user_id % 11 = 5 AS broken, user_id % 3 AS kind,
+         count(*) FILTER (WHERE user_id % 3 = 0 OR NOT (event_id % 10 < 3 OR event_id % 13 = 0)) AS valid
+  FROM events GROUP BY user_id)
+SELECT 'f' || CAST(user_id AS VARCHAR) || '.csv' AS file,
+       CASE WHEN broken THEN 'rejected: unreadable' WHEN kind = 2 THEN 'rejected: unknown dataset' ELSE 'accepted' END AS status,
+       CASE WHEN broken THEN 'BadZipFile: no workbook' END AS detail,
+       CASE WHEN NOT broken AND kind < 2 THEN n END AS extract_records,
+       CASE WHEN NOT broken AND kind < 2 THEN valid END AS valid_records,
+       CASE WHEN NOT broken AND kind < 2 THEN valid END AS loaded_records
+FROM f""")
+def q_delivery_rejects(spark, sf):
+    """A whole delivery, with some files that break while they are read (J2): every input has its own fate."""
+    x = lines(spark, sf)
+    user = F.regexp_extract("file", "[0-9]+", 0).cast("bigint")
+    broken = x.filter((F.col("line_id") == -1) & (user % 11 == 5)).withColumn("error", F.lit("BadZipFile: no workbook"))
+    x = x.withColumn("error", F.lit(None).cast("string")).unionByName(broken.withColumn("line_id", F.lit(1 << 40)))
+    wh = D.Warehouse(_folder(spark, "delivery"))
+    reg = D.run_delivery(spark, x, wh, "r1", as_of=dt.datetime(2024, 1, 1))
+    reg = reg.select(F.col("file_id").alias("file"), "extract_records", "valid_records", "loaded_records")
+    why = D.rejections(spark, wh).select("file", "detail")
+    return D.read_table(spark, wh.path("inputs")).select("file", "status").join(why, "file", "left").join(reg, "file", "left")
+
+
+@register("facts_snapshot", W("""
+SELECT 1 AS version, hour, arg_max(value, event_id) AS value FROM e WHERE NOT new GROUP BY hour
+UNION ALL
+SELECT 2, hour, CASE WHEN bool_or(new) THEN arg_max(value, event_id) FILTER (WHERE new) ELSE arg_max(value, event_id) END
+FROM e GROUP BY hour""", ctes=(
+    ("e", "SELECT date_trunc('hour', ts) AS hour, value, event_id, event_type = 'click' AS new FROM events"),)))
+def q_facts_snapshot(spark, sf):
+    """Two commits of the fact sink; each version is read as it was committed."""
+    e = table(spark, sf, "events")
+    e = e.select(F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz").alias("hour"), "value", "event_id",
+                 "event_type")
+    path = _folder(spark, "facts")
+    for part in (F.col("event_type") != "click", F.col("event_type") == "click"):
+        write_upsert(spark, e.filter(part).drop("event_type"), path, ["hour"], "hour", seq="event_id")
+    one, two = (read_facts(spark, path, v).select(F.lit(v).alias("version"), "hour", "value") for v in (1, 2))
+    return one.unionByName(two)
+
+
+@register("stage_states", W("""
+SELECT execution_id AS run_id, stage,
+       CASE WHEN completed_at IS NOT NULL AND execution_id % 5 = 0 THEN completed_at + INTERVAL 1 HOUR ELSE started_at END AS started_at,
+       CASE WHEN execution_id % 5 <> 0 THEN completed_at END AS completed_at,
+       CASE WHEN completed_at IS NULL OR execution_id % 5 = 0 THEN 'running' ELSE status END AS status
+FROM exec_log""", "exec_log"))
+def q_stage_states(spark, sf):
+    """Stages from their start and end events; every fifth run has been started once more and not ended (G1)."""
+    x = S.exec_log(spark, sf).withColumn("run_id", F.col("execution_id"))
+    none = F.lit(None).cast("string").alias("status")
+    start = x.select("run_id", "stage", F.lit("start").alias("kind"), F.col("started_at").alias("at"), none)
+    ended = x.filter("completed_at IS NOT NULL")
+    end = ended.select("run_id", "stage", F.lit("end").alias("kind"), F.col("completed_at").alias("at"), "status")
+    again = ended.filter(F.col("execution_id") % 5 == 0).select(
+        "run_id", "stage", F.lit("start").alias("kind"), (F.col("completed_at") + F.expr("INTERVAL 1 HOUR")).alias("at"), none)
+    return K.stage_states(start.unionByName(end).unionByName(again))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from pasture.operators import profile as P
 from pasture.operators import reshape as R
-from pasture.operators.joins import DEFAULT_BROADCAST_BYTES, join_dimension
+from pasture.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small, join_dimension
 from pasture.operators.rules import DatasetSpec
 
 _BOM = "\ufeff"
@@ -207,35 +207,67 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
-def xlsx_rows(data: bytes) -> list[list[str | None]]:
-    """First worksheet of an .xlsx workbook as text cells (dates as ISO text, B9)."""
-    z = zipfile.ZipFile(io.BytesIO(data))
-    names = set(z.namelist())
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in names:
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    date_styles: set[int] = set()
-    if "xl/styles.xml" in names:
-        st = ET.fromstring(z.read("xl/styles.xml"))
-        custom = {int(n.get("numFmtId")): n.get("formatCode", "") for n in st.iter(f"{{{_NS['m']}}}numFmt")}
-        xfs = st.find("m:cellXfs", _NS)
-        for i, xf in enumerate(xfs.findall("m:xf", _NS) if xfs is not None else []):
-            fid = int(xf.get("numFmtId", "0"))
-            code = custom.get(fid, "").lower()
-            if fid in _DATE_FMT_IDS or (code and re.search(r"[dy]", re.sub(r'"[^"]*"', "", code))):
-                date_styles.add(i)
-    wb = ET.fromstring(z.read("xl/workbook.xml"))
-    first = wb.find("m:sheets/m:sheet", _NS)
-    target = "xl/worksheets/sheet1.xml"
+def _sheet(z: zipfile.ZipFile, names: set[str]) -> str:
+    """Archive name of the first worksheet."""
+    first = ET.fromstring(z.read("xl/workbook.xml")).find("m:sheets/m:sheet", _NS)
     if first is not None and "xl/_rels/workbook.xml.rels" in names:
         rid = first.get(f"{{{_NS['r']}}}id")
         for rel in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")):
             if rel.get("Id") == rid:
                 t = rel.get("Target").lstrip("/")
-                target = t if t.startswith("xl/") else "xl/" + t
-    rows: list[list[str | None]] = []
-    for row in ET.fromstring(z.read(target)).iter(f"{{{_NS['m']}}}row"):
+                return t if t.startswith("xl/") else "xl/" + t
+    return "xl/worksheets/sheet1.xml"
+
+
+def _date_styles(z: zipfile.ZipFile, names: set[str]) -> set[int]:
+    """Cell styles that show a number as a date."""
+    if "xl/styles.xml" not in names:
+        return set()
+    st = ET.fromstring(z.read("xl/styles.xml"))
+    custom = {int(n.get("numFmtId")): n.get("formatCode", "") for n in st.iter(f"{{{_NS['m']}}}numFmt")}
+    xfs = st.find("m:cellXfs", _NS)
+    found = set()
+    for i, xf in enumerate(xfs.findall("m:xf", _NS) if xfs is not None else []):
+        fid = int(xf.get("numFmtId", "0"))
+        code = custom.get(fid, "").lower()
+        if fid in _DATE_FMT_IDS or (code and re.search(r"[dy]", re.sub(r'"[^"]*"', "", code))):
+            found.add(i)
+    return found
+
+
+def _elements(z: zipfile.ZipFile, name: str, tag: str) -> Iterator[ET.Element]:
+    """Elements of one kind as a part is parsed; each is emptied, and let go by its parent, once it has been used."""
+    full = f"{{{_NS['m']}}}{tag}"
+    with z.open(name) as fh:
+        open_ = []
+        for event, e in ET.iterparse(fh, events=("start", "end")):
+            if event == "start":
+                open_.append(e)
+                continue
+            open_.pop()
+            if e.tag == full:
+                yield e
+                e.clear()
+                if open_:
+                    open_[-1].remove(e)
+
+
+def xlsx_rows(data: bytes) -> list[list[str | None]]:
+    """First worksheet of an .xlsx workbook as text cells, whole."""
+    return list(iter_xlsx(data))
+
+
+def iter_xlsx(data: bytes) -> Iterator[list[str | None]]:
+    """First worksheet of an .xlsx workbook as text cells (dates as ISO text, B9), row by row.
+
+    Held in memory: the packed workbook, its shared strings and one row, not the worksheet.
+    """
+    z = zipfile.ZipFile(io.BytesIO(data))
+    names = set(z.namelist())
+    shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in _elements(z, "xl/sharedStrings.xml", "si")] \
+        if "xl/sharedStrings.xml" in names else []
+    dates = _date_styles(z, names)
+    for row in _elements(z, _sheet(z, names), "row"):
         cells: dict[int, str | None] = {}
         for c in row.findall("m:c", _NS):
             t, s = c.get("t"), int(c.get("s", "0"))
@@ -247,37 +279,88 @@ def xlsx_rows(data: bytes) -> list[list[str | None]]:
                 text = "".join(x.text or "" for x in c.iter(f"{{{_NS['m']}}}t"))
             elif t == "b" and text is not None:
                 text = "True" if text == "1" else "False"
-            elif text is not None and s in date_styles and t in (None, "n"):
+            elif text is not None and s in dates and t in (None, "n"):
                 text = (_EPOCH + timedelta(days=float(text))).strftime("%Y-%m-%dT%H:%M:%S")
             cells[_col_index(c.get("r"))] = text
         if cells:
-            rows.append([cells.get(i) for i in range(max(cells) + 1)])
-    return rows
+            yield [cells.get(i) for i in range(max(cells) + 1)]
+
+
+MAX_WORKBOOK = 1 << 30              # bytes of a packed workbook; larger ones are rejected unread
+_BINARY = "path string, modificationTime timestamp, length bigint, content binary"
+_WORKBOOK_ROWS = "file string, pos bigint, cells array<string>, error string"
+
+
+def _parse_workbooks(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of every workbook, or after them one row with the error that ended it."""
+    for pdf in it:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            held, at = [], 0
+
+            def part(error=None):
+                return pd.DataFrame({"file": path, "pos": range(at, at + len(held)), "cells": held, "error": error}, dtype=object)
+            try:
+                if content is None:
+                    raise ValueError(f"larger than {MAX_WORKBOOK} bytes")
+                for row in iter_xlsx(bytes(content)):
+                    held.append(row)
+                    if len(held) == 10_000:
+                        yield part()
+                        held, at = [], at + len(held)
+            except Exception as e:      # whatever is wrong with one workbook is that workbook's error
+                held = [None]
+                yield part(f"{type(e).__name__}: {e}"[:500])
+                continue
+            if held:
+                yield part()
+
+
+def workbook_lines(binary: DataFrame) -> DataFrame:
+    """A2: workbooks (path, length, content) → lines like ``read_lines``, with ``error`` for those that cannot be read.
+
+    One workbook per row, parsed in ``mapInPandas`` with the standard library.
+    """
+    b = binary.select("path", F.when(F.col("length") <= MAX_WORKBOOK, F.col("content")).alias("content"))
+    x = b.mapInPandas(_parse_workbooks, _WORKBOOK_ROWS)
+    cells = F.transform("cells", lambda c: F.when(~c.isin(*NULL_TOKENS), c))
+    return x.select("file", F.lit(0).cast("long").alias("block"), F.col("pos").alias("line_id"),
+                    F.array_join("cells", ",", "").alias("line"), cells.alias("cells"), "error")
 
 
 def read_excel(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """A2: first sheet of every workbook → lines frame (same shape as ``read_lines``).
+    """A2: first sheet of every workbook → lines frame (same shape as ``read_lines``, and ``error``)."""
+    b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return workbook_lines(b)
+
+
+def offered_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """A4: (file) of every matching file, those without a byte too, which no scan returns.
 
-    One workbook per binaryFile row, parsed in ``mapInPandas`` with the
-    standard library; workbooks are bounded (≤ 1,048,576 rows each).
+    The names come from the listing that the driver makes for every scan anyway; nothing is read.
     """
-    b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    b = b.select(F.col("path").alias("path"), "content")
-    schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("pos", T.LongType()),
-                           T.StructField("cells", T.ArrayType(T.StringType()))])
-
-    def parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            for path_, content in zip(pdf["path"], pdf["content"]):
-                rows = xlsx_rows(bytes(content))
-                for at in range(0, len(rows), 10_000):
-                    part = rows[at:at + 10_000]
-                    yield pd.DataFrame({"file": path_, "pos": range(at, at + len(part)), "cells": part})
-
-    x = b.select("path", "content").mapInPandas(parse, schema)
-    cells = F.transform("cells", lambda c: F.when(~c.isin(*NULL_TOKENS), c))
-    return x.select("file", F.lit(0).cast("long").alias("block"), F.col("pos").alias("line_id"),
-                    F.array_join("cells", ",", "").alias("line"), cells.alias("cells"))
+    r = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    return spark.createDataFrame([(re.sub(r"^([a-zA-Z][\w+.-]*):///", r"\1:/", f),) for f in r.inputFiles()], "file string")
+
+
+def _same_file(file: Column) -> Column:
+    """A file's URI with one slash after its scheme: listings and scans write it differently."""
+    return F.regexp_replace(file, r"^([a-zA-Z][\w+.-]*):/+", "$1:/")
+
+
+def split_broken(lines: DataFrame, offered: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(lines of readable files, (file, detail) of the others); a file with an ``error`` loses all its lines.
+
+    ``offered`` files without any line are empty.  ``lines`` has to be a stored table.
+    """
+    bad = lines.filter("error IS NOT NULL").groupBy("file").agg(F.min("error").alias("detail"))
+    if offered is not None:
+        found = lines.select(_same_file(F.col("file")).alias("_at")).distinct()
+        bad = bad.unionByName(offered.withColumn("_at", _same_file(F.col("file"))).join(found, "_at", "left_anti")
+                              .select("file", F.lit("empty file").alias("detail")))
+    good = lines.drop("error")
+    if bad.isEmpty():
+        return good, bad
+    return good.join(broadcast_if_small(bad.select("file")), "file", "left_anti").select(*good.columns), bad
 
 
 def source_type_of(file: Column) -> Column:

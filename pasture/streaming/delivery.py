@@ -2,7 +2,7 @@
 
 ``run_delivery`` is the whole reference pipeline for a set of files at once:
 classify → reject unknown/duplicate inputs → map/coerce/validate → stage →
-upsert valid rows into month-partitioned facts → quality checks, run metrics,
+upsert valid rows into month-partitioned facts (one atomic commit per table) → quality checks, run metrics,
 input registry and stage log.  ``start_file_stream`` runs it per micro-batch
 with ``foreachBatch`` over a file source; the checkpoint plus idempotent
 writes (staging, ledger and quality keyed by run id, facts by key upsert,
@@ -13,6 +13,7 @@ replayed batch change nothing.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from pasture.operators import profile as P
+from pasture.operators import snapshots as SN
 from pasture.operators import upsert as U
 from pasture.operators.joins import join_dimension
 from pasture.operators.rules import get_spec, list_datasets
@@ -96,42 +98,100 @@ def _fact_rows(staged: DataFrame, spec, devices: DataFrame | None, method: str =
     return out
 
 
+_EVENT = ("dataset string, pipeline_name string, stage string, kind string, at timestamp_ntz, status string, "
+          "records_in long, records_out long, error_message string, run string")
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
 class StageLog:
-    """One start and one end event per (run, dataset, stage), written once per run."""
+    """An event file at every stage's start and end, so a stage shows while it runs and after a kill.
+
+    ``close`` folds a run's events into its partition of ``pipeline_execution`` and removes them.
+    """
+
+    def __init__(self, spark: SparkSession, wh: Warehouse, run_id: str) -> None:
+        self.spark, self.wh, self.run_id = spark, wh, run_id
+        self.folder = wh.path("pipeline_events", f"run={run_id}")
 
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
+    def event(self, dataset: str, stage: str, kind: str, **more) -> None:
+        row = {"dataset": dataset, "pipeline_name": f"{dataset}_pipeline", "stage": stage, "kind": kind,
+               "at": _now().isoformat(timespec="microseconds"), **more}
+        SN.write_text(self.spark, f"{self.folder}/{dataset}-{stage}-{kind}.json", json.dumps(row))
 
-    def stage(self, run_id: str, dataset: str, stage: str):
+    def stage(self, dataset: str, stage: str):
         log = self
 
         class _Ctx:
             def __enter__(self):
-                self.t0 = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
                 self.records_in = self.records_out = None
+                log.event(dataset, stage, "start")
                 return self
 
             def __exit__(self, et, ev, tb):
-                t1 = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-                status = "success" if et is None else "failed"
-                log.rows.append((run_id, dataset, f"{dataset}_pipeline", stage, self.t0, t1, status,
-                                 self.records_in, self.records_out, None if ev is None else repr(ev)[:500]))
+                log.event(dataset, stage, "end", status="success" if et is None else "failed", records_in=self.records_in,
+                          records_out=self.records_out, error_message=None if ev is None else repr(ev)[:500])
                 return False          # re-raise (G7)
         return _Ctx()
 
-    def write(self, spark: SparkSession, path: str, run_id: str) -> None:
-        if self.rows:
-            df = spark.createDataFrame(self.rows, "run_id string, dataset string, pipeline_name string, stage string, "
-                                       "started_at timestamp_ntz, completed_at timestamp_ntz, status string, "
-                                       "records_in long, records_out long, error_message string")
-            _append(df.drop("run_id"), path, run_id)
+    def close(self) -> None:
+        if SN.names(self.spark, self.folder):
+            # bounded: two events per stage of one run
+            rows = open_stages(self.spark, self.wh).filter(F.col("run") == self.run_id).drop("run")
+            _append(rows, self.wh.path("pipeline_execution"), self.run_id)
+            U.drop_path(self.spark, self.folder)
+
+
+_STAGE_COLUMNS = ("dataset", "pipeline_name", "stage", "started_at", "completed_at", "status", "records_in", "records_out",
+                  "error_message", "run")
+
+
+def open_stages(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """G1: stages of runs that have not ended, by their events: ``running`` where nothing follows a start."""
+    from pasture.plans import control as K
+
+    path = wh.path("pipeline_events")
+    ev = (spark.read.schema(_EVENT).option("recursiveFileLookup", "false").json(path) if _exists(spark, path)
+          else spark.createDataFrame([], _EVENT))
+    return K.stage_states(ev, ("run", "dataset", "pipeline_name", "stage")).select(*_STAGE_COLUMNS)
+
+
+def executions(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """Every stage of every run, the running and the killed ones among them; a run's open events come before
+    what an earlier attempt of the same run has left in the table."""
+    live = open_stages(spark, wh)
+    path = wh.path("pipeline_execution")
+    if not _exists(spark, path):
+        return live
+    done = read_table(spark, path).select(*_STAGE_COLUMNS)
+    return done.join(live.select("run", "dataset", "stage"), ["run", "dataset", "stage"], "left_anti").select(
+        *_STAGE_COLUMNS).unionByName(live)
+
+
+def rejections(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """Inputs rejected and not accepted since: (file, attempts, status, detail, rejected_at) of the last attempt.
+
+    A rejected input is nowhere registered, so offering its file again (mended or not) takes it up anew.
+    """
+    if not _exists(spark, wh.path("rejected_inputs")):
+        return spark.createDataFrame([], "file string, attempts long, status string, detail string, rejected_at timestamp_ntz")
+    r = read_table(spark, wh.path("rejected_inputs"))
+    r = r.groupBy("file").agg(F.count(F.lit(1)).alias("attempts"), F.max(F.struct("seen_at", "run", "status", "detail")).alias("last"))
+    ok = read_table(spark, wh.path("inputs")).filter("status IN ('accepted', 'duplicate')")
+    ok = ok.groupBy("file").agg(F.max(F.struct("seen_at", "run")).alias("ok"))
+    open_ = r.join(ok, "file", "left").filter("ok IS NULL OR ok < struct(last.seen_at, last.run)")
+    return open_.select("file", "attempts", "last.status", "last.detail", F.col("last.seen_at").alias("rejected_at"))
 
 
 def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: str,
                  as_of: _dt.datetime | None = None, devices: DataFrame | None = None,
-                 defaults: dict[str, str] | None = None, ingestion_method: str = "batch") -> DataFrame:
+                 defaults: dict[str, str] | None = None, ingestion_method: str = "batch",
+                 offered: DataFrame | None = None) -> DataFrame:
     """Process every file in ``lines``; returns the per-file registry rows written.
 
+    Files whose lines carry an ``error``, and files of ``offered`` (file) that have no line, are rejected.
     ``ingestion_method`` is recorded on every fact row: 'batch' or 'streaming' (decision Q3).
     """
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -139,8 +199,11 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     t0 = F.lit(as_of).cast("timestamp_ntz")
     # one pass over the text: header lines, data lines and content ids all read this copy, so their line ids agree
     kept = wh.path("_tmp", f"lines-{run_id}")
-    lines.select("file", "block", "line_id", "line", "cells").write.mode("overwrite").parquet(kept)
-    lines = spark.read.schema(lines.select("file", "block", "line_id", "line", "cells").schema).parquet(kept)
+    if "error" not in lines.columns:
+        lines = lines.withColumn("error", F.lit(None).cast("string"))
+    lines = lines.select("file", "block", "line_id", "line", "cells", "error")
+    lines.write.mode("overwrite").parquet(kept)
+    lines, broken = FS.split_broken(spark.read.schema(lines.schema).parquet(kept), offered)
     hashes = FS.content_ids(lines)
     lines = FS.join_quoted(lines)
     headers = FS.classify(FS.header_table(lines), defaults)
@@ -165,19 +228,23 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
                    .when(F.coalesce(strange, F.lit(False)), "rejected: unknown device")
                    .when(F.col("_dup") | (F.col("file") != F.col("_first")), "duplicate").otherwise("accepted"))
     files = files.select("file", "dataset", "device_hint", "sha256", "status", "header_id", "columns", t0.alias("seen_at"))
-    _append(files, wh.path("inputs"), run_id)
+    # What cannot be read is an input of its own fate, not of its delivery's
+    lost = broken.select("file", F.lit("rejected: unreadable").alias("status"), t0.alias("seen_at"))
+    _append(files.unionByName(lost, allowMissingColumns=True), wh.path("inputs"), run_id)
+    refused = read_table(spark, wh.path("inputs"), files).filter((F.col("run") == run_id) & F.col("status").startswith("rejected"))
+    _append(refused.select("file", "status", "seen_at").join(broken, "file", "left"), wh.path("rejected_inputs"), run_id)
     accepted = read_table(spark, wh.path("inputs"), files).filter((F.col("run") == run_id) & (F.col("status") == "accepted"))
     accepted = accepted.select("file", "header_id", "columns", "dataset", "device_hint")
     present = [r[0] for r in accepted.select("dataset").distinct().collect() if r[0] in list_datasets()]
     fsize = FS.files_bytes(accepted)          # measured, decides the broadcast of the per-file table
     registry = []
-    log = StageLog()
+    log = StageLog(spark, wh, run_id)
     try:
         for ds in sorted(present):                   # bounded: one pass per known dataset
             registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log, fsize,
                                           ingestion_method))
     finally:
-        log.write(spark, wh.path("pipeline_execution"), run_id)
+        log.close()
     if not registry:
         U.drop_path(spark, kept)
         return spark.createDataFrame([], "file_id string")
@@ -195,11 +262,11 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
 def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog,
                   fsize: int | None = None, method: str = "batch") -> DataFrame:
     spec = get_spec(ds)
-    with log.stage(run_id, ds, "extract") as st:
+    with log.stage(ds, "extract") as st:
         rows = FS.dataset_rows(lines, accepted, spec, files_size=fsize)
         if ds in _ADAPTERS:
             rows = _ADAPTERS[ds](rows)
-    with log.stage(run_id, ds, "validate") as st:
+    with log.stage(ds, "validate") as st:
         staged = I.stage_batch(rows, spec, created_at=t0, keep=("file_id", "row_number", "device_hint"))
         # Counts observed while the staging table is written (no extra pass over the data)
         obs = Observation("staged")
@@ -210,7 +277,7 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         counts = (obs.get["n"], obs.get["valid"])
         st.records_in, st.records_out = counts[0], counts[1]
     time_col = next(r.name for r in spec.fields if r.type in ("datetime", "date"))
-    with log.stage(run_id, ds, "load") as st:
+    with log.stage(ds, "load") as st:
         # later files win over earlier ones, then line order
         facts = _fact_rows(staged.withColumn("_order", F.struct("file_id", "row_number")), spec, devices, method)
         if "energy" in ds and devices is not None:
@@ -223,7 +290,7 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         _append(ledger, wh.path("loaded", f"dataset={ds}"), run_id)
         loaded = read_table(spark, wh.path("loaded", f"dataset={ds}"), ledger).filter(F.col("run") == run_id)
         st.records_in, st.records_out = counts[1], loaded.count()
-    with log.stage(run_id, ds, "quality") as st:
+    with log.stage(ds, "quality") as st:
         q = I.error_breakdown(staged, sample_rows=None).unionByName(
             I.overall_quality(staged).drop("summary").withColumn("sample_failures", F.lit(None).cast("string")))
         _append(q.withColumn("dataset", F.lit(ds)).withColumn("checked_at", t0), wh.path("data_quality_checks"),
@@ -236,30 +303,42 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
 
 
 def ingest_directory(spark: SparkSession, path: str, wh: Warehouse, run_id: str, **kw) -> DataFrame:
-    """Batch form: every CSV and .xlsx file under ``path`` (A1, A2, A4, A5)."""
-    lines = FS.read_lines(spark, path).unionByName(FS.read_excel(spark, path))
-    return run_delivery(spark, lines, wh, run_id, **kw)
+    """Batch form: every CSV and .xlsx file under ``path`` (A1, A2, A4, A5); files that cannot be read are rejected."""
+    lines = FS.read_lines(spark, path).unionByName(FS.read_excel(spark, path), allowMissingColumns=True)
+    return run_delivery(spark, lines, wh, run_id, **{"offered": FS.offered_files(spark, path)} | kw)
 
 
 def start_file_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkpoint: str,
                       glob: str = "*.csv", max_files_per_trigger: int | None = 1000,
                       available_now: bool = True, processing_time: str | None = None,
-                      archive_dir: str | None = None, **kw):
+                      archive_dir: str | None = None, workbooks: str | None = "*.xlsx", **kw):
     """Poll ``input_dir``; each micro-batch of new files runs ``run_delivery``.
 
-    ``cleanSource=archive`` moves processed files (the reference's ack); the
-    checkpoint records which files were consumed, so a restart adds nothing.
+    Text files and workbooks are two sources of one query with one checkpoint, which records the files consumed, so a
+    restart adds nothing.  A workbook that cannot be read is rejected (``rejections``) and the batch goes on.
+    ``cleanSource=archive`` moves processed files (the reference's ack); ``workbooks=None`` reads text only.
     """
-    r = spark.readStream.format("text").option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    src = r.load(input_dir).select("value", F.col("_metadata.file_path").alias("file"),
-                                   F.col("_metadata.file_block_start").alias("block"))
+    def source(kind: str, pattern: str):
+        r = spark.readStream.format(kind).option("pathGlobFilter", pattern)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        if archive_dir:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+        return r
+
+    none = {"value": "string", "line_id": "bigint", "line": "string", "cells": "array<string>", "error": "string"}
+    src = source("text", glob).load(input_dir).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        *(F.lit(None).cast(t).alias(c) for c, t in none.items() if c != "value"), F.lit(True).alias("is_text"))
+    if workbooks:
+        books = FS.workbook_lines(source("binaryFile", workbooks).schema(FS._BINARY).load(input_dir))
+        src = src.unionByName(books.withColumns({"value": F.lit(None).cast("string"), "is_text": F.lit(False)}))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        run_delivery(spark, FS.parse_lines(df), wh, f"batch-{batch_id:08d}", ingestion_method="streaming", **kw)
+        text = FS.parse_lines(df.filter("is_text").select("value", "file", "block"))
+        sheets = df.filter("NOT is_text").select("file", "block", "line_id", "line", "cells", "error")
+        run_delivery(spark, text.unionByName(sheets, allowMissingColumns=True), wh, f"batch-{batch_id:08d}",
+                     ingestion_method="streaming", **kw)
 
     w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")

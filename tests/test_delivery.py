@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from pasture.sources import files as FS
+from pasture.operators.upsert import read_facts
 from pasture.streaming.delivery import Warehouse, ingest_directory, start_file_stream
 
 DEV = "abcdef0123456789abcdef01"
@@ -49,10 +50,10 @@ def test_directory_ingest_and_replay(spark):
     wh = Warehouse(os.path.join(root, "wh"))
     reg = {r["file_id"].rsplit("/", 1)[-1]: r for r in ingest_directory(spark, d, wh, "r1", as_of=dt.datetime(2024, 2, 1)).collect()}
     assert reg[f"{DEV}-meter.csv"]["invalid_records"] == 1 and reg[f"{DEV}-meter.csv"]["valid_records"] == 3
-    facts = spark.read.parquet(wh.path("facts", "fact_energy_hourly"))
+    facts = read_facts(spark, wh.path("facts", "fact_energy_hourly"))
     got = {(r["ts"], r["energy_kwh"]) for r in facts.collect()}
     assert got == {(dt.datetime(2024, 1, 5, 1), 12.5), (dt.datetime(2024, 1, 5, 2), 7.0)}   # last row wins
-    env = spark.read.parquet(wh.path("facts", "environmental_metrics")).collect()
+    env = read_facts(spark, wh.path("facts", "environmental_metrics")).collect()
     assert len(env) == 1                                                                   # 99 °C rejected
     assert env[0]["atm_pressure"] is None and float(env[0]["pm10"]) == 12.5               # NaN stored as NULL
     inputs = {os.path.basename(r["file"]): r["status"] for r in spark.read.parquet(wh.path("inputs")).collect()}
@@ -61,7 +62,7 @@ def test_directory_ingest_and_replay(spark):
     ingest_directory(spark, d, wh, "r2", as_of=dt.datetime(2024, 2, 2))
     st = {os.path.basename(r["file"]): r["status"] for r in spark.read.parquet(wh.path("inputs")).filter("run = 'r2'").collect()}
     assert st[f"{DEV}-meter.csv"] == "duplicate"
-    assert spark.read.parquet(wh.path("facts", "fact_energy_hourly")).count() == 2
+    assert read_facts(spark, wh.path("facts", "fact_energy_hourly")).count() == 2
     q = spark.read.parquet(wh.path("data_quality_checks")).filter("run = 'r1'")
     assert q.filter(F.col("check_type") == "overall").count() == 2
 
@@ -75,10 +76,10 @@ def test_streaming_available_now(spark):
     shutil.copy(os.path.join(stage, f"{DEV}-meter.csv"), src)
     ck = os.path.join(root, "ck")
     start_file_stream(spark, src, wh, ck, as_of=dt.datetime(2024, 2, 1)).awaitTermination(300)
-    assert spark.read.parquet(wh.path("facts", "fact_energy_hourly")).count() == 2
+    assert read_facts(spark, wh.path("facts", "fact_energy_hourly")).count() == 2
     shutil.copy(os.path.join(stage, "station.csv"), src)
     start_file_stream(spark, src, wh, ck, as_of=dt.datetime(2024, 2, 1)).awaitTermination(300)
-    assert spark.read.parquet(wh.path("facts", "environmental_metrics")).count() == 1
+    assert read_facts(spark, wh.path("facts", "environmental_metrics")).count() == 1
     runs = {r["run"] for r in spark.read.parquet(wh.path("inputs")).select("run").collect()}
     assert len(runs) == 2                                           # restart consumed only the new file
 
@@ -159,7 +160,7 @@ def test_api_responses_to_facts_and_cursor(spark):
         fh.write(body)
     wh = Warehouse(os.path.join(root, "wh"))
     cur = ingest_responses(spark, d, wh, "r1", as_of=dt.datetime(2024, 1, 6)).collect()
-    facts = {r["timestamp"]: r for r in spark.read.parquet(wh.path("facts", "environmental_metrics")).collect()}
+    facts = {r["timestamp"]: r for r in read_facts(spark, wh.path("facts", "environmental_metrics")).collect()}
     assert set(facts) == {dt.datetime(2024, 1, 5, 0), dt.datetime(2024, 1, 5, 1)}       # 99 °C invalid
     assert float(facts[dt.datetime(2024, 1, 5, 0)]["temperature"]) == 21.7             # last value wins
     assert float(facts[dt.datetime(2024, 1, 5, 0)]["wind_direction_sectors"]) == 3.0
@@ -195,12 +196,12 @@ def test_stream_equals_batch(spark):
     a, b = Warehouse(os.path.join(root, "wh_batch")), Warehouse(os.path.join(root, "wh_stream"))
     ingest_directory(spark, src, a, "r1", as_of=dt.datetime(2024, 2, 1))
     start_file_stream(spark, src, b, os.path.join(root, "ck"), as_of=dt.datetime(2024, 2, 1)).awaitTermination(300)
-    methods = {r[0] for r in spark.read.parquet(b.path("facts", "fact_energy_hourly")).select("ingestion_method").collect()}
+    methods = {r[0] for r in read_facts(spark, b.path("facts", "fact_energy_hourly")).select("ingestion_method").collect()}
     assert methods == {"streaming"}
     for t in ("fact_energy_hourly", "environmental_metrics"):
-        cols = [c for c in spark.read.parquet(a.path("facts", t)).columns if c not in ("ingested_at", "ingestion_method")]
-        fa = sorted(tuple(r) for r in spark.read.parquet(a.path("facts", t)).select(*cols).collect())
-        fb = sorted(tuple(r) for r in spark.read.parquet(b.path("facts", t)).select(*cols).collect())
+        cols = [c for c in read_facts(spark, a.path("facts", t)).columns if c not in ("ingested_at", "ingestion_method")]
+        fa = sorted(tuple(r) for r in read_facts(spark, a.path("facts", t)).select(*cols).collect())
+        fb = sorted(tuple(r) for r in read_facts(spark, b.path("facts", t)).select(*cols).collect())
         assert fa == fb, t
 
 

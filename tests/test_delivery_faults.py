@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pasture.operators.rules import get_spec, validate
 from pasture.sources import files as FS
 from pasture.streaming import delivery as D
+from pasture.operators.upsert import read_facts
 from pasture.streaming.delivery import Warehouse, ingest_directory, ingest_responses, purge_staging
 
 DEV = "abcdef0123456789abcdef01"
@@ -36,7 +37,7 @@ def status(spark, wh, run=None):
 
 
 def env(spark, wh):
-    return spark.read.parquet(wh.path("facts", "environmental_metrics")).collect()
+    return read_facts(spark, wh.path("facts", "environmental_metrics")).collect()
 
 
 def test_cells_of_any_width_and_empty_header_cells(spark, place):
@@ -61,7 +62,7 @@ def test_null_tokens_and_quoted_line_breaks(spark, place):
     put(f"{DEV}-m.csv", 'Date and Time,Hourly\n1/5/2024 1:00:00 AM,NA\n"1/5/2024\n 2:00:00 AM",1\n1/5/2024 3:00:00 AM,"1,5"\n"1/5/2024\n\n 4:00:00 AM","2\n3"\n')
     reg = ingest_directory(spark, d, wh, "r1", as_of=AS_OF).first()
     assert reg["extract_records"] == 4
-    facts = {r["ts"].hour: r["energy_kwh"] for r in spark.read.parquet(wh.path("facts", "fact_energy_hourly")).collect()}
+    facts = {r["ts"].hour: r["energy_kwh"] for r in read_facts(spark, wh.path("facts", "fact_energy_hourly")).collect()}
     assert facts[1] == 0.0 and facts[3] == 1.5 and 4 not in facts
 
 

@@ -58,15 +58,15 @@ def test_sink_lets_read_errors_rise_and_skips_empty_batches(spark, tmpdir_fresh)
     b = spark.createDataFrame([(1, dt.datetime(2024, 1, 5), 1.0), (2, dt.datetime(2024, 1, 6), 2.0)], "k int, ts timestamp_ntz, v double")
     assert U.write_upsert(spark, b.limit(0), path, K, "ts") == 0 and not os.path.exists(path)
     U.write_upsert(spark, b, path, K, "ts")
-    assert U.write_upsert(spark, b.limit(0), path, K, "ts") == 0 and spark.read.parquet(path).count() == 2
+    assert U.write_upsert(spark, b.limit(0), path, K, "ts") == 0 and U.read_facts(spark, path).count() == 2
     U.write_upsert(spark, b.limit(1).withColumn("v", F.lit(9.0)), path, K, "ts")
-    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [2.0, 9.0]
-    for f in glob.glob(path + "/month=2024-01/*.parquet"):
+    assert sorted(r["v"] for r in U.read_facts(spark, path).collect()) == [2.0, 9.0]
+    for f in glob.glob(path + "/_data/*/part=2024-01/*.parquet"):
         with open(f, "r+b") as fh:
             fh.truncate(4)
     with pytest.raises(Exception):
         U.write_upsert(spark, b.limit(1), path, K, "ts")
-    assert glob.glob(path + "/month=2024-01/*.parquet")          # nothing was replaced
+    assert glob.glob(path + "/_data/*/part=2024-01/*.parquet")          # nothing was replaced
 
 
 def test_idempotent_and_partition_independent(spark):
@@ -94,5 +94,5 @@ def test_write_upsert_touches_only_batch_months(spark, tmpdir_fresh):
     second = spark.createDataFrame([(1, dt.datetime(2024, 2, 5), 5.0, 1), (2, dt.datetime(2024, 2, 6), 6.0, 2)],
                                    "d int, ts timestamp_ntz, v double, seq int")
     assert U.write_upsert(spark, second, path, ["d", "ts"], "ts", "update", ["v"], seq="seq") == 1
-    got = {(r["d"], r["ts"].month): r["v"] for r in spark.read.parquet(path).collect()}
+    got = {(r["d"], r["ts"].month): r["v"] for r in U.read_facts(spark, path).collect()}
     assert got == {(1, 1): 1.0, (1, 2): 5.0, (2, 2): 6.0}
