@@ -9,8 +9,12 @@ have in common are final.  The encoding of a prefix is that of a shorter one plu
 are valid exactly if encoding their joint text gives the two of them; so the transducer keeps one back-pointer per
 position since the last final boundary, and nothing else.
 
+A word's end makes all of its tokens stable.  A word that ends within the lookahead never has a stable token before, so
+the transducer holds its symbols, at most ``lookahead`` of them, and merges them when it ends.  What a word gave is
+remembered by the worker, within bounds; texts are read in blocks.
+
 Decoding is the reverse state machine: token to bytes, bytes to text, one token at a time, holding at most the three
-bytes of an unfinished character.
+bytes of an unfinished character.  The decoded text is made of the ids that the transducer emitted, never of its input.
 """
 
 from __future__ import annotations
@@ -30,7 +34,9 @@ from pyspark.sql import DataFrame
 
 from pasture.llm.scratch import pick
 
-SHORT = 48              # symbols; longer words go through the streaming states
+SHORT = 48              # bytes; what longer pieces gave is not remembered
+BLOCK = 1 << 16         # bytes of a text read at once; longer stretches without white space are streamed word by word
+_SPACE = re.compile(rb"[\t-\r ]")
 CACHE = 300_000         # pieces between white space that a worker remembers (twice, see _Memo); words: two thirds
 _CODERS: dict[str, Coder] = {}
 
@@ -131,9 +137,14 @@ class Coder:
         ``held`` are the symbols since the last final boundary; ``last[i]`` is the token that ends the encoding of
         its first i symbols.
         """
+        symbols = iter(symbols)
+        first = list(itertools.islice(symbols, self.lookahead))
+        if len(first) < self.lookahead:         # the end came first: nothing was stable before it
+            yield from self.merged(first)
+            return
         held: list[str] = []
         last: list[str] = [""]
-        for x in symbols:
+        for x in itertools.chain(first, symbols):
             held.append(x)
             tail, n = "", len(held)
             for k in range(n - 1, max(-1, n - 1 - self.lookahead), -1):
@@ -171,22 +182,23 @@ class Coder:
         return self._path(last, -heap[0])
 
     def _word(self, word: str) -> tuple[int, bytes, bytes]:
-        """One pre-token: number of tokens, their ids as text, their strings."""
-        s = self.symbols(word)
-        tokens = self.merged(s) if len(s) <= SHORT else list(self.stream(s))
-        return len(tokens), b" ".join([b"%d" % self.ids[t] for t in tokens]), " ".join(tokens).encode()
+        """One pre-token through the transducer, and its ids through the decoder: number of tokens, ids as text, decoded text."""
+        ids = [self.ids[t] for t in self.stream(self.symbols(word))]
+        return len(ids), b" ".join([b"%d" % i for i in ids]), "".join(self.decode(ids)).encode()
 
     def pre_tokens(self, text: str) -> Iterator[tuple[int, bytes, bytes]]:
         """The pre-tokens and special tokens of a text, in order."""
         parts = self.cut.split(text) if self.cut is not None and any([s in text for s in self.special]) else (text,)
         for p in parts:
             if p in self.special:
-                yield 1, b"%d" % self.special[p], p.encode()
-            elif p.isascii():
-                yield from map(self.words.__getitem__, self.split_ascii.findall(p.lower()))
-            else:
-                p = unicodedata.normalize("NFC", p).replace("Σ", "σ").lower()     # no final-sigma rule
-                yield from map(self.words.__getitem__, self.split.findall(p))
+                i = self.special[p]
+                yield 1, b"%d" % i, "".join(self.decode([i])).encode()
+                continue
+            ascii_only = p.isascii()
+            p = p.lower() if ascii_only else unicodedata.normalize("NFC", p).replace("Σ", "σ").lower()   # no final-sigma rule
+            split = self.split_ascii if ascii_only else self.split
+            found = split.findall(p) if len(p) <= BLOCK else (m[0] for m in split.finditer(p))
+            yield from map(self.words.__getitem__, found)
 
     def segment(self, text: str) -> Iterator[int]:
         """Ids of a text without white space (or of any text held in memory)."""
@@ -229,19 +241,38 @@ class Coder:
         n, a, b = zip(*found) if found else ((), (), ())
         return sum(n), b" ".join(a), b" ".join(b)
 
+    def _blocks(self, text: bytes) -> Iterator[bytes]:
+        """The text in parts of some BLOCK bytes that end at ASCII white space."""
+        at = 0
+        while len(text) - at > BLOCK:
+            end = max(text.rfind(c, at, at + BLOCK) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if end <= at:
+                found = _SPACE.search(text, at + BLOCK)
+                end = found.start() if found else len(text)
+            yield text[at:end]
+            at = end
+        yield text[at:]
+
     def digests(self, text: bytes) -> tuple[int, str, str]:
         """(number of tokens, SHA-256 of the ids, SHA-256 of the decoded text), hashed as the tokens come."""
         n, a, b = 0, hashlib.sha256(), hashlib.sha256()
-        for part in itertools.batched(text.split(), 4096):
-            found = list(map(self.pieces.__getitem__, part))
-            many, ids, texts = zip(*found)
-            if not all(many):                   # pieces of other white space only
-                many, ids, texts = zip(*[f for f in found if f[0]] or [(0, b"", b"")])
-            if any(many):
+
+        def put(found):
+            nonlocal n
+            found = [f for f in found if f[0]]          # pieces of other white space have no token
+            if found:
+                many, ids, texts = zip(*found)
                 gap = b" " if n else b""
                 a.update(gap + b" ".join(ids))
                 b.update(gap + b" ".join(texts))
                 n += sum(many)
+
+        for block in self._blocks(text):
+            if len(block) > BLOCK:                      # no white space: pre-token by pre-token
+                for some in itertools.batched(self.pre_tokens(block.decode("utf-8", "replace").strip(" \t\n\r\x0b\x0c")), 4096):
+                    put(some)
+            else:
+                put(map(self.pieces.__getitem__, block.split()))
         return n, a.hexdigest(), b.hexdigest()
 
 

@@ -94,3 +94,26 @@ def test_queries(spark, library):
     want = [(i, len(e), sha(" ".join(map(str, e))), sha(library.decode(e, skip_special_tokens=False))) for i, _, e in enc]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert token_counts(d.limit(0), PATH).collect() == [] == round_trip(d.limit(0), PATH).collect()
+
+
+def test_every_word_goes_through_transducer_and_decoder(monkeypatch):
+    """Digests come from the transducer's ids by way of the decoder, for short words, long ones and special strings."""
+    c, words, decoded = Coder(PATH), [], []
+    stream, decode = c.stream, c.decode
+    monkeypatch.setattr(c, "stream", lambda s: words.append(s) or stream(s))
+    monkeypatch.setattr(c, "decode", lambda ids: decoded.append(list(ids)) or decode(decoded[-1]))
+    n, _, _ = c.digests(("some short words " + "x" * 500 + " and more <|endoftext|> words").encode())
+    assert len(words) == 6 and sum(map(len, decoded)) == n - 1         # "words" is remembered
+
+
+def test_texts_are_read_in_blocks(library, monkeypatch):
+    from pasture.llm import bpe_transducer as B
+    monkeypatch.setattr(B, "BLOCK", 64)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    rnd = random.Random(2)
+    long = ["中文字符" * 90 + " end", "a b " * 100, "w" * 300, " " * 200 + "x", "!?" * 100 + "\n" * 80 + "é" * 70, "x1y2" * 50 + "<|endoftext|>" + "z" * 90]
+    for t in long + [rnd.choice([" ", ""]).join(rnd.choice(texts()) for _ in range(5)) for _ in range(20)]:
+        c = Coder(PATH)
+        e = library.encode(t, add_special_tokens=False)
+        assert c.digests(t.encode()) == (len(e.ids), sha(" ".join(map(str, e.ids))), sha(library.decode(e.ids, skip_special_tokens=False)))
+        assert b"".join(c._blocks(t.encode())) == t.encode()
