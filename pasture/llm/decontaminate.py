@@ -4,15 +4,17 @@
    of its shingles with the item, so somewhere it has a run of shared shingles; probing every ``stride``-th position of
    a document, ``stride`` being the shortest such run over the items, meets each of them.  A hit puts windows of its
    item's size where the shingle has the item's offset, give or take the words that may be missing or inserted.
-2. A bit of an item's SimHash can differ in a window alike enough only if the words that may be replaced can turn its
-   majority.  Items with at most ``radius`` such bits are found by fingerprint: a multi-index over radius + 1 blocks
-   holds, among the items of a window's size, all fingerprints within the radius, as one block at least has no
-   differing bit.  The seeds of other items name the item, and their windows go to the next step without a fingerprint.
-3. Candidates are verified exactly: weighted Jaccard similarity of five-word shingles, the weight of a shingle being
+2. Every window gets a SimHash and goes to a multi-index over radius + 1 blocks, which holds, among the items of the
+   window's size, all fingerprints within the radius, as one block at least has no differing bit.
+3. A window can be alike enough and still lie beyond the radius where the words that may be replaced can turn more than
+   ``radius`` majorities of an item's bits (``loose`` items, nearly all but repetitive ones; passages that have lost their
+   head or tail).  Their seeds name the item, and a window beyond its radius is a candidate for that item beside the
+   index's, so the radius costs time, never a match.
+4. Candidates are verified exactly: weighted Jaccard similarity of five-word shingles, the weight of a shingle being
    how often it occurs.
 
 Only DataFrame functions: the documents are read once, their words never leave the scan's stage (the seed table and the
-index are broadcast only when counted to be small, and joined by shuffles otherwise).
+index are broadcast only when their rows and bytes are counted to be few, and joined by shuffles otherwise).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pasture.llm.scratch import kept, stored
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 11
-BROADCAST_ROWS = 1_000_000      # rows of 30 bytes at most: some 30 MB
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20           # of a table that is broadcast, at most
 
 
 def words(text: Column) -> Column:
@@ -92,13 +94,39 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return d.withColumn("size", F.size("words")).where(F.col("size") >= SHINGLE)
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """``table`` with a broadcast hint if it has few rows; Spark picks the join otherwise."""
-    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+def _small(table: DataFrame, row_bytes: Column | int) -> DataFrame:
+    """``table`` with a broadcast hint if it has few rows and bytes; Spark picks the join otherwise."""
+    size = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
+    n, total = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()
+    return F.broadcast(table) if n <= BROADCAST_ROWS and total <= BROADCAST_BYTES else table
+
+
+def _candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """(doc_id, did, tid, start, words, item_id, indexed) from windows (…, size, item, start, words, fp).
+
+    ``indexed``: the multi-index found the item; otherwise the window lies beyond the radius of the item its seed named.
+    """
+    cols = ("doc_id", "did", "tid", "start", "words")
+    blocks = _blocks(F.col("fp"), radius)
+    index = items.select("item_id", "size", F.col("fp").alias("item_fp"), blocks.alias("item_blocks"),
+                         F.explode(F.sequence(F.lit(0), F.lit(radius))).alias("k"))
+    index = index.withColumn("block", F.get("item_blocks", F.col("k")))
+    probes = windows.dropDuplicates(["did", "tid", "size", "start"]).withColumn("blocks", blocks)
+    probes = probes.select(*cols, "size", "fp", "blocks", F.posexplode("blocks").alias("k", "block"))
+    near = probes.join(_small(index, 64 + 8 * (radius + 1)), ["size", "k", "block"])
+    # a pair that agrees in several blocks counts in the first of them
+    first = F.array_position(F.zip_with("blocks", "item_blocks", lambda a, b: a == b), True) == F.col("k") + 1
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
+    found = near.where(first & close).select(*cols, "item_id", F.lit(True).alias("indexed"))
+    own = items.select("item_id", F.col("fp").alias("item_fp"))
+    beyond = windows.where("item IS NOT NULL").join(_small(own, 24), F.col("item.id").eqNullSafe(F.col("item_id")))
+    beyond = beyond.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) > radius)
+    return found.unionByName(beyond.select(*cols, "item_id", F.lit(False).alias("indexed")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, did, tid, item_id, start, similarity): for every document and item the best verified window.
+    """(doc_id, did, tid, item_id, start, similarity, indexed): for every document and item the best verified window, and
+    whether the multi-index found one of them.
 
     did and tid key a row by its id and text, so rows that repeat both are one document.  Null and empty texts match
     nothing; an empty benchmark or document table gives an empty result.
@@ -138,30 +166,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     windows = hits.withColumn("start", F.explode(F.sequence(F.least(F.col("first"), last), last)))
     windows = windows.select("doc_id", "did", "tid", "size", "item", "start",
                              F.slice("near", F.greatest(F.col("start") - F.col("first"), F.lit(0)) + 1, F.col("size")).alias("words"))
-    windows = windows.withColumn("printed", F.when(F.col("item").isNull(), F.col("words")).otherwise(F.array().cast("array<string>")))
-    windows = with_simhash(windows, "printed").withColumn("blocks", _blocks(F.col("fp"), radius))
-    index = items.where(~F.col("loose")).select("item_id", "size", F.col("fp").alias("item_fp"), _blocks(F.col("fp"), radius).alias("item_blocks"),
-                         F.explode(F.sequence(F.lit(0), F.lit(radius))).alias("k")).withColumn("block", F.get("item_blocks", F.col("k")))
-    # a window of a loose item has one entry, its item's; block -1 is no block's value
-    index = index.withColumn("item", F.lit(None).cast(windows.schema["item"].dataType)).unionByName(items.where("loose").select(
-        "item_id", "size", F.col("fp").alias("item_fp"), _blocks(F.col("fp"), radius).alias("item_blocks"), F.lit(-1).alias("k"),
-        F.xxhash64("item_id").alias("block"), F.struct(F.col("item_id").alias("id")).alias("item")))
-    index = index.withColumnRenamed("item", "its")
-    near = windows.withColumn("k", F.explode(F.when(F.col("item").isNull(), F.sequence(F.lit(0), F.lit(radius))).otherwise(F.array(F.lit(-1)))))
-    near = near.withColumn("block", F.when(F.col("k") < 0, F.xxhash64("item.id")).otherwise(
-        F.coalesce(F.get("blocks", F.col("k")), F.lit(-1))))     # never null: nothing to filter early
-    near = near.join(_small(index), ["size", "k", "block"])
-    first = F.array_position(F.zip_with("blocks", "item_blocks", lambda a, b: a == b), True) == F.col("k") + 1
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
-    near = near.where(F.when(F.col("k") < 0, F.col("item").eqNullSafe(F.col("its"))).otherwise(first & close))
-    texts = items.select("item_id", F.col("words").alias("item_words"))
-    near = near.select("doc_id", "did", "tid", "start", "words", "item_id").join(_small(texts), "item_id")
+    windows = stored(with_simhash(windows, "words"), "windows")
+    texts = items.select(F.col("item_id").alias("its"), F.col("words").alias("item_words"))
+    wide = F.expr("aggregate(item_words, 64L, (a, w) -> a + length(w) + 32)")
+    near = _candidates(windows, items, radius).join(_small(texts, wide), F.col("item_id").eqNullSafe(F.col("its")))
     near = near.withColumns({"a": _shingles("words"), "b": _shingles("item_words")})
     near = near.withColumns({"a": _numbered(F.col("a")), "b": _numbered(F.col("b"))})
     both = F.size(F.array_intersect("a", "b"))
     near = near.withColumn("similarity", both / F.greatest(F.size("a") + F.size("b") - both, F.lit(1)))
     return (kept(near, F.col("similarity") >= similarity).groupBy("did", "tid", "item_id")
-            .agg(F.first("doc_id").alias("doc_id"), F.max("similarity").alias("similarity"),
+            .agg(F.first("doc_id").alias("doc_id"), F.max("similarity").alias("similarity"), F.max("indexed").alias("indexed"),
                  F.max_by("start", F.struct("similarity", -F.col("start"))).alias("start")))
 
 

@@ -110,3 +110,13 @@ def test_truncated_passages(spark):
                 docs.append((len(docs), " ".join(fresh(10) + w[a:len(w) - b] + fresh(10))))
                 want |= brute(docs[-1:], [(i, t)])
     assert len(want) > 200 and found(D.contaminated(*frames(spark, docs, items))) == want
+
+
+def test_most_pairs_come_through_the_index(spark):
+    """Whole and edited passages are found by fingerprint; what lies beyond the radius is the smaller part."""
+    docs, items = make()
+    pairs = D.matches(*frames(spark, docs, items)).collect()
+    assert sum(p.indexed for p in pairs) >= 0.9 * len(pairs) > 20
+    few = D.matches(*frames(spark, docs, items), radius=3).collect()         # a small radius finds as much, by the other way
+    assert {(p.doc_id, p.item_id) for p in few} == {(p.doc_id, p.item_id) for p in pairs}
+    assert sum(p.indexed for p in few) < sum(p.indexed for p in pairs)
