@@ -5,6 +5,9 @@ longest wins.  Pages that lead to one another, by a canonical link or a redirect
 components over those edges carry a block to every alias without a rule of its own.  Explicit allow takes precedence:
 a page's own rule is final, and a component that holds an explicitly allowed url is not blocked.
 
+A page's links are all its canonical links and refreshes, relative ones resolved against its own url (a ``base`` element
+is not read); a reference of another kind (``mailto:``) or to a place in the page itself leads nowhere.
+
 A node is a url without scheme, fragment, tracking parameters and trailing slashes, so spellings of one page meet in
 one node before any edge is followed.  Components run over the edges only, which are far fewer than the pages.
 """
@@ -34,6 +37,7 @@ _LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?\s*canonical\b[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b[^>]*>"
 _REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)"
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 def _rest(url: Column) -> Column:
@@ -68,19 +72,38 @@ def judged(host_: Column, path_: Column, rules=RULES) -> Column:
         "struct<rule:string,verdict:string>")
 
 
+def _plain(path_: Column) -> Column:
+    """A path without ``.`` and ``..`` segments; one that ends in such a segment names a folder."""
+    closed = F.split(F.regexp_replace(path_, r"(/\.\.?)$", "$1/"), "/")
+    folded = F.aggregate(F.slice(closed, F.lit(2), F.size(closed)), F.lit(""), lambda done, part: (
+        F.when(part == ".", done).when(part == "..", F.regexp_replace(done, "/[^/]*$", ""))
+        .otherwise(F.concat(done, F.lit("/"), part))))
+    return F.when(path_.rlike(r"/\.\.?(/|$)"), folded).otherwise(path_)
+
+
+def resolved(url: Column, found: Column) -> Column:
+    """The absolute url that a reference in the page ``url`` means; null where it leads nowhere."""
+    scheme = F.regexp_extract(url, r"^([^:/?#]*)://", 1)
+    root = F.concat(scheme, F.lit("://"), host(url))
+    folder = F.regexp_extract(path(url), "(?s)^.*/", 0)
+    own = F.regexp_extract(found, "^[^?#]*", 0)
+    tail = F.substring(found, F.length(own) + 1, F.length(found))
+    whole = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own))
+    return (F.when((found == "") | found.startswith("#"), F.lit(None).cast("string"))
+            .when(found.rlike(_SCHEME), F.when(found.rlike(_SCHEME + "//"), found))
+            .when(found.startswith("//"), F.concat(scheme, F.lit(":"), found))
+            .when(_rest(url).isNull(), F.lit(None).cast("string"))
+            .when(found.startswith("?"), F.concat(root, path(url), found))
+            .otherwise(F.concat(root, _plain(whole), tail)))
+
+
 def targets(url: Column, html: Column) -> Column:
-    """Absolute urls that a page names as its canonical form or redirects to."""
-    def absolute(found: Column) -> Column:
-        found = F.regexp_replace(found, "&amp;", "&")
-        scheme = F.regexp_extract(url, r"^([^:/?#]*)://", 1)
-        return (F.when(found == "", F.lit(None).cast("string"))
-                .when(F.instr(found, "://") > 0, found)
-                .when(found.startswith("//"), F.concat(scheme, F.lit(":"), found))
-                .when(found.startswith("/") & _rest(url).isNotNull(), F.concat(scheme, F.lit("://"), host(url), found)))
+    """Absolute urls that a page names as its canonical form or redirects to, each once."""
+    def named(tag: str, value: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, value, 1))
 
-    canonical = F.regexp_extract(F.regexp_extract(html, _LINK, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _REFRESH_URL, 1)
-    return F.array_compact(F.array(absolute(canonical), absolute(refresh)))
+    found = F.transform(F.concat(named(_LINK, _HREF), named(_REFRESH, _REFRESH_URL)), lambda x: F.regexp_replace(x, "&amp;", "&"))
+    return F.array_compact(F.transform(F.array_distinct(found), lambda x: resolved(url, x)))
 
 
 def decisions(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -135,13 +158,22 @@ def oracle_sql(rules=RULES) -> str:
                CASE WHEN rtrim(array_to_string(params, '&'), '&') <> '' THEN '?' || rtrim(array_to_string(params, '&'), '&') ELSE '' END END"""
     return rf"""
 WITH RECURSIVE p AS (SELECT *, {named} AS node, {rule} AS rule, {verdict} AS own FROM ({parts('url', 'page_id, url, html').format('pages')})),
-f AS (SELECT node AS src, unnest([
-        regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?\s*canonical\b[^>]*>', 0, 'is'), '\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is'),
-        regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?\s*refresh\b[^>]*>', 0, 'is'), '\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is')
-      ]) AS found, regexp_extract(url, '^([^:/?#]*)://', 1) AS scheme, host AS own_host, rest AS own_rest FROM p),
-a AS (SELECT src, CASE WHEN contains(l, '://') THEN l WHEN starts_with(l, '//') THEN scheme || ':' || l
-                  WHEN starts_with(l, '/') AND own_rest IS NOT NULL THEN scheme || '://' || own_host || l END AS url
-      FROM (SELECT *, replace(found, '&amp;', '&') AS l FROM f WHERE found <> '')),
+f AS (SELECT DISTINCT node AS src, regexp_extract(url, '^([^:/?#]*)://', 1) AS scheme, host AS own_host, path AS own_path, rest AS own_rest,
+        replace(unnest(list_transform(regexp_extract_all(html, '<link\b[^>]*\brel\s*=\s*["'']?\s*canonical\b[^>]*>', 0, 'is'),
+                lambda x: regexp_extract(x, '\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is'))
+          || list_transform(regexp_extract_all(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?\s*refresh\b[^>]*>', 0, 'is'),
+                lambda x: regexp_extract(x, '\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1, 'is'))), '&amp;', '&') AS l FROM p),
+g AS (SELECT *, regexp_extract(l, '^[^?#]*') AS l_path, substr(l, length(regexp_extract(l, '^[^?#]*')) + 1) AS l_tail,
+        CASE WHEN starts_with(l, '/') THEN '' WHEN contains(own_path, '/') THEN regexp_extract(own_path, '^.*/', 0, 's') ELSE '/' END AS folder
+      FROM f WHERE l <> '' AND NOT starts_with(l, '#')),
+h AS (SELECT *, string_split(regexp_replace(folder || l_path, '(/\.\.?)$', '\1/'), '/')[2:] AS parts FROM g),
+a AS (SELECT src, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l END
+                  WHEN starts_with(l, '//') THEN scheme || ':' || l
+                  WHEN own_rest IS NULL THEN NULL
+                  WHEN starts_with(l, '?') THEN scheme || '://' || own_host || own_path || l
+                  ELSE scheme || '://' || own_host || list_reduce(parts, lambda done, x: CASE WHEN x = '.' THEN done
+                         WHEN x = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || x END, '') || l_tail END AS url
+      FROM h),
 t AS (SELECT *, {named} AS node, {verdict} AS own FROM ({parts('url', 'src, url').format('(SELECT * FROM a WHERE url IS NOT NULL)')})),
 e AS (SELECT src AS u, node AS v FROM t WHERE src IS NOT NULL AND node IS NOT NULL AND src <> node
       UNION SELECT node, src FROM t WHERE src IS NOT NULL AND node IS NOT NULL AND src <> node),
