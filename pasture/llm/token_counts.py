@@ -1,17 +1,26 @@
 """Token counts of whole documents, with overlap resynchronisation for huge ones.
 
 A huge document is never handed to the tokenizer whole.  Overlapping chunks are encoded with offsets; two
-neighbouring chunks are spliced at a boundary that both encodings share and that is proven stable: a token starts
-there in both, and the character before it is ASCII white space, which the pre-tokenizer never joins to anything.
-Where an overlap holds no such boundary it is widened, step by step up to the whole chunk, and then the chunk is.
+neighbouring chunks are spliced at a boundary where a token starts in both and which is proven stable: nothing on its
+far side can change the tokens on this side.  The proof reads a few characters around the place:
 
-The same proof lets ordinary documents be counted piece by piece between white space, with a bounded cache of
+* white space before it, which the pre-tokenizer never joins to anything;
+* a change of the pre-tokenizer's class (letter, digit, other) that no contraction such as ``'re`` can bridge;
+* inside a run of one class, two bytes that stand side by side in no token of the vocabulary: no merge can cross them.
+
+The last two count only among characters that normalisation leaves alone, and not inside a special string.  Where the
+encodings do not meet at such a place, an earlier one is tried with a wider overlap; a chunk without any is widened to
+the next one.  Only a run without any such place is encoded in one piece.
+
+The first proof lets ordinary documents be counted piece by piece between white space, with a bounded cache of
 piece counts in each Python worker.
 """
 
 from __future__ import annotations
 
 import os
+from bisect import bisect_left
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +31,19 @@ CHUNK, OVERLAP = 1 << 15, 1 << 8
 CACHE = 400_000
 _SPACE = " \t\n\r\x0b\x0c"
 _COUNTERS: dict[str, Counter] = {}
+#: Letters without case, marks or decompositions: Thai, kana, ideographs, Hangul syllables.
+_LETTERS = ((0xE01, 0xE2E), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+#: Other characters that normalisation leaves alone: CJK and full-width punctuation, pictographs.
+_OTHERS = ((0x3001, 0x3002), (0x300A, 0x300F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF1B), (0xFF1F, 0xFF1F), (0x1F300, 0x1F5FF), (0x1F600, 0x1F64F))
+
+
+@lru_cache(1 << 16)
+def _kind(c: str) -> str:
+    """The pre-tokenizer's class of a character: L, N, other (S), or none for white space and all that may change."""
+    o = ord(c)
+    if o < 128:
+        return "L" if c.isalpha() else "N" if c.isdigit() else "S" if 32 < o < 127 else ""
+    return "L" if any(a <= o <= b for a, b in _LETTERS) else "S" if any(a <= o <= b for a, b in _OTHERS) else ""
 
 
 class Counter:
@@ -37,6 +59,10 @@ class Counter:
         self.chunk, self.overlap, self.cache = chunk, overlap, cache
         self.known: dict[bytes, int] = {}
         self.widened = 0
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = [t.removesuffix("</w>") for t in self.tok.get_vocab() if t not in self.special]
+        self.pairs = {t[i:i + 2] for t in vocab for i in range(len(t) - 1)}
+        self.symbols: dict[str, str] = {}
 
     def many(self, texts: list[bytes]) -> list[int]:
         """Counts of a batch of UTF-8 texts; unseen pieces are encoded together."""
@@ -55,53 +81,64 @@ class Counter:
             out[i] = sum(map(self.known.__getitem__, pieces))
         return out
 
-    def _starts(self, text: str, a: int, b: int) -> tuple[list[int], list[int]]:
-        e = self.tok.encode(text[a:b], add_special_tokens=False)
-        return [a + s for s, _ in e.offsets], e.ids
+    def _starts(self, text: str, a: int, b: int) -> list[int]:
+        return [a + s for s, _ in self.tok.encode(text[a:b], add_special_tokens=False).offsets]
+
+    def _symbols(self, c: str) -> str:
+        """A character as the symbols of the byte-level alphabet that merges begin with."""
+        if c not in self.symbols:
+            if len(self.symbols) > self.cache:
+                self.symbols.clear()
+            self.symbols[c] = self.tok.pre_tokenizer.pre_tokenize_str(c.lower())[0][0]
+        return self.symbols[c]
+
+    def stable(self, text: str, x: int) -> bool:
+        """Whether a token starts at ``x`` and neither side of it can change the tokens of the other."""
+        if text[x].isspace():
+            return False
+        if text[x - 1] in _SPACE:
+            return True
+        # the character after: a mark there would change the one at x
+        before, here, after = _kind(text[x - 1]), _kind(text[x]), x + 1 == len(text) or text[x + 1] in _SPACE or _kind(text[x + 1])
+        if not (before and here and after):
+            return False
+        if before == here != "N":
+            if self._symbols(text[x - 1])[-1] + self._symbols(text[x])[0] in self.pairs:
+                return False
+            if here == "S" and "'" in text[x - 1:x + 1]:
+                return False
+        elif before == "S" and here == "L" and text[x - 1] == "'":
+            return False
+        return not any(0 <= text.find(t, max(0, x - len(t) + 1), x + len(t) - 1) for t in self.special)
+
+    def _last(self, text: str, a: int, b: int) -> int | None:
+        """The last stable place between ``a`` and ``b``."""
+        return next((x for x in range(b - 1, a, -1) if self.stable(text, x)), None)
 
     def spliced(self, text: str) -> int:
-        """Tokens of a huge text, chunk by chunk; holds two chunks' encodings at a time."""
-        n, total, since, width = len(text), 0, 0, self.chunk
-        end = min(n, width)
-        left, left_ids = self._starts(text, 0, end)
+        """Tokens of a huge text, chunk by chunk; holds two chunks' offsets at a time."""
+        n, total, since, back = len(text), 0, 0, 0
+        end = min(n, self.chunk)
+        left = self._starts(text, 0, end)
         while end < n:
-            overlap, met = self.overlap, None
-            while met is None:
-                back = max(since, end - overlap)
-                stop = min(n, back + width)
-                if stop > end:
-                    right, right_ids = self._starts(text, back, stop)
-                    met = self._meet(text, left, left_ids, right, right_ids, back, end)
-                if met is None:
-                    self.widened += 1
-                    if back > since:
-                        overlap *= 2
-                    else:               # the chunk itself holds no stable boundary: widen the chunk
-                        width *= 2
-                        end = min(n, since + width)
-                        left, left_ids = self._starts(text, since, end)
-                        overlap = self.overlap
-                        if end == n:
-                            break
-            if met is None:
-                break
-            x, i, j = met
-            total += i - sum(s < since for s in left[:i])
-            since, end, width = x, stop, self.chunk
-            left, left_ids = right, right_ids
-        return total + sum(s >= since for s in left)
-
-    @staticmethod
-    def _meet(text, left, left_ids, right, right_ids, back, end):
-        """The last stable common boundary x in (back, end) and its token index in both encodings."""
-        at = {s: j for j, s in reversed(list(enumerate(right))) if back < s < end}
-        for i in range(len(left) - 1, 0, -1):
-            s = left[i]
-            if s <= back:
-                break
-            if s in at and text[s - 1] in _SPACE and left[i - 1] < s and left_ids[i] == right_ids[at[s]]:
-                return s, i, at[s]
-        return None
+            x, overlap, right = self._last(text, since, end), self.overlap, None
+            while x is not None:
+                start, stop = max(since, x - overlap), min(n, x + self.chunk)
+                right = self._starts(text, start, stop)
+                i, j = bisect_left(left, x), bisect_left(right, x)
+                if i < len(left) and j < len(right) and left[i] == right[j] == x:
+                    break
+                self.widened += 1
+                x, overlap = self._last(text, since, x), 2 * overlap
+            if x is None:                   # the chunk holds no stable place: widen it beyond the next one
+                self.widened += 1
+                ahead = next((y for y in range(end, n) if self.stable(text, y)), n)
+                end = min(n, ahead + self.overlap)
+                left = self._starts(text, back, end)
+                continue
+            total += i - bisect_left(left, since)
+            since, back, end, left = x, start, stop, right
+        return total + len(left) - bisect_left(left, since)
 
 
 def counter(path: str, **options) -> Counter:

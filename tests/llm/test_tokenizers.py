@@ -79,6 +79,43 @@ def test_counts_match_the_library(library):
     assert small.widened > 0
 
 
+def test_huge_texts_without_white_space(library, monkeypatch):
+    """Ideographs, mixed classes, contractions, special strings and marks in one run: no piece far over a chunk."""
+    rnd, sizes = random.Random(5), []
+    starts = Counter._starts
+    monkeypatch.setattr(Counter, "_starts", lambda self, text, a, b: sizes.append(b - a) or starts(self, text, a, b))
+    han = "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(20_000))
+    kana = "".join(rnd.choice("あいうえおがぎカキクーン゙한국어ไทยก็") for _ in range(6000))
+    mixed = "".join(rnd.choice(["中", "a", "b1", "'re", "!'t", "'", "<|endoftext|>", "<|", "é", "e\u0301", "😀", "。", "Don't", "Σ", "\u0301", "-", "x"]) for _ in range(6000))
+    for t, most in ((han, 400), (kana, 2000), (mixed, 400)):
+        sizes.clear()
+        assert Counter(PATH, chunk=100, overlap=16).spliced(t) == len(library.encode(t, add_special_tokens=False).ids)
+        assert max(sizes) < most and sum(sizes) < 4 * len(t)
+
+
+def test_every_stable_place_splits_the_encoding(library):
+    """Cutting a text at any place called stable changes no token (a word's end symbol aside)."""
+    c, rnd, seen = Counter(PATH), random.Random(6), 0
+    parts = ["中", "文字", "あ", "か\u3099", "한", "a", "q", "zx", "jq", "7", "'re", "'", "!", "'t", "<|endoftext|>", "<|endof", "e\u0301", "😀", "。", " ", "\u00a0", "Ⅷ"]
+    for _ in range(600):
+        t = "".join(rnd.choice(parts) for _ in range(12))
+        e = library.encode(t, add_special_tokens=False)
+        places = [s for s, _ in e.offsets]
+        for x in range(1, len(t)):
+            if c.stable(t, x):
+                seen += 1
+                assert x in places
+                k = places.index(x)
+                for a, b in ((t[:x], t[x:] + rnd.choice(parts)), (rnd.choice(parts) + t[:x], t[x:])):
+                    other = library.encode(a + b, add_special_tokens=False)
+                    at = [s for s, _ in other.offsets].index(len(a))
+                    if a == t[:x]:
+                        assert other.ids[:at] == e.ids[:k]
+                    else:
+                        assert other.ids[at:] == e.ids[k:]
+    assert seen > 1000
+
+
 def frame(spark):
     rows = [(i % 300, t, "x", "y") for i, t in enumerate(t for t in texts() if "\x00" not in t)] + [(None, "a b", "", ""), (7, None, "", "")]
     return spark.createDataFrame(rows, SCHEMA), rows
