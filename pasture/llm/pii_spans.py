@@ -12,7 +12,8 @@ gathered; the trees are fitted on a bounded sample of them (some ``SAMPLE``, an
 the thresholds are calibrated on all others.
 
 The fitted trees become column expressions, so a document is searched, scored and redacted inside its own row: no
-shuffle, no Python on the executors.
+shuffle, no Python on the executors.  Offsets, overlaps and redacted texts come from running sums and maxima over the
+spans in order, worked out in blocks, so a log of tens of thousands of addresses in one text costs no more per span.
 """
 
 from __future__ import annotations
@@ -64,6 +65,7 @@ _CHECK = {
 FEATURES = ("length", "digits", "letters", "hex", "upper", "apart", "distinct", "quoted", "assigned", "joined", "plus", "number")
 
 SAMPLE, RATES = 20_000, 1_000_000
+BLOCK, PIECE = 256, 1024        # spans, and characters of a text, that are worked on at once
 PRECISION, SUPPORT = 0.95, 20
 
 
@@ -79,17 +81,38 @@ def _sql(pattern: str) -> str:
     return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def _once(c: Column) -> Column:
+    """``c`` in a projection that filters stay above: pushed down, they would work out every span several times over."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
+def _running(d: DataFrame, names: dict[str, str], step: str, start: int) -> DataFrame:
+    """Adds an array column for every array column of integers named: what stands before each element, combined by
+    ``step`` (associative, over a and b) from ``start``."""
+    empty = f"named_struct('at', {start}, 'out', cast(array() as array<int>))"
+    grown = f"named_struct('at', {step}, 'out', concat(acc.out, array(acc.at)))"
+
+    def at(x: str) -> str:
+        return grown.replace("$a", "acc.at").replace("$b", x)
+
+    d = d.withColumns({f"b_{n}": F.expr(f"""transform(sequence(0, (size({v}) - 1) div {BLOCK}), i -> aggregate(
+        slice({v}, i * {BLOCK} + 1, {BLOCK}), {empty}, (acc, x) -> {at('x')}))""") for n, v in names.items()})
+    d = d.withColumns({f"o_{n}": F.expr(f"aggregate(b_{n}, {empty}, (acc, x) -> {at('x.at')}, acc -> acc.out)") for n in names})
+    return d.withColumns({n: F.expr(f"""flatten(transform(arrays_zip(b_{n}, o_{n}), y -> transform(y.b_{n}.out, z -> {
+        step.replace('$a', f'y.o_{n}').replace('$b', 'z')})))""") for n in names}).drop(*(f"{x}_{n}" for n in names for x in "bo"))
+
+
 def _search(d: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """Adds an array column of spans per pattern: offsets in code points (end exclusive), the text found, and what
     stands before and after it.  The texts between the matches give the offsets."""
     d = d.withColumns({f"m_{k}": F.expr(f"if({_GUARD[k]}, regexp_extract_all(t, '{_sql(p)}', 0), array())") for k, p in patterns.items()})
     d = d.withColumns({f"p_{k}": F.expr(f"if(size(m_{k}) > 0, split(t, '{_sql(p)}', -1), array())") for k, p in patterns.items()})
-    return d.withColumns({k: F.expr(f"""if(size(m_{k}) = 0, cast(array() as array<{_SPAN}>), aggregate(
-        sequence(0, size(m_{k}) - 1), named_struct('at', 0, 'out', cast(array() as array<{_SPAN}>)),
-        (acc, i) -> named_struct('at', acc.at + length(p_{k}[i]) + length(m_{k}[i]), 'out', concat(acc.out, array(named_struct(
-            's', acc.at + length(p_{k}[i]), 'e', acc.at + length(p_{k}[i]) + length(m_{k}[i]), 'v', m_{k}[i],
-            'b', right(p_{k}[i], 32), 'a', left(p_{k}[i + 1], 1))))),
-        acc -> acc.out))""") for k in patterns}).drop(*(f"{x}_{k}" for k in patterns for x in "mp"))
+    d = d.withColumns({f"l_{k}": F.expr(f"transform(m_{k}, (x, i) -> length(p_{k}[i]) + length(x))") for k in patterns})
+    d = _running(d, {f"at_{k}": f"l_{k}" for k in patterns}, "$a + $b", 0)
+    return d.withColumns({k: F.expr(f"""cast(transform(m_{k}, (x, i) -> named_struct(
+        's', at_{k}[i] + length(p_{k}[i]), 'e', at_{k}[i] + l_{k}[i], 'v', x,
+        'b', right(p_{k}[i], 32), 'a', left(p_{k}[i + 1], 1))) as array<{_SPAN}>)""") for k in patterns}).drop(
+            *(f"{x}_{k}" for k in patterns for x in ("m", "p", "l", "at")))
 
 
 def _share(kept: str) -> str:
@@ -108,21 +131,27 @@ _FEATURE_SQL = {
 }
 
 
-def _proposals(docs: DataFrame) -> DataFrame:
-    """(row, t, base, proposed): the input row as a struct, its text, its base spans and its scored-to-be proposals."""
-    d = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+def _proposals(docs: DataFrame, carried) -> DataFrame:
+    """(row, t, base, proposed): the carried columns as a struct, the text, its base spans and its scored-to-be proposals."""
+    d = docs.select(F.struct(*carried).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     d = _search(d, BASE | PROPOSED)
     base = [F.expr(f"transform(filter({k}, x -> {check}), x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e))")
             for k, check in _CHECK.items()]
     d = d.withColumn("base", F.concat(*base))
+    # a proposal at its end, a base span at its start: base spans before a proposal overlap it if one ends behind its start
+    events = [f"transform({k}, x -> named_struct('at', x.e, 'what', {n}, 'top', -1, 'x', x))" for n, k in enumerate(PROPOSED)]
+    events.append(f"transform(base, y -> named_struct('at', y.s, 'what', {len(PROPOSED)}, 'top', y.e, 'x', cast(null as {_SPAN})))")
+    d = d.withColumn("events", F.expr(f"array_sort(concat({', '.join(events)}))"))
+    d = _running(d.withColumn("tops", F.expr("transform(events, v -> v.top)")), {"reach": "tops"}, "greatest($a, $b)", -1)
+    d = d.withColumn("met", F.expr("arrays_zip(events, reach)"))
     parts = []
-    for k in PROPOSED:
-        covered = "exists(base, y -> y.s < x.e and x.s < y.e)"
-        label = covered if k == "number" else f"rlike(x.b, '{_sql(_KEYED)}')"
-        feats = ", ".join(f"'{n}', {s}" for n, s in _FEATURE_SQL.items())
-        parts.append(F.expr(f"transform({k}, x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'covered', {covered}, "
-                            f"'label', if({label}, 1D, 0D), {feats}, 'number', {1 if k == 'number' else 0}D))"))
-    return d.select("row", "t", "base", F.concat(*parts).alias("proposed"))
+    for n, k in enumerate(PROPOSED):
+        label = "w.reach > x.s" if k == "number" else f"rlike(x.b, '{_sql(_KEYED)}')"
+        feats = ", ".join(f"'{name}', {sql}" for name, sql in _FEATURE_SQL.items())
+        made = (f"named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'covered', w.reach > x.s, "
+                f"'label', if({label}, 1D, 0D), {feats}, 'number', {1 if k == 'number' else 0}D)")
+        parts.append(F.expr(f"transform(filter(met, w -> w.events.what = {n}), w -> {made.replace('x.', 'w.events.x.')})"))
+    return d.select("row", "t", "base", _once(F.concat(*parts)).alias("proposed"))
 
 
 def _tree(node):
@@ -152,10 +181,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, sup
 
     Without both positive and negative proposals nothing is fitted, and only base spans are found.
     """
-    # outer: else the optimiser tests for empty arrays by working out the proposals a second time
-    rows = _proposals(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("doc_id"), F.explode_outer("proposed").alias("x"))
-    rows = rows.where("x is not null").select("doc_id", "x.*").withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "kind", "s", "e"))
-    rows = stored(rows, "proposals")
+    return _fit(stored(_proposals(docs, ["doc_id"]).drop("t"), "proposals"), sample, precision, support)
+
+
+def _fit(d: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, support: int = SUPPORT) -> Model:
+    """The model of a stored table of proposals (row with doc_id, proposed)."""
+    rows = d.select(F.col("row.doc_id").alias("doc_id"), F.explode("proposed").alias("x")).select("doc_id", "x.*")
+    rows = rows.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "kind", "s", "e"))
     found = {(r["kind"], r["label"]): r["n"] for r in rows.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len({label for _, label in found}) < 2:
         return Model()
@@ -194,10 +226,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, sup
     return model
 
 
-def _selected(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, t, base, spans): all spans in order of kind and start; added ones keep clear of the base."""
-    d = _proposals(docs)
-
+def _selected(d: DataFrame, model: Model) -> DataFrame:
+    """``spans`` in place of ``proposed``: all spans in order of kind and start; added ones keep clear of the base."""
     def taken(x: Column) -> Column:
         enough = F.lit(False)
         for k, least in model.thresholds.items():
@@ -206,7 +236,7 @@ def _selected(docs: DataFrame, model: Model) -> DataFrame:
         return enough & ~x["covered"]
 
     added = F.transform(F.filter("proposed", taken), lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
-    return d.select("row", "t", "base", F.concat("base", added).alias("spans"))
+    return d.withColumn("spans", F.concat("base", added)).drop("proposed")
 
 
 def _listed(spans: str) -> Column:
@@ -219,8 +249,11 @@ def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     Counts are of base spans; ``spans`` lists kind:start:end by kind, then start.  Null texts count as empty: no spans
     and the digest of the empty string.  Repeated rows each return a row.
     """
-    model = model or fit(docs)
-    d = _selected(docs.select("doc_id", "text"), model)
+    d = _proposals(docs, ["doc_id"]).drop("t")
+    if model is None:               # what is found in the texts serves both to learn and to choose
+        d = stored(d, "found")
+        model = _fit(d)
+    d = _selected(d, model)
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint) as n_{k}") for k in BASE]
     return d.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), *counts, F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
                     _listed("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"))
@@ -233,11 +266,21 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     they are.
     """
     model = model or fit(docs)
-    d = _selected(docs, model).withColumn("cuts", F.expr("array_sort(transform(spans, x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind)))"))
-    clean = F.expr("""aggregate(cuts, named_struct('at', 0, 'out', ''), (acc, x) -> named_struct(
-        'at', greatest(acc.at, x.e), 'out', if(x.s < acc.at, acc.out, concat(acc.out, substring(t, acc.at + 1, x.s - acc.at), '[', upper(x.kind), ']'))),
-        acc -> concat(acc.out, substring(t, acc.at + 1, length(t) - acc.at)))""")
-    d = d.withColumn("clean", F.when(F.size("cuts") > 0, clean).otherwise(F.col("row.text")))
+    d = _selected(_proposals(docs, ["*"]), model)
+    d = d.withColumn("cuts", F.expr("array_sort(transform(spans, x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind)))"))
+    d = d.withColumn("ends", F.expr("transform(cuts, x -> x.e)"))
+    d = _running(d, {"past": "ends"}, "greatest($a, $b)", 0)
+    d = d.withColumn("pieces", F.expr(f"if(size(cuts) > 0, regexp_extract_all(t, '(?s).{{1,{PIECE}}}+', 0), array())"))
+
+    def between(a: str, z: str) -> str:
+        first, last = f"({a}) div {PIECE}", f"({z}) div {PIECE}"
+        held = f"if({first} = {last}, pieces[cast({first} as int)], array_join(slice(pieces, cast({first} as int) + 1, cast({last} - {first} as int) + 1), ''))"
+        return f"if({a} = {z}, '', substring({held}, ({a}) % {PIECE} + 1, {z} - {a}))"
+
+    d = d.withColumns({"kept": F.expr(f"""transform(arrays_zip(cuts, past), w -> if(w.cuts.s < w.past, '',
+        concat({between('w.past', 'w.cuts.s')}, '[', upper(w.cuts.kind), ']')))"""), "last": F.expr("coalesce(array_max(ends), 0)")})
+    clean = F.expr(f"concat(array_join(kept, ''), {between('last', 'length(t)')})")
+    d = d.withColumn("clean", _once(F.when(F.size("cuts") > 0, clean).otherwise(F.col("row.text"))))
     return d.select(*(F.col("clean").alias(c) if c == "text" else
                       F.when(F.size("cuts") > 0, F.length("clean").cast(t)).otherwise(F.col(f"row.{c}")).alias(c) if c == "n_chars"
                       else F.col(f"row.`{c}`").alias(c) for c, t in docs.dtypes))
