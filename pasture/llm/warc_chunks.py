@@ -48,10 +48,10 @@ def chunks(recs: DataFrame, size: int = CHUNK) -> DataFrame:
     """The chunked record table; revisits and empty payloads have one empty chunk."""
     count = F.when(F.col("first").isNotNull(), F.lit(1)).otherwise(F.greatest(F.lit(1), F.ceil(F.col("n") / size)))
     body = F.when(F.col("first").isNotNull(), F.lit(b"")).otherwise(F.col("payload"))
-    parts = F.transform(F.sequence(F.lit(0), (count - 1).cast("int")),
-                        lambda i: F.substring(F.col("body"), i * size + 1, F.lit(size)))
-    return (recs.withColumn("body", body)
-            .select("page_id", "url", "n", "digest", "first", F.posexplode(parts).alias("chunk_no", "bytes")))
+    # numbers first: each row then takes its own piece, and the pieces of a payload never stand beside it
+    numbered = recs.withColumn("body", body).select("*", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias("chunk_no"))
+    return numbered.select("page_id", "url", "n", "digest", "first", "chunk_no",
+                           F.substring("body", F.col("chunk_no") * size + 1, F.lit(size)).alias("bytes"))
 
 
 def _head(row: dict) -> bytes:
