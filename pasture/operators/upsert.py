@@ -126,6 +126,8 @@ def month_col(c: str, grain: str = "month") -> Column:
 
 
 RETRIES = 20
+ROW = "_row"       # column of a fact table that no reader sees: the batch row a stored row came from, (run, file_id, row_number)
+KEEP_FIRST = ("ignore", "append")      # strategies under which a batch row may be skipped
 
 
 def write_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], time_col: str,
@@ -133,38 +135,67 @@ def write_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequenc
                  seq: str | None = None, grain: str = "month") -> int:
     """Upsert ``batch`` into the month-partitioned table of snapshots at ``path``; read it with ``read_facts``.
 
+    Returns touched partitions; see ``commit_upsert``.
+    """
+    return len(commit_upsert(spark, batch, path, keys, time_col, strategy, update_columns, seq, grain)[1])
+
+
+def commit_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], time_col: str,
+                  strategy: str = "update", update_columns: Sequence[str] | None = None,
+                  seq: str | None = None, grain: str = "month") -> tuple[SN.Snapshot, list[str]]:
+    """The commit of ``write_upsert``; returns the snapshot committed and the partitions touched.
+
     Only partitions (months, or days with ``grain='day'``; the column is called ``month`` either way) the batch touches
     are read and rewritten; inside them only rows whose key the batch carries are shuffled (see ``upsert``).  Their new
     state goes to folders of its own and becomes visible by one atomic commit: a writer that dies half-way changes
     nothing, and of two writers that touch the same partition the second starts again from the first one's state.
-    Returns touched partitions.
+    A batch with a ``ROW`` column leaves in every stored row which batch row won its key (F13): ``loaded_rows``.
     """
     path = path.rstrip("/")
     b = batch.withColumn("month", month_col(time_col, grain))
     touched = [r[0] for r in b.select(SN.part_of(F.col("month")).alias("p")).distinct().collect()]   # one row per month
     if not touched:
-        return 0                                                       # nothing valid in this batch
+        return SN.load(spark, path), []                                # nothing valid in this batch
     _adopt(spark, path)
     for _ in range(RETRIES):
         base = SN.load(spark, path)
         existing = SN.read(spark, path, base, touched) if base.schema is not None else None
-        new_state = upsert(existing, b, list(keys) + ["month"] if "month" not in keys else keys,
+        old, new = (existing, b) if existing is None else _both_with_row(existing, b)
+        new_state = upsert(old, new, list(keys) + ["month"] if "month" not in keys else keys,
                            strategy, update_columns, seq)
         if seq and seq in new_state.columns:
             new_state = new_state.drop(seq)
         changed = SN.write_parts(new_state, path, "month")
         try:
-            SN.commit(spark, path, base, changed, new_state.schema)
-            return len(touched)
+            return SN.commit(spark, path, base, changed, new_state.schema), touched
         except SN.Conflict:
             continue
     raise SN.Conflict(f"{path}: other writers came first {RETRIES} times")
 
 
+def _both_with_row(existing: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Give the side without ``ROW`` an empty one: a table from before it, or a batch whose strategy skips nothing."""
+    if (ROW in existing.columns) == (ROW in batch.columns):
+        return existing, batch
+    kind = (existing if ROW in existing.columns else batch).schema[ROW].dataType
+    none = F.lit(None).cast(kind)
+    return (existing, batch.withColumn(ROW, none)) if ROW in existing.columns else (existing.withColumn(ROW, none), batch)
+
+
+def loaded_rows(spark: SparkSession, path: str, snapshot: SN.Snapshot, parts: Sequence[str], run: str) -> DataFrame:
+    """the batch rows (file_id, row_number) of a run that the table took, by what the commit of its batch holds.
+
+    The winner of a key is written with the row it won, so this reads one column of the touched partitions and joins
+    nothing.  A batch that is offered again finds the rows of its first commit, and gives the same answer.
+    """
+    rows = SN.read(spark, path.rstrip("/"), snapshot, list(parts))
+    return rows.filter(F.col(f"{ROW}.run") == run).select(f"{ROW}.file_id", f"{ROW}.row_number")
+
+
 def read_facts(spark: SparkSession, path: str, version: int | None = None, months: Sequence[str] | None = None) -> DataFrame:
     """One snapshot of a fact table (the newest by default), of all or some months."""
     path = path.rstrip("/")
-    return SN.read(spark, path, SN.load(spark, path, version), None if months is None else list(months))
+    return SN.read(spark, path, SN.load(spark, path, version), None if months is None else list(months)).drop(ROW)
 
 
 def _adopt(spark: SparkSession, path: str) -> None:

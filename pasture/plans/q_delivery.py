@@ -25,9 +25,9 @@ _HEADERS = ("Date and Time,Hourly",
             "a,b,c")
 
 
-def lines(spark, sf) -> DataFrame:
+def lines(spark, sf, e: DataFrame | None = None) -> DataFrame:
     """Every user's events as one file: hourly energy, a 70-column station with an empty header cell, or unknown."""
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events") if e is None else e
     n, kind = F.col("event_id"), F.col("user_id") % 3
     reading = F.concat((n % 97).cast("string"), F.lit(","), F.lpad((n % 100).cast("string"), 2, "0"))
     energy = F.concat(F.date_format("ts", "M/d/yyyy h:mm:ss a"), F.lit(',"'), reading, F.lit('"'))
@@ -175,3 +175,36 @@ def q_stage_states(spark, sf):
     again = ended.filter(F.col("execution_id") % 5 == 0).select(
         "run_id", "stage", F.lit("start").alias("kind"), (F.col("completed_at") + F.expr("INTERVAL 1 HOUR")).alias("at"), none)
     return K.stage_states(start.unionByName(end).unionByName(again))
+
+
+_WINNERS = W("""
+SELECT run, 'f' || CAST(user_id AS VARCHAR) || '.csv' AS file, count(*) AS extract_records, count(*) FILTER (WHERE valid) AS valid_records,
+       count(*) FILTER (WHERE valid AND nth = 1) AS loaded_records, count(*) FILTER (WHERE valid AND nth > 1) AS skipped_records,
+       count(*) FILTER (WHERE valid AND nth > 1) AS pending
+FROM k GROUP BY run, user_id""", ctes=(
+    ("v", """SELECT user_id, event_id, user_id % 6 // 3 AS half, date_trunc('hour', ts) AS hour, user_id % 3 AS kind,
+             user_id % 3 = 0 OR NOT (event_id % 10 < 3 OR event_id % 13 = 0) AS valid FROM events WHERE user_id % 3 < 2"""),
+    ("k", """SELECT *, CASE half WHEN 0 THEN 'r1' ELSE 'r2' END AS run,
+             row_number() OVER (PARTITION BY kind, hour, valid, CASE WHEN kind = 0 THEN user_id END
+                                ORDER BY half, user_id, event_id) AS nth FROM v""")))
+
+
+@register("delivery_skips", _WINNERS)
+def q_delivery_skips(spark, sf):
+    """Two deliveries whose readings meet in the same hours, under ``ignore`` and ``append`` (F13): what is loaded, skipped
+    and pending by file, from ledger, staging and metrics.  The second one is delivered twice, which changes nothing."""
+    e = table(spark, sf, "events")
+    e = e.withColumn("ts", F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz"))
+    wh = D.Warehouse(_folder(spark, "skips"))
+    how = {"environmental_metrics": "ignore", "energy_hourly": "append"}
+    for half, run in ((0, "r1"), (1, "r2"), (1, "r2")):
+        x = lines(spark, sf, e.filter(F.floor(F.col("user_id") % 6 / 3) == half))
+        meter = F.concat(F.lpad(F.regexp_extract("file", "[0-9]+", 0), 20, "0"), F.lit("-"), "file")
+        D.run_delivery(spark, x.withColumn("file", meter), wh, run, as_of=dt.datetime(2024, 1, 1), strategies=how)
+    reg = D.read_table(spark, wh.path("ingest_file"))
+    staged = D.read_table(spark, wh.path("staging")).select("run", "file_id", "row_number", "is_valid")
+    pending = staged.filter("is_valid").join(D.read_table(spark, wh.path("loaded")), ["run", "file_id", "row_number"], "left_anti")
+    pending = pending.groupBy("run", "file_id").agg(F.count(F.lit(1)).alias("pending"))
+    return (reg.join(pending, ["run", "file_id"], "left").fillna(0, ["pending"])
+               .select("run", F.substring_index("file_id", "-", -1).alias("file"), "extract_records", "valid_records", "loaded_records",
+                       "skipped_records", "pending"))

@@ -16,7 +16,7 @@ import datetime as _dt
 import json
 import os
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -188,10 +188,10 @@ def rejections(spark: SparkSession, wh: Warehouse) -> DataFrame:
 def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: str,
                  as_of: _dt.datetime | None = None, devices: DataFrame | None = None,
                  defaults: dict[str, str] | None = None, ingestion_method: str = "batch",
-                 offered: DataFrame | None = None) -> DataFrame:
+                 offered: DataFrame | None = None, strategies: dict[str, str] | None = None) -> DataFrame:
     """Process every file in ``lines``; returns the per-file registry rows written.
 
-    Files whose lines carry an ``error``, and files of ``offered`` (file) that have no line, are rejected.
+    ``strategies``: conflict strategy by dataset, in place of the mapping's.  Files whose lines carry an ``error``, and files of ``offered`` (file) that have no line, are rejected.
     ``ingestion_method`` is recorded on every fact row: 'batch' or 'streaming' (decision Q3).
     """
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -242,7 +242,7 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     try:
         for ds in sorted(present):                   # bounded: one pass per known dataset
             registry.append(_load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log, fsize,
-                                          ingestion_method))
+                                          ingestion_method, (strategies or {}).get(ds)))
     finally:
         log.close()
     if not registry:
@@ -259,9 +259,24 @@ def run_delivery(spark: SparkSession, lines: DataFrame, wh: Warehouse, run_id: s
     return read_table(spark, reg_path).filter(F.col("run") == run_id)
 
 
+def _load_facts(spark, facts: DataFrame, spec, wh: Warehouse, run_id: str, t0, time_col: str) -> DataFrame:
+    """Upsert fact rows; returns the ledger of the batch rows the table took (F5, F13): all, or the winners of their keys."""
+    path = wh.path("facts", spec.target_table)
+    took = facts.select("file_id", "row_number")
+    skips = spec.strategy in U.KEEP_FIRST and spec.primary_key
+    if skips:
+        facts = facts.withColumn(U.ROW, F.struct(F.lit(run_id).alias("run"), "file_id", F.col("row_number").cast("long").alias("row_number")))
+    snapshot, months = U.commit_upsert(
+        spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0), path, spec.primary_key, time_col,
+        spec.strategy, spec.update_columns, seq="_order", grain=spec.partition_by or "month")
+    if skips and months:
+        took = U.loaded_rows(spark, path, snapshot, months, run_id)
+    return took.withColumn("loaded_at", t0)
+
+
 def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: StageLog,
-                  fsize: int | None = None, method: str = "batch") -> DataFrame:
-    spec = get_spec(ds)
+                  fsize: int | None = None, method: str = "batch", strategy: str | None = None) -> DataFrame:
+    spec = get_spec(ds) if strategy is None else replace(get_spec(ds), strategy=strategy)
     with log.stage(ds, "extract") as st:
         rows = FS.dataset_rows(lines, accepted, spec, files_size=fsize)
         if ds in _ADAPTERS:
@@ -282,11 +297,8 @@ def _load_dataset(spark, lines, accepted, ds, wh, run_id, t0, devices, log: Stag
         facts = _fact_rows(staged.withColumn("_order", F.struct("file_id", "row_number")), spec, devices, method)
         if "energy" in ds and devices is not None:
             facts = facts.filter(F.col("device_id").isNotNull())   # F16: unresolved device → not loaded
-        U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
-                       wh.path("facts", spec.target_table), spec.primary_key, time_col, spec.strategy,
-                       spec.update_columns, seq="_order", grain=spec.partition_by or "month")
+        ledger = _load_facts(spark, facts, spec, wh, run_id, t0, time_col)
         # what was loaded is a ledger of its own; staging rows never change
-        ledger = facts.select("file_id", "row_number", t0.alias("loaded_at"))
         _append(ledger, wh.path("loaded", f"dataset={ds}"), run_id)
         loaded = read_table(spark, wh.path("loaded", f"dataset={ds}"), ledger).filter(F.col("run") == run_id)
         st.records_in, st.records_out = counts[1], loaded.count()
@@ -381,10 +393,7 @@ def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
     staged = staged.withColumn("_order", F.col("row_number").cast("long"))
     facts = _fact_rows(staged, spec, None).withColumn("source_type", F.lit("api")).withColumn(
         "source_api_endpoint", F.lit(endpoint))
-    U.write_upsert(spark, facts.drop("file_id", "row_number", "device_hint").withColumn("ingested_at", t0),
-                   wh.path("facts", spec.target_table), spec.primary_key, "timestamp", spec.strategy,
-                   spec.update_columns, seq="_order")
-    _append(facts.select("file_id", "row_number", t0.alias("loaded_at")), wh.path("loaded", f"dataset={dataset}"), run_id)
+    _append(_load_facts(spark, facts, spec, wh, run_id, t0, "timestamp"), wh.path("loaded", f"dataset={dataset}"), run_id)
     # one fetch per response and run, so a run replayed counts once; the newest reading orders them
     fetches = staged.filter("is_valid").groupBy("file_id", "device_hint").agg(F.max("timestamp").alias("fetched_at"))
     fetches = fetches.join(resp.select(F.col("file").alias("file_id"), F.sha2("body", 256).alias("sha256")), "file_id")

@@ -163,3 +163,44 @@ def test_a_plain_table_is_adopted(spark, tmpdir_fresh):
     old.write.partitionBy("month").parquet(path)
     U.write_upsert(spark, spark.createDataFrame([(2, FEB, 5.0)], SCHEMA), path, ["k"], "ts")
     assert rows_of(spark, path) == [(1, 1.0), (2, 5.0)]
+
+
+def skips(spark, wh):
+    reg = D.read_table(spark, wh.path("ingest_file")).collect()
+    return {os.path.basename(r["file_id"]): (r["valid_records"], r["loaded_records"], r["skipped_records"]) for r in reg}
+
+
+@pytest.mark.parametrize("strategy", ["append", "update"])
+def test_the_ledger_names_the_rows_a_strategy_took(spark, place, strategy):
+    d, wh, put = place
+    how = {"environmental_metrics": strategy}
+    put("a.csv", ENV + "2024-01-05T00:00:00,21,50,1,1000\n2024-01-05T01:00:00,22,50,1,1000\n2024-01-05T00:00:00,23,50,1,1000\n")
+    put("b.csv", ENV + "2024-01-05T01:00:00,31,50,1,1000\n2024-02-05T00:00:00,32,50,1,1000\n2024-02-05T00:00:00,x,50,1,1000\n")
+    ingest_directory(spark, d, wh, "r1", as_of=AS_OF, strategies=how)
+    os.remove(os.path.join(d, "a.csv"))
+    os.remove(os.path.join(d, "b.csv"))
+    put("c.csv", ENV + "2024-02-05T00:00:00,41,50,1,1000\n2024-02-05T03:00:00,42,50,1,1000\n")
+    for _ in range(2):                       # the second time is a replay
+        ingest_directory(spark, d, wh, "r2", as_of=AS_OF, strategies=how)
+    loaded = sorted((os.path.basename(r["file_id"]), r["row_number"]) for r in D.read_table(spark, wh.path("loaded")).collect())
+    facts = U.read_facts(spark, wh.path("facts", "environmental_metrics"))
+    assert U.ROW not in facts.columns
+    held = sorted(float(r["temperature"]) for r in facts.collect())
+    if strategy == "update":
+        assert skips(spark, wh) == {"a.csv": (3, 3, 0), "b.csv": (2, 2, 0), "c.csv": (2, 2, 0)}
+        assert held == [23.0, 31.0, 41.0, 42.0] and len(loaded) == 7
+    else:
+        assert skips(spark, wh) == {"a.csv": (3, 2, 1), "b.csv": (2, 1, 1), "c.csv": (2, 1, 1)}
+        assert held == [21.0, 22.0, 32.0, 42.0]
+        assert loaded == [("a.csv", 1), ("a.csv", 2), ("b.csv", 2), ("c.csv", 2)]
+
+
+def test_strategies_may_change_over_one_table(spark, place):
+    d, wh, put = place
+    for n, (strategy, t) in enumerate((("update", 20), ("ignore", 21), ("update", 22))):
+        put("x.csv", ENV + f"2024-01-05T00:00:00,{t},50,1,1000\n2024-01-05T0{n + 1}:00:00,{t},50,1,1000\n")
+        ingest_directory(spark, d, wh, f"r{n}", as_of=AS_OF, strategies={"environmental_metrics": strategy})
+    reg = {r["run"]: r["loaded_records"] for r in D.read_table(spark, wh.path("ingest_file")).collect()}
+    assert reg == {"r0": 2, "r1": 1, "r2": 2}
+    held = {r["timestamp"].hour: float(r["temperature"]) for r in U.read_facts(spark, wh.path("facts", "environmental_metrics")).collect()}
+    assert held == {0: 22.0, 1: 20.0, 2: 21.0, 3: 22.0}
