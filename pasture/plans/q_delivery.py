@@ -17,6 +17,7 @@ from pasture.session import ensure_checkpoint_dir
 from pasture.sources import files as FS
 from pasture.sources import standins as S
 from pasture.sources.tables import table
+from pasture.streaming import cursors as CU
 from pasture.streaming import delivery as D
 
 _FILLERS = 66
@@ -208,3 +209,42 @@ def q_delivery_skips(spark, sf):
     return (reg.join(pending, ["run", "file_id"], "left").fillna(0, ["pending"])
                .select("run", F.substring_index("file_id", "-", -1).alias("file"), "extract_records", "valid_records", "loaded_records",
                        "skipped_records", "pending"))
+
+
+def _fetches(e: DataFrame) -> DataFrame:
+    return e.select(F.lit("sensor_api").alias("connector_id"), F.col("event_type").alias("endpoint_id"),
+                    F.col("user_id").cast("string").alias("device_id"), F.col("ts").cast("timestamp_ntz").alias("fetched_at"),
+                    F.col("event_id").cast("string").alias("sha256"))
+
+
+@register("cursor_compaction", """
+SELECT 'sensor_api' AS connector_id, event_type AS endpoint_id, CAST(user_id AS VARCHAR) AS device_id,
+       max(ts) AS last_fetch_timestamp, max(ts) AS last_fetch_success, count(*) AS fetch_count
+FROM events GROUP BY event_type, user_id""")
+def q_cursor_compaction(spark, sf):
+    """Four runs of fetches, two of them folded into the state, one of these replayed after it."""
+    e = table(spark, sf, "events")
+    root = _folder(spark, "cursors")
+    store = CU.CursorStore(spark, root)
+    for n in (0, 1, None, 2, 0, 3):
+        if n is None:
+            store.compact()
+        else:
+            D._append(_fetches(e.filter(F.col("event_id") % 4 == n)), store.log, f"r{n}")
+    return store.read()
+
+
+@register("cursor_stream", """
+WITH f AS (SELECT event_type AS endpoint_id, CAST(user_id AS VARCHAR) AS device_id, max(ts) AS ts, count(*) AS n
+           FROM events GROUP BY event_type, user_id)
+SELECT 'sensor_api' AS connector_id, endpoint_id, device_id, ts AS cursor_ts, ts + INTERVAL 1 HOUR AS start_ts, n AS fetch_count,
+       CASE WHEN ts + INTERVAL 1 DAY < (SELECT max(ts) FROM events) THEN 'silent' ELSE 'cursor' END AS basis
+FROM f""")
+def q_cursor_stream(spark, sf):
+    """The events as a stream of fetches: each device's next window, and who has been silent for a day."""
+    kind = table(spark, sf, "events").schema
+    # the pattern fits a single file and a folder of files alike
+    e = spark.readStream.schema(kind).option("maxFilesPerTrigger", "8").parquet(f"{sf}/events.parque[t]")
+    out = _folder(spark, "windows")
+    CU.start_window_stream(_fetches(e), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return CU.windows(spark, f"{out}/rows")

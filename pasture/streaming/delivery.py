@@ -27,6 +27,7 @@ from pasture.operators.joins import join_dimension
 from pasture.operators.rules import get_spec, list_datasets
 from pasture.plans import ingest as I
 from pasture.sources import files as FS
+from pasture.streaming.cursors import CursorStore
 
 # User hooks — dataset name → function(DataFrame) → DataFrame applied to raw rows.
 _ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -365,20 +366,45 @@ _API_COLUMN = {"wind_direction": "wind_direction_sectors"}
 
 def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str, endpoint: str = "sensors",
                      connector: str = "sensor_api", as_of: _dt.datetime | None = None,
-                     dataset: str = "api_environmental_metrics") -> DataFrame:
-    """§3.2 API entry point over landed responses.
+                     dataset: str = "api_environmental_metrics", compact_after: int = 50) -> DataFrame:
+    """§3.2 API entry point over landed responses (A3, B2, B3, E10, F8, F19, J4); see ``load_responses``."""
+    return load_responses(spark, FS.read_responses(spark, path), wh, run_id, endpoint, connector, as_of, dataset, compact_after)
+
+
+def start_response_stream(spark: SparkSession, input_dir: str, wh: Warehouse, checkpoint: str, glob: str = "*.json",
+                          max_files_per_trigger: int | None = 1000, available_now: bool = True,
+                          processing_time: str | None = None, **kw):
+    """Poll ``input_dir`` for landed responses; each micro-batch runs ``load_responses`` under a run id of its own, so
+    a batch that is repeated after a crash rewrites its own partitions and counts its fetches once."""
+    r = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    src = r.load(input_dir).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        load_responses(spark, df, wh, f"response-{batch_id:08d}", **kw)
+
+    w = src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
+    return w.start()
+
+
+def load_responses(spark: SparkSession, resp: DataFrame, wh: Warehouse, run_id: str, endpoint: str = "sensors",
+                   connector: str = "sensor_api", as_of: _dt.datetime | None = None,
+                   dataset: str = "api_environmental_metrics", compact_after: int = 50) -> DataFrame:
+    """Load responses (file, body) as one run.
 
     One JSON response per file, named ``<device>-….json``.  Sensors are
     pivoted to wide rows, validated with the API dataset's rules, upserted by
     (device, timestamp), and the fetch cursor of every device advances to the
-    newest loaded reading.  Returns the new cursor rows.
+    newest loaded reading.  Once more than ``compact_after`` runs lie in the fetch
+    log, they are folded into the cursor state.  Returns the new cursor rows.
     """
     from pasture.operators import reshape as R
 
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     t0 = F.lit(as_of).cast("timestamp_ntz")
     spec = get_spec(dataset)
-    resp = FS.read_responses(spark, path)
     name = F.element_at(F.split("file", "/"), -1)
     resp = resp.withColumn("device_hint", F.coalesce(P.device_from_name(name),
                                                      F.regexp_extract(name, r"^([^-.]+)", 1)))
@@ -402,19 +428,15 @@ def ingest_responses(spark: SparkSession, path: str, wh: Warehouse, run_id: str,
                              F.col("device_hint").alias("device_id"), "fetched_at", "sha256")
     log_path = wh.path("api_fetch_log")
     _append(fetches, log_path, run_id)
-    # the cursor is the state of the whole fetch log: derived, so no table is read and replaced at once
-    return cursors(spark, wh)
+    store = CursorStore(spark, wh.root)
+    if store.open_runs() > compact_after:
+        store.compact()
+    return store.read()
 
 
 def cursors(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    """The fetch cursor of every device, from the log of fetches (one row per response and device)."""
-    from pasture.plans import control as K
-
-    log = read_table(spark, wh.path("api_fetch_log")).drop("run")
-    none = spark.createDataFrame([], "connector_id string, endpoint_id string, device_id string, "
-                                     "last_fetch_timestamp timestamp_ntz, last_fetch_success timestamp_ntz, "
-                                     "fetch_count long")
-    return K.cursor_upsert(none, log, ts="fetched_at", seq="fetched_at")
+    """The fetch cursor of every device: the compacted state and the fetches that came after it."""
+    return CursorStore(spark, wh.root).read()
 
 
 def purge_staging(spark: SparkSession, wh: Warehouse, as_of: _dt.datetime, days: int = 7) -> DataFrame:
