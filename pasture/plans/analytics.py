@@ -6,7 +6,7 @@ Per-device work is a group key carried through aggregates — never a loop.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -131,14 +131,14 @@ def _num(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ fits and forecasts
 
-def ols_per_device(clean: DataFrame) -> DataFrame:
-    """Per-device least squares of production on the six features."""
-    return ST.ols_fit(_num(clean, [TARGET, *DEVICE_FEATURES]), TARGET, DEVICE_FEATURES, ["device_alias"])
+def ols_per_device(clean: DataFrame, fit: Callable[..., DataFrame] = ST.ols_fit) -> DataFrame:
+    """Per-device least squares of production on the six features; ``fit``: from moments, or ``qr.ols_fit_qr``."""
+    return fit(_num(clean, [TARGET, *DEVICE_FEATURES]), TARGET, DEVICE_FEATURES, ["device_alias"])
 
 
-def ols_pooled(clean: DataFrame) -> DataFrame:
+def ols_pooled(clean: DataFrame, fit: Callable[..., DataFrame] = ST.ols_fit) -> DataFrame:
     """Pooled least squares over every day."""
-    return ST.ols_fit(_num(clean, [TARGET, *POOLED_FEATURES]), TARGET, POOLED_FEATURES, min_rows=1)
+    return fit(_num(clean, [TARGET, *POOLED_FEATURES]), TARGET, POOLED_FEATURES, min_rows=1)
 
 
 def last7_fit(clean: DataFrame, coefs: DataFrame, k: int = 7) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pasture.operators import stats as ST
+from pasture.operators import qr as QR, stats as ST
 from pasture.plans import analytics as A
 from pasture.plans.oracle import with_standins as W
-from pasture.plans.registry import register
+from pasture.plans.registry import ORACLE, register
 from pasture.sources import standins as S
 
 CLIENT = "NATION_1"
@@ -287,6 +287,16 @@ def q_ols_per_device(spark, sf):
     return _rounded(A.ols_per_device(_clean(spark, sf)), ["intercept", "r2", *(f"b_{c}" for c in _DX)])
 
 
+@register("ols_qr_pooled", ORACLE["ols_pooled"])
+def q_ols_qr_pooled(spark, sf):
+    return _rounded(A.ols_pooled(_pooled(spark, sf), QR.ols_fit_qr), ["intercept", "r2", *(f"b_{c}" for c in A.POOLED_FEATURES)])
+
+
+@register("ols_qr_per_device", ORACLE["ols_per_device"])
+def q_ols_qr_per_device(spark, sf):
+    return _rounded(A.ols_per_device(_clean(spark, sf), QR.ols_fit_qr), ["intercept", "r2", *(f"b_{c}" for c in _DX)])
+
+
 def _clean(spark, sf):
     return A.clean_device_frame(_device_frame(spark, sf))
 
